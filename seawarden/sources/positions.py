@@ -1,0 +1,12 @@
+"""Position reports from files."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from seawarden.sources import schemas
+
+
+def read_positions(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
+    """Raw position reports with the declared schema; nothing is inferred."""
+    return spark.read.format(fmt).schema(schemas.AIS_BRONZE).options(**options).load(path)
