@@ -1,43 +1,38 @@
-"""Banded and weighted scores as single column expressions."""
+"""Banded and weighted scores as single expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, functions as F
+from seawarden.functions.text import quote
 
 
-def bands(rules: Iterable[tuple[Column, object]], default: object, digits: int | None = None) -> Column:
+def rounded(expression: str, digits: int | None) -> str:
+    return expression if digits is None else f"round({expression}, {digits})"
+
+
+def bands(rules: Iterable[tuple[str, str]], default: str, digits: int | None = None) -> str:
     """First matching rule's value, else ``default``; a null predicate does not match."""
-    rules = list(rules)
-    out = F.when(rules[0][0], rules[0][1])
-    for predicate, value in rules[1:]:
-        out = out.when(predicate, value)
-    out = out.otherwise(default)
-    return out if digits is None else F.round(out, digits)
+    arms = " ".join(f"WHEN {predicate} THEN {value}" for predicate, value in rules)
+    return rounded(f"CASE {arms} ELSE {default} END", digits)
 
 
-def labels(score: Column, bounds: Iterable[tuple[float, str]], default: str) -> Column:
+def labels(score: str, bounds: Iterable[tuple[float, str]], default: str) -> str:
     """Label by inclusive lower bound, bounds in descending order."""
-    return bands([(score >= low, F.lit(label)) for low, label in bounds], F.lit(default))
+    return bands([(f"{score} >= {low}", quote(label)) for low, label in bounds], quote(default))
 
 
-def weighted(weights: Mapping[str, float], digits: int | None = None) -> Column:
+def weighted(weights: Mapping[str, float], digits: int | None = None) -> str:
     """Weighted sum of columns in double."""
-    total = None
-    for name, weight in weights.items():
-        term = F.col(name) * F.lit(float(weight))
-        total = term if total is None else total + term
-    return total if digits is None else F.round(total, digits)
+    return rounded("(" + " + ".join(f"{name} * {weight}D" for name, weight in weights.items()) + ")", digits)
 
 
-def code_label(code: Column, names: Mapping[int, str], default: str) -> Column:
-    """Label of a code, ``default`` for an unknown or null code. A literal map, so no join."""
-    literal_map = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.coalesce(F.try_element_at(literal_map, code), F.lit(default))
+def code_label(code: str, names: Mapping[int, str], default: str) -> str:
+    """Label of a code, ``default`` for an unknown or null code."""
+    return bands([(f"{code} = {value}", quote(label)) for value, label in names.items()], quote(default))
 
 
-def label_rank(label: Column, order: Iterable[str]) -> Column:
+def label_rank(label: str, order: Iterable[str]) -> str:
     """Position in a given order, unknown labels last; for sorting by a custom rank."""
     order = list(order)
-    return bands([(label == name, F.lit(i)) for i, name in enumerate(order)], F.lit(len(order)))
+    return bands([(f"{label} = {quote(name)}", str(i)) for i, name in enumerate(order)], str(len(order)))

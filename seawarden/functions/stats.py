@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def scaled(value: Column, digits: int) -> Column:
+def scaled(value: str, digits: int) -> str:
     """A decimal quantity as a whole number of its last digit."""
-    return F.round(value * F.lit(float(10**digits))).cast("long")
+    return f"cast(round({value} * {float(10**digits)}D) AS bigint)"
 
 
-def exact_avg(value: Column, digits: int = 2) -> Column:
-    """Mean of values given to ``digits`` decimals.
+def exact_avg(value: str, digits: int = 2, over: str = "") -> str:
+    """Mean of values given to ``digits`` decimals; ``over`` makes it a window expression.
 
     Sums whole numbers, so the result is the same for every shuffle order, and the buffers stay
     fixed-width longs for hash aggregation. A plain mean of doubles differs in its last bits.
     """
-    return F.sum(scaled(value, digits)) / F.lit(float(10**digits)) / F.count(value)
+    return f"sum({scaled(value, digits)}) {over} / {float(10**digits)}D / count({value}) {over}"
 
 
-def exact_sum(value: Column, digits: int = 0) -> Column:
+def exact_sum(value: str, digits: int = 0) -> str:
     """Order-independent sum of values given to ``digits`` decimals, as double."""
-    return F.sum(scaled(value, digits)) / F.lit(float(10**digits))
+    return f"sum({scaled(value, digits)}) / {float(10**digits)}D"

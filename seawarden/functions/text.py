@@ -1,15 +1,18 @@
-"""Lists kept as text, and text built from templates."""
+"""Text literals, lists kept as text, and text built from templates."""
 
 from __future__ import annotations
 
 from string import Formatter
 
-from pyspark.sql import Column, functions as F
 
+def quote(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def split_list(text: Column) -> Column:
+
+def split_list(text: str) -> str:
     """Items of a comma-separated list, trimmed."""
-    return F.transform(F.split(text, ","), lambda item: F.trim(item))
+    return f"transform(split({text}, ','), item -> trim(item))"
 
 
 def template_fields(template: str) -> list[str]:
@@ -18,7 +21,7 @@ def template_fields(template: str) -> list[str]:
     return list(dict.fromkeys(names))
 
 
-def template(text: str) -> Column:
+def template(text: str) -> str:
     """``"at {port}, {speed:%.1f} kn"`` as one concat over columns; null if any variable is null.
 
     The template is cut into pieces once, so a value that itself holds braces is kept as it is.
@@ -27,9 +30,10 @@ def template(text: str) -> Column:
     pieces = []
     for literal, name, spec, _ in Formatter().parse(text):
         if literal:
-            pieces.append(F.lit(literal))
-        if name:
-            value = F.col(name)
+            pieces.append(quote(literal))
+        if name and spec:
             # format_string prints a null as "null"; keep it a null instead
-            pieces.append(F.when(value.isNotNull(), F.format_string(spec, value)) if spec else value.cast("string"))
-    return F.concat(*pieces) if pieces else F.lit("")
+            pieces.append(f"if({name} IS NULL, NULL, format_string({quote(spec)}, {name}))")
+        elif name:
+            pieces.append(f"cast({name} AS string)")
+    return f"concat({', '.join(pieces)})" if pieces else "''"

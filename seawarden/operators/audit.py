@@ -7,31 +7,36 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-
-def _verdict(counts: DataFrame, name: str, expected: int | None) -> DataFrame:
-    rows = F.col("row_count")
-    return counts.select(
-        F.lit(name).alias("table_name"),
-        rows,
-        F.lit(expected).cast("long").alias("expected"),
-        (rows - F.lit(expected).cast("long")).alias("delta"),
-        F.when(rows.isNull(), "ERROR").when(rows > 0, "OK").otherwise("EMPTY").alias("status"),
-    )
+from seawarden.functions.text import quote
 
 
-def tables(spark: SparkSession, frames: Mapping[str, DataFrame | None], expected: Mapping[str, int | None]) -> DataFrame:
+def tables(
+    spark: SparkSession, frames: Mapping[str, DataFrame | None], expected: Mapping[str, int | None] | None = None
+) -> DataFrame:
     """One line per table: rows, expected rows, difference, status. A missing table is an ERROR line."""
     lines = []
     for name, frame in frames.items():
+        target = (expected or {}).get(name)
+        target = "cast(NULL AS bigint)" if target is None else f"{target}L"
         if frame is None:
-            counts = spark.range(1).select(F.lit(None).cast("long").alias("row_count"))
+            counts = spark.range(1).selectExpr("cast(NULL AS bigint) AS row_count")
         else:
-            counts = frame.agg(F.count(F.lit(1)).alias("row_count"))
-        lines.append(_verdict(counts, name, expected.get(name)))
+            counts = frame.agg(F.expr("count(1) AS row_count"))
+        lines.append(
+            counts.selectExpr(
+                f"{quote(name)} AS table_name",
+                "row_count",
+                f"{target} AS expected",
+                f"row_count - {target} AS delta",
+                "CASE WHEN row_count IS NULL THEN 'ERROR' WHEN row_count > 0 THEN 'OK' ELSE 'EMPTY' END AS status",
+            )
+        )
     return reduce(DataFrame.unionByName, lines)
 
 
-def saved_tables(spark: SparkSession, expected: Mapping[str, int | None], database: str | None = None) -> DataFrame:
+def saved_tables(
+    spark: SparkSession, expected: Mapping[str, int | None], database: str | None = None
+) -> DataFrame:
     """``tables`` for saved tables, by name."""
     frames = {}
     for name in expected:
@@ -51,21 +56,22 @@ def columns(
     A single pass groups by the key, counts the rows and the broken checks of each, and adds up. The
     grouping combines on the map side, so a key that repeats often does not gather its rows.
     """
-    checks = {f"{name} is null": F.col(name).isNull() for name in required}
+    checks = {f"{name} is null": f"{name} IS NULL" for name in required}
     for name, (low, high) in (ranges or {}).items():
-        checks[f"{name} out of range"] = ~F.col(name).between(low, high)
-    broken = [F.count_if(test).alias(f"_c{i}") for i, test in enumerate(checks.values())]
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *broken)
+        checks[f"{name} out of range"] = f"{name} NOT BETWEEN {low} AND {high}"
+    broken = [F.expr(f"count_if({test}) AS _c{i}") for i, test in enumerate(checks.values())]
+    per_key = df.groupBy(*key).agg(F.expr("count(1) AS _n"), *broken)
     totals = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0).cast("long")).alias("rows_checked"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0).cast("long")).alias("_dup"),
-        *[F.coalesce(F.sum(f"_c{i}"), F.lit(0).cast("long")).alias(f"_c{i}") for i in range(len(checks))],
+        F.expr("coalesce(sum(_n), 0L) AS rows_checked"),
+        F.expr("coalesce(sum(_n - 1), 0L) AS _repeated"),
+        *[F.expr(f"coalesce(sum(_c{i}), 0L) AS _c{i}") for i in range(len(checks))],
     )
-    named = [(f"{', '.join(key)} repeated", "_dup")] + [(name, f"_c{i}") for i, name in enumerate(checks)]
-    lines = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(c).alias("breaks")) for name, c in named])
-    rate = F.round(F.col("breaks") / F.nullif(F.col("rows_checked"), F.lit(0).cast("long")), 4)
-    return (
-        totals.select("rows_checked", F.explode(lines).alias("_line"))
-        .select("_line.check_name", "rows_checked", "_line.breaks")
-        .withColumns({"break_rate": rate, "status": F.when(F.col("breaks") == 0, "OK").otherwise("BROKEN")})
+    named = {f"{', '.join(key)} repeated": "_repeated", **{name: f"_c{i}" for i, name in enumerate(checks)}}
+    lines = ", ".join(f"struct({quote(name)} AS check_name, {column} AS breaks)" for name, column in named.items())
+    return totals.selectExpr("rows_checked", f"inline(array({lines}))").selectExpr(
+        "check_name",
+        "rows_checked",
+        "breaks",
+        "round(breaks / nullif(rows_checked, 0L), 4) AS break_rate",
+        "if(breaks = 0, 'OK', 'BROKEN') AS status",
     )

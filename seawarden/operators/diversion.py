@@ -6,7 +6,7 @@ the reference tables first, and vessels join the outcome on one key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from seawarden.functions.bands import label_rank
 from seawarden.functions.text import split_list
@@ -18,21 +18,20 @@ def options(df: DataFrame, alternatives: DataFrame, k: int = 2) -> DataFrame:
     The order is the same for all vessels of a port, so ranking ports ranks them for every vessel,
     without a shuffle of vessels.
     """
-    order = Window.partitionBy("port_zone").orderBy(
-        label_rank(F.col("safety_rating"), ["High", "Medium"]), "distance_nm", "alternative_port"
-    )
+    safest = label_rank("safety_rating", ["High", "Medium"])
     best = (
-        alternatives.where(F.col("status") == "Open")
-        .select(
-            F.col("current_port").alias("port_zone"),
+        alternatives.where("status = 'Open'")
+        .selectExpr(
+            "current_port AS port_zone",
             "alternative_port",
             "distance_nm",
             "transit_hours",
             "berth_capacity",
             "safety_rating",
+            f"row_number() OVER (PARTITION BY current_port ORDER BY {safest}, distance_nm, alternative_port)"
+            " AS option_rank",
         )
-        .withColumn("option_rank", F.row_number().over(order))
-        .where(F.col("option_rank") <= k)
+        .where(f"option_rank <= {k}")
     )
     return df.join(best, "port_zone")
 
@@ -40,24 +39,21 @@ def options(df: DataFrame, alternatives: DataFrame, k: int = 2) -> DataFrame:
 def _zones(df: DataFrame, listed_in: str, aliases: DataFrame) -> DataFrame:
     """One row per listed zone, under its name in the zone table."""
     return (
-        df.withColumn("alias", F.explode(split_list(F.col(listed_in))))
+        df.selectExpr("*", f"explode({split_list(listed_in)}) AS alias")
         .join(aliases, "alias", "left")
-        .withColumn("zone", F.coalesce("zone_name", "alias"))
-        .drop("alias", "zone_name")
+        .selectExpr(*df.columns, "coalesce(zone_name, alias) AS zone")
     )
 
 
 def coverage(routes: DataFrame, corridors: DataFrame, aliases: DataFrame) -> DataFrame:
     """Corridors that avoid a zone of a route, per list of transit zones, with the number avoided."""
-    zones = _zones(routes.select("transit_zones").distinct(), "transit_zones", aliases)
-    avoided = _zones(corridors.drop("description"), "avoids_zones", aliases)
     facts = ["corridor_name", "route_alternative", "additional_nm", "additional_hours", "safety_rating", "status"]
+    zones = _zones(routes.select("transit_zones").distinct(), "transit_zones", aliases)
+    avoided = _zones(corridors.select(*facts, "avoids_zones"), "avoids_zones", aliases)
     return (
         zones.join(avoided, "zone")
-        .select("transit_zones", "zone", *facts)
-        .distinct()
         .groupBy("transit_zones", *facts)
-        .agg(F.count(F.lit(1)).alias("zones_avoided"))
+        .agg(F.expr("count(DISTINCT zone) AS zones_avoided"))
     )
 
 
@@ -68,20 +64,28 @@ def corridors(df: DataFrame, routes: DataFrame, corridor_table: DataFrame, alias
 
 def uncovered(df: DataFrame, routes: DataFrame, corridor_table: DataFrame, aliases: DataFrame) -> DataFrame:
     """Vessels for which no open corridor avoids any zone of their route."""
-    is_open = corridor_table.where(F.col("status") == "Open")
-    return df.join(coverage(routes, is_open, aliases).select("transit_zones").distinct(), "transit_zones", "left_anti")
+    covered = coverage(routes, corridor_table.where("status = 'Open'"), aliases)
+    return df.join(covered, "transit_zones", "left_anti")
 
 
 def zones_by_route(zones: DataFrame) -> DataFrame:
     """One row per zone and route that the zone affects."""
-    return zones.withColumn("route_type", F.explode(split_list(F.col("affected_routes"))))
+    return zones.selectExpr("*", f"explode({split_list('affected_routes')}) AS route_type")
 
 
 def zone_exposure(df: DataFrame, zones: DataFrame) -> DataFrame:
     """Zones per route with the number of vessels on that route, 0 if none."""
-    vessels = df.groupBy("route_type").agg(F.count(F.lit(1)).alias("vessels"))
+    vessels = df.groupBy("route_type").agg(F.expr("count(1) AS vessels"))
+    routes = zones_by_route(zones)
+    return routes.join(vessels, "route_type", "left").selectExpr(*routes.columns, "coalesce(vessels, 0L) AS vessels")
+
+
+def critical_exposure(df: DataFrame, zones: DataFrame) -> DataFrame:
+    """Critical zones, the highest score first, with the vessels on the routes they affect."""
+    facts = ["zone_name", "risk_level", "risk_score", "description", "affected_routes"]
     return (
-        zones_by_route(zones)
-        .join(vessels, "route_type", "left")
-        .withColumn("vessels", F.coalesce("vessels", F.lit(0).cast("long")))
+        zone_exposure(df, zones.where("risk_level = 'Critical'"))
+        .groupBy(*facts)
+        .agg(F.expr("sum(vessels) AS vessels_exposed"))
+        .orderBy(F.desc("risk_score"), "zone_name")
     )

@@ -19,12 +19,12 @@ def summarise(df: DataFrame, keys: Sequence[str] = VESSEL_KEYS, time: str = "Bas
     vessel with most of the rows sends one partial row per task.
     """
     return df.groupBy(*keys).agg(
-        exact_avg(F.col("SOG"), 2).alias("avg_sog"),
-        F.min("SOG").alias("min_sog"),
-        F.max("SOG").alias("max_sog"),
-        F.count("SOG").alias("record_count"),
-        F.max_by("LAT", time).alias("latest_lat"),
-        F.max_by("LON", time).alias("latest_lon"),
-        F.max_by("SOG", time).alias("latest_sog"),
-        F.max(time).alias("latest_time"),
+        F.expr(f"{exact_avg('SOG', 2)} AS avg_sog"),
+        F.expr("min(SOG) AS min_sog"),
+        F.expr("max(SOG) AS max_sog"),
+        F.expr("count(SOG) AS record_count"),
+        F.expr(f"max_by(LAT, {time}) AS latest_lat"),
+        F.expr(f"max_by(LON, {time}) AS latest_lon"),
+        F.expr(f"max_by(SOG, {time}) AS latest_sog"),
+        F.expr(f"max({time}) AS latest_time"),
     )

@@ -5,20 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from seawarden.functions.geo import distance_km, grid_cell
+from seawarden.operators import add
 
 
 def add_port_distance(
     df: DataFrame, ports: DataFrame, port: str = "PortZone", lat: str = "latest_lat", lon: str = "latest_lon"
 ) -> DataFrame:
     """Adds ``distance_to_port_km`` to the centre of the vessel's port; null for an unknown port."""
-    centres = ports.select(F.col("port_zone").alias(port), "center_lat", "center_lon")
-    distance = distance_km(F.col(lat), F.col(lon), F.col("center_lat"), F.col("center_lon"))
-    return (
-        df.join(centres, port, "left")
-        .withColumn("distance_to_port_km", distance)
-        .drop("center_lat", "center_lon")
-        .select(*df.columns, "distance_to_port_km")
-    )
+    centres = ports.selectExpr(f"port_zone AS {port}", "center_lat", "center_lon")
+    distance = distance_km(lat, lon, "center_lat", "center_lon")
+    return df.join(centres, port, "left").selectExpr(*df.columns, f"{distance} AS distance_to_port_km")
 
 
 def assign_box(
@@ -36,37 +32,24 @@ def assign_box(
     equi-join instead of comparing every position with every box, and one row per position without
     a later pick. The list is as long as the boxes on one cell; finer cells make it shorter.
     """
+
+    def covered(low: str, high: str) -> str:
+        return f"explode(sequence({grid_cell(low, cell_degrees)}, {grid_cell(high, cell_degrees)}))"
+
     touching = (
-        boxes.select(
-            "port_zone",
-            "center_lat",
-            "center_lon",
-            "lat_min",
-            "lat_max",
-            "lon_min",
-            "lon_max",
-            F.explode(F.sequence(grid_cell(F.col("lat_min"), cell_degrees), grid_cell(F.col("lat_max"), cell_degrees))).alias("_row"),
-        )
-        .withColumn(
-            "_col",
-            F.explode(F.sequence(grid_cell(F.col("lon_min"), cell_degrees), grid_cell(F.col("lon_max"), cell_degrees))),
-        )
+        boxes.selectExpr("*", f"{covered('lat_min', 'lat_max')} AS _row")
+        .selectExpr("*", f"{covered('lon_min', 'lon_max')} AS _col")
         .groupBy("_row", "_col")
         .agg(
-            F.collect_list(
-                F.struct("port_zone", "center_lat", "center_lon", "lat_min", "lat_max", "lon_min", "lon_max")
-            ).alias("_boxes")
+            F.expr(
+                "collect_list(struct(port_zone, center_lat, center_lon, lat_min, lat_max, lon_min, lon_max)) AS _boxes"
+            )
         )
     )
-    y, x = F.col(lat), F.col(lon)
-    holding = F.filter("_boxes", lambda b: y.between(b["lat_min"], b["lat_max"]) & x.between(b["lon_min"], b["lon_max"]))
-    ranked = F.transform(
-        holding,
-        lambda b: F.struct(distance_km(y, x, b["center_lat"], b["center_lon"]).alias("km"), b["port_zone"].alias("name")),
-    )
+    holding = f"filter(_boxes, b -> {lat} BETWEEN b.lat_min AND b.lat_max AND {lon} BETWEEN b.lon_min AND b.lon_max)"
+    nearest = f"struct({distance_km(lat, lon, 'b.center_lat', 'b.center_lon')} AS km, b.port_zone AS name)"
     return (
-        df.withColumns({"_row": grid_cell(y, cell_degrees), "_col": grid_cell(x, cell_degrees)})
+        add(df, _row=grid_cell(lat, cell_degrees), _col=grid_cell(lon, cell_degrees))
         .join(touching, ["_row", "_col"], "left")
-        .withColumn(into, F.array_min(ranked)["name"])
-        .select(*df.columns, into)
+        .selectExpr(*df.columns, f"array_min(transform({holding}, b -> {nearest})).name AS {into}")
     )

@@ -8,48 +8,55 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seawarden import fixed_values as fixed
 from seawarden.functions.bands import bands, code_label
+from seawarden.functions.text import quote
+from seawarden.operators import add, replace
 from seawarden.sources import schemas
 
 POSITION_KEY = ("MMSI", "BaseDateTime")
 
 
-def parsed_time(column: str = "BaseDateTime", fmt: str | None = None) -> Column:
-    """Timestamp from text; text that is not a time gives null instead of failing the job."""
-    return F.try_to_timestamp(F.col(column), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(column))
+def _between(column: str, limits: tuple[float, float]) -> str:
+    return f"{column} BETWEEN {limits[0]}D AND {limits[1]}D"
 
 
-def in_scope() -> Column:
-    """Inside the monitored area and with a usable speed. Plain comparisons, so a scan can push them down."""
-    return (
-        F.col("LAT").between(*fixed.LAT_RANGE)
-        & F.col("LON").between(*fixed.LON_RANGE)
-        & (F.col("SOG") >= fixed.MIN_SPEED)
-    )
+LAT_OK = _between("LAT", fixed.LAT_RANGE)
+LON_OK = _between("LON", fixed.LON_RANGE)
+SPEED_OK = f"SOG >= {fixed.MIN_SPEED}D"
+# Plain comparisons, which a scan can push down.
+IN_SCOPE = f"{LAT_OK} AND {LON_OK} AND {SPEED_OK}"
 
 
-def reject_reason(time: Column) -> Column:
+def parsed_time(fmt: str | None = None, column: str = "BaseDateTime") -> str:
+    """Timestamp from text; text that is not a time gives null instead of failing the job."""
+    return f"try_to_timestamp({column}, {quote(fmt)})" if fmt else f"try_to_timestamp({column})"
+
+
+def reject_reason(time: str) -> str:
     """Why a report is not usable, null if it is. The first broken rule names the reason."""
     return bands(
         [
-            (time.isNull(), F.lit("bad_time")),
-            (~F.coalesce(F.col("LAT").between(*fixed.LAT_RANGE), F.lit(False)), F.lit("lat_out_of_range")),
-            (~F.coalesce(F.col("LON").between(*fixed.LON_RANGE), F.lit(False)), F.lit("lon_out_of_range")),
-            (~F.coalesce(F.col("SOG") >= fixed.MIN_SPEED, F.lit(False)), F.lit("bad_speed")),
+            (f"{time} IS NULL", "'bad_time'"),
+            (f"NOT coalesce({LAT_OK}, false)", "'lat_out_of_range'"),
+            (f"NOT coalesce({LON_OK}, false)", "'lon_out_of_range'"),
+            (f"NOT coalesce({SPEED_OK}, false)", "'bad_speed'"),
         ],
-        F.lit(None).cast("string"),
+        "NULL",
     )
 
 
-def tag_rejects(df: DataFrame) -> DataFrame:
+def tag_rejects(df: DataFrame, fmt: str | None = None) -> DataFrame:
     """Every report with its ``reject_reason``; write this partitioned by reason to split in one pass."""
-    return df.withColumn("reject_reason", reject_reason(parsed_time()))
+    return add(df, reject_reason=reject_reason(parsed_time(fmt)))
+
+
+def usable(df: DataFrame, fmt: str | None = None) -> DataFrame:
+    """Reports inside the monitored area, with a speed and a time; the time parsed."""
+    return replace(df.where(IN_SCOPE), {"BaseDateTime": parsed_time(fmt)}).where("BaseDateTime IS NOT NULL")
 
 
-def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_rejects(df: DataFrame, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(usable reports with parsed time, rejected reports as received plus the reason)."""
-    good = df.where(in_scope()).withColumn("BaseDateTime", parsed_time()).where(F.col("BaseDateTime").isNotNull())
-    bad = tag_rejects(df).where(F.col("reject_reason").isNotNull())
-    return good, bad
+    return usable(df, fmt), tag_rejects(df, fmt).where("reject_reason IS NOT NULL")
 
 
 def dedup(
@@ -63,23 +70,21 @@ def dedup(
     ``row_number() = 1`` form lets Spark keep one row per key on the map side before it shuffles,
     so a key that holds most of the rows sends one row per task.
     """
-    order = list(order) if order is not None else [F.col("SOG").desc()]
-    ties = [F.col(c) for c in df.columns if c not in keys]
+    order = list(order) if order is not None else [F.desc("SOG")]
+    ties = [name for name in df.columns if name not in keys]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") == 1).drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
 def add_labels(df: DataFrame) -> DataFrame:
     """Names of the vessel type and navigation status codes."""
-    return df.withColumns(
-        {
-            "VesselTypeName": code_label(F.col("VesselType"), fixed.VESSEL_TYPES, fixed.VESSEL_TYPE_OTHER),
-            "NavStatus": code_label(F.col("Status"), fixed.NAV_STATUS, fixed.NAV_STATUS_UNKNOWN),
-        }
+    return add(
+        df,
+        VesselTypeName=code_label("VesselType", fixed.VESSEL_TYPES, fixed.VESSEL_TYPE_OTHER),
+        NavStatus=code_label("Status", fixed.NAV_STATUS, fixed.NAV_STATUS_UNKNOWN),
     )
 
 
-def clean(df: DataFrame) -> DataFrame:
+def clean(df: DataFrame, fmt: str | None = None) -> DataFrame:
     """Bronze to silver. Labels are added after the shuffle of ``dedup``, which so moves codes only."""
-    good, _ = split_rejects(df)
-    return schemas.conform(add_labels(dedup(good)), schemas.AIS_SILVER)
+    return schemas.conform(add_labels(dedup(usable(df, fmt))), schemas.AIS_SILVER)

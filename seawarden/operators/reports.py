@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from seawarden import fixed_values as fixed
 from seawarden.functions.bands import label_rank
@@ -13,36 +13,40 @@ from seawarden.functions.stats import exact_avg, exact_sum
 
 def kpis(df: DataFrame) -> DataFrame:
     """The headline figures, in one pass and one row."""
-    level = F.col("risk_level")
     return df.agg(
-        F.count(F.lit(1)).alias("total_vessels"),
-        F.count_if(level == "Critical").alias("critical_vessels"),
-        F.count_if(level == "High").alias("high_vessels"),
-        F.round(exact_avg(F.col("delay_risk_score"), 1), 3).alias("avg_risk_score"),
-        exact_sum(F.col("delay_cost_usd")).alias("total_delay_cost_usd"),
-        exact_sum(F.col("net_savings_usd")).alias("total_net_savings_usd"),
-        F.count_if("rerouting_recommended").alias("vessels_to_reroute"),
+        F.expr("count(1) AS total_vessels"),
+        F.expr("count_if(risk_level = 'Critical') AS critical_vessels"),
+        F.expr("count_if(risk_level = 'High') AS high_vessels"),
+        F.expr(f"round({exact_avg('delay_risk_score', 1)}, 3) AS avg_risk_score"),
+        F.expr(f"{exact_sum('delay_cost_usd')} AS total_delay_cost_usd"),
+        F.expr(f"{exact_sum('net_savings_usd')} AS total_net_savings_usd"),
+        F.expr("count_if(rerouting_recommended) AS vessels_to_reroute"),
     )
 
 
 def distribution(df: DataFrame, columns: Sequence[str], ranks: Sequence[str] | None = None) -> DataFrame:
     """Rows per combination of ``columns``; the most frequent first, or in the order of ``ranks``."""
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt"))
-    if ranks is not None:
-        return counted.orderBy(label_rank(F.col(columns[0]), ranks), *columns)
-    return counted.orderBy(F.desc("cnt"), *columns)
+    counted = df.groupBy(*columns).agg(F.expr("count(1) AS cnt"))
+    first = F.expr(label_rank(columns[0], ranks)) if ranks is not None else F.desc("cnt")
+    return counted.orderBy(first, *columns)
 
 
-def ranked(df: DataFrame, by: str, tiebreak: Sequence[str], where: Column | None = None, n: int | None = None) -> DataFrame:
-    """Rows that satisfy ``where``, the highest ``by`` first; only the first ``n`` if given."""
-    out = (df.where(where) if where is not None else df).orderBy(F.desc(by), *tiebreak)
+def ranked(
+    df: DataFrame, by: str, tiebreak: Sequence[str], where: str | None = None, n: int | None = None
+) -> DataFrame:
+    """Rows that satisfy ``where``, the highest ``by`` first; only the first ``n`` if given.
+
+    End ``tiebreak`` with a unique column: it makes the order repeatable, and lets the sort spread
+    rows that share a value of ``by`` over several tasks.
+    """
+    out = (df.where(where) if where else df).orderBy(F.desc(by), *tiebreak)
     return out.limit(n) if n is not None else out
 
 
 def high_risk_vessels(df: DataFrame) -> DataFrame:
     columns = ["VesselName", "port_zone", "risk_level", "delay_risk_score", "safety_score", "rerouting_recommended"]
-    chosen = F.col("risk_level").isin("Critical", "High")
-    return ranked(df, "delay_risk_score", ["VesselName"], chosen).select(*columns)
+    chosen = "risk_level IN ('Critical', 'High')"
+    return ranked(df, "delay_risk_score", ["VesselName", "MMSI"], chosen).select(*columns)
 
 
 def reroute_list(df: DataFrame) -> DataFrame:
@@ -55,23 +59,28 @@ def reroute_list(df: DataFrame) -> DataFrame:
         "net_savings_usd",
         "rerouting_recommendation",
     ]
-    return ranked(df, "net_savings_usd", ["VesselName"], F.col("rerouting_recommended")).select(*columns)
+    return ranked(df, "net_savings_usd", ["VesselName", "MMSI"], "rerouting_recommended").select(*columns)
 
 
 def critical_zones(zones: DataFrame) -> DataFrame:
-    return ranked(zones, "risk_score", ["zone_name"], F.col("risk_level") == "Critical")
+    columns = ["zone_name", "risk_level", "risk_score", "description", "affected_routes"]
+    return ranked(zones, "risk_score", ["zone_name"], "risk_level = 'Critical'").select(*columns)
 
 
 def port_summary(df: DataFrame) -> DataFrame:
     """Risk, obstacle and zone measures per port."""
+
+    def measures(score: str, name: str, digits: int):
+        return (
+            F.expr(f"round({exact_avg(score, digits)}, 3) AS avg_{name}"),
+            F.expr(f"max({score}) AS max_{name}"),
+        )
+
     return df.groupBy("port_zone").agg(
-        F.count(F.lit(1)).alias("vessels"),
-        F.round(exact_avg(F.col("delay_risk_score"), 1), 3).alias("avg_delay_risk"),
-        F.max("delay_risk_score").alias("max_delay_risk"),
-        F.round(exact_avg(F.col("obstacle_risk_score"), 0), 3).alias("avg_obstacle_risk"),
-        F.max("obstacle_risk_score").alias("max_obstacle_risk"),
-        F.round(exact_avg(F.col("geopolitical_risk_score"), 0), 3).alias("avg_geopolitical_risk"),
-        F.max("geopolitical_risk_score").alias("max_geopolitical_risk"),
+        F.expr("count(1) AS vessels"),
+        *measures("delay_risk_score", "delay_risk", 1),
+        *measures("obstacle_risk_score", "obstacle_risk", 0),
+        *measures("geopolitical_risk_score", "geopolitical_risk", 0),
     )
 
 

@@ -2,81 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from seawarden import fixed_values as fixed
 from seawarden.functions.bands import bands, labels, weighted
-from seawarden.functions.text import template
-
-
-def slowdown_events() -> Column:
-    """An estimate from the record count, for a vessel that is nearly stopped but was cruising."""
-    slowed = (F.col("latest_sog") < 3) & (F.col("avg_sog") > 8)
-    return bands([(slowed, F.round(F.col("record_count") * 0.3, 0))], F.lit(0.0))
-
-
-def slowdown_score() -> Column:
-    speed, events = F.col("latest_sog"), F.col("slowdown_events")
-    return bands([(speed < 3, 80 + events * 2), (speed < 8, 50 + events * 1.5)], F.lit(20.0), digits=1)
-
-
-def weather_severity_score() -> Column:
-    wind, wave, sight = F.col("wind_speed_kmh"), F.col("wave_height_m"), F.col("visibility_m")
-    return bands(
-        [
-            ((wind > 50) | (wave > 4), 80 + wind * 0.3),
-            ((wind > 30) | (wave > 2), 50 + wind * 0.3),
-            (sight < 2000, F.lit(60.0)),
-        ],
-        15 + wind * 0.2,
-        digits=1,
-    )
-
-
-def port_proximity_score() -> Column:
-    """Higher near a port; the lowest score beyond 30 km and for an unknown distance."""
-    km = F.col("distance_to_port_km")
-    return bands([(km < 10, 70 + (10 - km) * 3), (km < 30, 40 + (30 - km) * 1.5)], F.lit(10.0), digits=1)
+from seawarden.functions.text import quote, template
+from seawarden.operators import add
+
+# An estimate from the record count, for a vessel that is nearly stopped but was cruising.
+SLOWDOWN_EVENTS = bands([("latest_sog < 3 AND avg_sog > 8", "round(record_count * 0.3D, 0)")], "0D")
+
+SLOWDOWN_SCORE = bands(
+    [("latest_sog < 3", "80 + slowdown_events * 2"), ("latest_sog < 8", "50 + slowdown_events * 1.5D")],
+    "20D",
+    digits=1,
+)
+
+WEATHER_SEVERITY_SCORE = bands(
+    [
+        ("wind_speed_kmh > 50 OR wave_height_m > 4", "80 + wind_speed_kmh * 0.3D"),
+        ("wind_speed_kmh > 30 OR wave_height_m > 2", "50 + wind_speed_kmh * 0.3D"),
+        ("visibility_m < 2000", "60D"),
+    ],
+    "15 + wind_speed_kmh * 0.2D",
+    digits=1,
+)
+
+# Highest at the port; an unknown distance scores as a far one.
+PORT_PROXIMITY_SCORE = bands(
+    [
+        ("distance_to_port_km < 10", "70 + (10 - distance_to_port_km) * 3"),
+        ("distance_to_port_km < 30", "40 + (30 - distance_to_port_km) * 1.5D"),
+    ],
+    "10D",
+    digits=1,
+)
 
 
 def add_slowdown_scores(df: DataFrame) -> DataFrame:
-    return df.withColumn("slowdown_events", slowdown_events()).withColumn("slowdown_score", slowdown_score())
+    return add(add(df, slowdown_events=SLOWDOWN_EVENTS), slowdown_score=SLOWDOWN_SCORE)
 
 
 def add_weather_scores(df: DataFrame) -> DataFrame:
-    severity = labels(F.col("weather_severity_score"), fixed.WEATHER_LABEL_BANDS, fixed.LOWEST_LABEL)
-    return df.withColumn("weather_severity_score", weather_severity_score()).withColumn("weather_severity", severity)
+    severity = labels("weather_severity_score", fixed.WEATHER_LABEL_BANDS, fixed.LOWEST_LABEL)
+    return add(add(df, weather_severity_score=WEATHER_SEVERITY_SCORE), weather_severity=severity)
 
 
 def add_proximity_scores(df: DataFrame) -> DataFrame:
-    return df.withColumn("port_proximity_score", port_proximity_score())
+    return add(df, port_proximity_score=PORT_PROXIMITY_SCORE)
 
 
 def add_delay_risk(df: DataFrame) -> DataFrame:
     """The composite score and its level."""
-    level = labels(F.col("delay_risk_score"), fixed.RISK_LEVEL_BANDS, fixed.LOWEST_LABEL)
-    return df.withColumn("delay_risk_score", weighted(fixed.DELAY_RISK_WEIGHTS, digits=1)).withColumn("risk_level", level)
+    level = labels("delay_risk_score", fixed.RISK_LEVEL_BANDS, fixed.LOWEST_LABEL)
+    return add(add(df, delay_risk_score=weighted(fixed.DELAY_RISK_WEIGHTS, digits=1)), risk_level=level)
 
 
 def add_messages(df: DataFrame) -> DataFrame:
     """Recommended action and summary, by level."""
-    level = F.col("risk_level")
-    action = [(level == name, template(fixed.ACTION_TEXT[name])) for name in ("Critical", "High", "Medium")]
-    summary = [(level == name, template(fixed.SUMMARY_TEXT[name])) for name in ("Critical", "High")]
-    return df.withColumns(
-        {
-            "recommended_action": bands(action, F.lit(fixed.ACTION_TEXT["Low"])),
-            "disruption_summary": bands(summary, F.lit(fixed.SUMMARY_TEXT["other"])),
-        }
+
+    def by_level(texts: dict[str, str], default: str) -> str:
+        rules = [(f"risk_level = {quote(level)}", template(text)) for level, text in texts.items() if level != default]
+        return bands(rules, template(texts[default]))
+
+    return add(
+        df,
+        recommended_action=by_level(fixed.ACTION_TEXT, "Low"),
+        disruption_summary=by_level(fixed.SUMMARY_TEXT, "other"),
     )
 
 
 def score(df: DataFrame) -> DataFrame:
-    """All risk columns."""
-    return (
-        df.transform(add_slowdown_scores)
-        .transform(add_weather_scores)
-        .transform(add_proximity_scores)
-        .transform(add_delay_risk)
-        .transform(add_messages)
+    """All risk columns. The three component scores do not depend on each other: two steps for all."""
+    first = add(
+        df,
+        slowdown_events=SLOWDOWN_EVENTS,
+        weather_severity_score=WEATHER_SEVERITY_SCORE,
+        port_proximity_score=PORT_PROXIMITY_SCORE,
     )
+    severity = labels("weather_severity_score", fixed.WEATHER_LABEL_BANDS, fixed.LOWEST_LABEL)
+    second = add(first, slowdown_score=SLOWDOWN_SCORE, weather_severity=severity)
+    return add_messages(add_delay_risk(second))

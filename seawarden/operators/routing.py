@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from seawarden import fixed_values as fixed
 from seawarden.functions.bands import bands, weighted
-from seawarden.functions.text import template
+from seawarden.functions.text import quote, template
+from seawarden.operators import add
 
+CRITICAL, HIGH, MEDIUM = (f"risk_level = '{name}'" for name in ("Critical", "High", "Medium"))
 
-def _level(name: str) -> Column:
-    return F.col("risk_level") == name
+DELAY_HOURS = bands(
+    [
+        (CRITICAL, "24 + (delay_risk_score - 70) * 0.5D"),
+        (HIGH, "8 + (delay_risk_score - 50) * 0.3D"),
+        (MEDIUM, "2 + (delay_risk_score - 30) * 0.1D"),
+    ],
+    "0.5D",
+)
+LATE_PENALTY_USD = "5000 * " + bands([(CRITICAL, "1.5D"), (HIGH, "0.5D")], "0.1D")
+DETOUR_MILES = bands(
+    [
+        (CRITICAL, "200 + geopolitical_risk_score * 2D"),
+        (HIGH, "100 + obstacle_risk_score * 1.5D"),
+        (MEDIUM, "50D"),
+    ],
+    "0D",
+)
 
 
 def add_profile(df: DataFrame, routes: DataFrame, obstacles: DataFrame, fuel: DataFrame) -> DataFrame:
@@ -18,9 +35,9 @@ def add_profile(df: DataFrame, routes: DataFrame, obstacles: DataFrame, fuel: Da
     route, geo, zones = fixed.ROUTE_DEFAULT
     worst = obstacles.groupBy("port_zone").agg(F.max("obstacle_risk_score").alias("obstacle_risk_score"))
     defaults = {
-        "route_type": route,
+        "route_type": quote(route),
         "geopolitical_risk_score": geo,
-        "transit_zones": zones,
+        "transit_zones": quote(zones),
         "obstacle_risk_score": fixed.OBSTACLE_SCORE_DEFAULT,
         "fuel_cost_per_hour_usd": fixed.FUEL_COST_DEFAULT,
     }
@@ -28,73 +45,54 @@ def add_profile(df: DataFrame, routes: DataFrame, obstacles: DataFrame, fuel: Da
         df.join(routes, "port_zone", "left")
         .join(worst, "port_zone", "left")
         .join(fuel.withColumnRenamed("vessel_type", "VesselTypeName"), "VesselTypeName", "left")
-        .withColumns({name: F.coalesce(F.col(name), F.lit(value)) for name, value in defaults.items()})
-        .select(*df.columns, *defaults)
+        .selectExpr(*df.columns, *[f"coalesce({name}, {value}) AS {name}" for name, value in defaults.items()])
     )
 
 
 def add_costs(df: DataFrame) -> DataFrame:
     """Safety score, delay and rerouting cost. Costs use the hours and miles before rounding."""
-    risk, geo, obstacle = F.col("delay_risk_score"), F.col("geopolitical_risk_score"), F.col("obstacle_risk_score")
-    fuel = F.col("fuel_cost_per_hour_usd")
-    hours = bands(
-        [
-            (_level("Critical"), 24 + (risk - 70) * 0.5),
-            (_level("High"), 8 + (risk - 50) * 0.3),
-            (_level("Medium"), 2 + (risk - 30) * 0.1),
-        ],
-        F.lit(0.5),
-    )
-    penalty = bands([(_level("Critical"), F.lit(1.5)), (_level("High"), F.lit(0.5))], F.lit(0.1))
-    miles = bands(
-        [
-            (_level("Critical"), 200.0 + geo * 2),
-            (_level("High"), 100 + obstacle * 1.5),
-            (_level("Medium"), F.lit(50.0)),
-        ],
-        F.lit(0.0),
-    )
-    return (
-        df.withColumns({"_hours": hours, "_miles": miles})
-        .withColumns({"_delay": fuel * F.col("_hours") + 5000 * penalty, "_reroute": F.col("_miles") * fuel * 0.05})
-        .withColumns(
-            {
-                "safety_score": F.round(100 - weighted(fixed.SAFETY_WEIGHTS), 1),
-                "estimated_delay_hours": F.round("_hours", 1),
-                "delay_cost_usd": F.round("_delay", 0),
-                "rerouting_distance_nm": F.round("_miles", 0),
-                "rerouting_cost_usd": F.round("_reroute", 0),
-                "net_savings_usd": F.round(F.col("_delay") - F.col("_reroute"), 0),
-            }
-        )
-        .drop("_hours", "_miles", "_delay", "_reroute")
+    parts = add(
+        add(df, _hours=DELAY_HOURS, _miles=DETOUR_MILES),
+        _delay=f"fuel_cost_per_hour_usd * _hours + {LATE_PENALTY_USD}",
+        _reroute="_miles * fuel_cost_per_hour_usd * 0.05D",
     )
+    return add(
+        parts,
+        safety_score=f"round(100 - {weighted(fixed.SAFETY_WEIGHTS)}, 1)",
+        estimated_delay_hours="round(_hours, 1)",
+        delay_cost_usd="round(_delay, 0)",
+        rerouting_distance_nm="round(_miles, 0)",
+        rerouting_cost_usd="round(_reroute, 0)",
+        net_savings_usd="round(_delay - _reroute, 0)",
+    ).drop("_hours", "_miles", "_delay", "_reroute")
 
 
 def decide(df: DataFrame) -> DataFrame:
-    """Whether to reroute, how urgent it is, and what to tell the operator."""
-    risk, geo, obstacle = F.col("delay_risk_score"), F.col("geopolitical_risk_score"), F.col("obstacle_risk_score")
-    critical, high = _level("Critical"), _level("High")
-    # A critical vessel always reroutes; a high one only if its zone or an obstacle adds to the risk.
-    reroute = F.coalesce(critical | (high & ((geo > 40) | (obstacle > 25))), F.lit(False))
-    priority = bands(
-        [
-            (critical | (geo > 60), F.lit("Safety Critical")),
-            (high, F.lit("Balanced")),
-            ((risk > 30) & (obstacle > 20), F.lit("Cost Optimized")),
-        ],
-        F.lit("Monitor"),
-    )
+    """Whether to reroute, how urgent it is, and what to tell the operator.
+
+    A critical vessel always reroutes; a high one only if its zone or an obstacle adds to the risk.
+    """
     text = {name: template(message) for name, message in fixed.REROUTING_TEXT.items()}
-    advice = bands(
-        [
-            (critical & (geo > 60), text["critical_zone"]),
-            (critical, text["critical"]),
-            (high & (obstacle > 25), text["high_obstacle"]),
-            (high, text["high"]),
-        ],
-        text["other"],
-    )
-    return df.withColumns(
-        {"rerouting_recommended": reroute, "routing_priority": priority, "rerouting_recommendation": advice}
+    return add(
+        df,
+        rerouting_recommended=(
+            f"coalesce({CRITICAL} OR ({HIGH} AND (geopolitical_risk_score > 40 OR obstacle_risk_score > 25)), false)"
+        ),
+        routing_priority=bands(
+            [
+                (f"{CRITICAL} OR geopolitical_risk_score > 60", "'Safety Critical'"),
+                (HIGH, "'Balanced'"),
+                ("delay_risk_score > 30 AND obstacle_risk_score > 20", "'Cost Optimized'"),
+            ],
+            "'Monitor'",
+        ),
+        rerouting_recommendation=bands(
+            [
+                (f"{CRITICAL} AND geopolitical_risk_score > 60", text["critical_zone"]),
+                (CRITICAL, text["critical"]),
+                (f"{HIGH} AND obstacle_risk_score > 25", text["high_obstacle"]),
+                (HIGH, text["high"]),
+            ],
+            text["other"],
+        ),
     )

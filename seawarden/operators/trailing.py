@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from seawarden.functions.stats import scaled
-
-STOPPED_BELOW = 3
-CRUISING_ABOVE = 8
+from seawarden.functions.stats import exact_avg
+from seawarden.operators import add
 
 
 def trailing_average(
@@ -27,35 +25,29 @@ def trailing_average(
     edge readings alone go through a window per vessel, at most ``2 * rows`` per bucket of time,
     however many readings the vessel has. (key, time) must be unique, as ``dedup`` leaves it.
     """
-    bucket = F.floor(F.unix_micros(time) / F.lit(bucket_days * 86_400_000_000.0))
-    local = Window.partitionBy(key, "_bucket").orderBy(time)
-    track = Window.partitionBy(key).orderBy(time)
-
-    def mean_before(window):
-        before = window.rowsBetween(-rows, -1)
-        total = F.sum(scaled(F.col(value), digits)).over(before)
-        return total / F.lit(float(10**digits)) / F.count(value).over(before)
-
-    inside = df.withColumn("_bucket", bucket).withColumns(
-        {
-            "_position": F.row_number().over(local),
-            "_near_end": F.lead(F.lit(1), rows).over(local).isNull(),
-            "trailing_avg": mean_before(local),
-        }
+    local = f"PARTITION BY {key}, _bucket ORDER BY {time}"
+    before = f"ORDER BY {time} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING"
+    inside = add(
+        add(df, _bucket=f"floor(unix_micros({time}) / {bucket_days * 86_400_000_000.0}D)"),
+        _position=f"row_number() OVER ({local})",
+        _near_end=f"lead(1, {rows}) OVER ({local}) IS NULL",
+        trailing_avg=exact_avg(value, digits, f"OVER (PARTITION BY {key}, _bucket {before})"),
     )
-    body = inside.where(F.col("_position") > rows)
-    edges = (
-        inside.where((F.col("_position") <= rows) | F.col("_near_end"))
-        .withColumn("trailing_avg", mean_before(track))
-        .where(F.col("_position") <= rows)
+    kept = [*df.columns, "trailing_avg"]
+    body = inside.where(f"_position > {rows}").select(*kept)
+    edges = add(
+        inside.where(f"_position <= {rows} OR _near_end").drop("trailing_avg"),
+        trailing_avg=exact_avg(value, digits, f"OVER (PARTITION BY {key} {before})"),
     )
-    return body.unionByName(edges).drop("_bucket", "_position", "_near_end")
+    return body.unionByName(edges.where(f"_position <= {rows}").select(*kept))
 
 
 def speed_drops(df: DataFrame, rows: int = 24, **kwargs) -> DataFrame:
     """Marks readings below 3 knots after a recent average above 8 (``speed_drop``)."""
-    drop = (F.col("SOG") < STOPPED_BELOW) & (F.col("trailing_avg") > CRUISING_ABOVE)
-    return trailing_average(df, rows=rows, **kwargs).withColumn("speed_drop", F.coalesce(drop, F.lit(False)))
+    return add(
+        trailing_average(df, rows=rows, **kwargs),
+        speed_drop="coalesce(SOG < 3 AND trailing_avg > 8, false)",
+    )
 
 
 def speed_drop_counts(df: DataFrame, rows: int = 24, **kwargs) -> DataFrame:
@@ -64,8 +56,8 @@ def speed_drop_counts(df: DataFrame, rows: int = 24, **kwargs) -> DataFrame:
         speed_drops(df, rows, **kwargs)
         .groupBy("MMSI")
         .agg(
-            F.count(F.lit(1)).alias("record_count"),
-            F.count_if("speed_drop").alias("speed_drop_events"),
-            F.max(F.when(F.col("speed_drop"), F.col("BaseDateTime"))).alias("last_drop_time"),
+            F.expr("count(1) AS record_count"),
+            F.expr("count_if(speed_drop) AS speed_drop_events"),
+            F.expr("max(BaseDateTime) FILTER (WHERE speed_drop) AS last_drop_time"),
         )
     )

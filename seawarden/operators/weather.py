@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from seawarden import fixed_values as fixed
+from seawarden.operators import add, replace
 
 WEATHER_COLUMNS = tuple(fixed.WEATHER_DEFAULTS)
 
@@ -14,24 +15,21 @@ WEATHER_COLUMNS = tuple(fixed.WEATHER_DEFAULTS)
 def parse(df: DataFrame, forecast: str = "forecast_json", marine: str = "marine_json") -> DataFrame:
     """The seven weather numbers from two JSON payloads; a missing or malformed field gives null."""
 
-    def current(payload: str, fields: dict[str, str]) -> tuple[Column, dict[str, str]]:
+    def current(payload: str, fields: dict[str, str]) -> str:
         inner = ", ".join(f"{name}: double" for name in fields)
-        return F.from_json(payload, f"current struct<{inner}>"), fields
+        return f"from_json({payload}, 'current struct<{inner}>').current"
 
-    out = {}
-    for payload, fields in (current(forecast, fixed.FORECAST_FIELDS), current(marine, fixed.MARINE_FIELDS)):
-        out.update({column: payload["current"][name] for name, column in fields.items()})
-    return df.withColumns({name: out[name] for name in WEATHER_COLUMNS})
+    parsed = add(df, _forecast=current(forecast, fixed.FORECAST_FIELDS), _marine=current(marine, fixed.MARINE_FIELDS))
+    source = {column: f"_forecast.{name}" for name, column in fixed.FORECAST_FIELDS.items()}
+    source.update({column: f"_marine.{name}" for name, column in fixed.MARINE_FIELDS.items()})
+    return add(parsed, **{name: source[name] for name in WEATHER_COLUMNS}).drop("_forecast", "_marine")
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
     """Defaults for missing numbers; ``weather_imputed`` tells that at least one was missing."""
-    missing = None
-    for name in WEATHER_COLUMNS:
-        is_null = F.col(name).isNull()
-        missing = is_null if missing is None else missing | is_null
-    filled = {name: F.coalesce(F.col(name), F.lit(default)) for name, default in fixed.WEATHER_DEFAULTS.items()}
-    return df.withColumn("weather_imputed", missing).withColumns(filled)
+    missing = " OR ".join(f"{name} IS NULL" for name in WEATHER_COLUMNS)
+    filled = {name: f"coalesce({name}, {default}D)" for name, default in fixed.WEATHER_DEFAULTS.items()}
+    return replace(add(df, weather_imputed=missing), filled)
 
 
 def as_of(
@@ -59,52 +57,44 @@ def as_of(
 
     ``df`` is read once. Rows with a null place or time get nulls.
     """
-    width = F.lit(bucket_hours * 3_600_000_000.0)
 
-    def bucket(column: str) -> Column:
-        return F.floor(F.unix_micros(F.col(column)) / width)
+    def bucket(time: str) -> str:
+        return f"floor(unix_micros({time}) / {bucket_hours * 3_600_000_000.0}D)"
 
-    seen = (
-        observations.where(F.col(obs_by).isNotNull() & F.col(obs_time).isNotNull())
-        .select(F.col(obs_by).alias("_by"), F.col(obs_time).alias("_at"), F.struct(obs_time, *values).alias("_obs"))
+    seen = add(
+        observations.where(f"{obs_by} IS NOT NULL AND {obs_time} IS NOT NULL")
+        .selectExpr(f"{obs_by} AS _by", f"{obs_time} AS _at", f"struct({', '.join([obs_time, *values])}) AS _obs")
         .groupBy("_by", "_at")
-        .agg(F.max("_obs").alias("_obs"))
-        .withColumn("_bucket", bucket("_at"))
+        .agg(F.expr("max(_obs) AS _obs")),
+        _bucket=bucket("_at"),
     )
-    closing = (
-        seen.groupBy("_by", "_bucket")
-        .agg(F.max_by("_obs", "_at").alias("_obs"), F.max("_at").alias("_at"))
-        .withColumn("_next", F.lead("_bucket").over(Window.partitionBy("_by").orderBy("_bucket")))
+    closing = add(
+        seen.groupBy("_by", "_bucket").agg(F.expr("max_by(_obs, _at) AS _obs"), F.expr("max(_at) AS _at")),
+        _next="lead(_bucket) OVER (PARTITION BY _by ORDER BY _bucket)",
     )
-    carried = closing.where(F.col("_next").isNotNull()).select(
-        "_by", "_at", "_obs", F.explode(F.sequence(F.col("_bucket") + 1, F.col("_next"))).alias("_bucket")
+    carried = closing.where("_next IS NOT NULL").selectExpr(
+        "_by", "_at", "_obs", "explode(sequence(_bucket + 1, _next)) AS _bucket"
     )
-    final = closing.where(F.col("_next").isNull()).select(
-        F.col("_by"), F.col("_at").alias("_final_at"), F.col("_obs").alias("_final_obs")
+    final = closing.where("_next IS NULL").selectExpr("_by", "_at AS _final_at", "_obs AS _final_obs")
+    feed = seen.unionByName(carried).selectExpr(
+        "*", "false AS _is_row", f"explode(sequence(0L, {splits - 1}L)) AS _split"
     )
-    every_split = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(splits - 1).cast("long")))
-    feed = seen.unionByName(carried).withColumns({"_is_row": F.lit(False), "_split": every_split})
-
-    rows = df.withColumns(
-        {
-            "_by": F.col(by),
-            "_at": F.col(on),
-            "_bucket": bucket(on),
-            "_is_row": F.lit(True),
-            "_split": F.pmod(F.xxhash64(*df.columns), F.lit(splits)),
-        }
+    rows = add(
+        df,
+        _by=by,
+        _at=on,
+        _bucket=bucket(on),
+        _is_row="true",
+        _split=f"pmod(xxhash64({', '.join(df.columns)}), {splits}L)",
     )
-    so_far = (
-        Window.partitionBy("_by", "_bucket", "_split")
-        .orderBy("_at", "_is_row")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = add(
+        rows.unionByName(feed, allowMissingColumns=True),
+        _found="last(_obs, true) OVER (PARTITION BY _by, _bucket, _split ORDER BY _at, _is_row"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
     )
-    in_force = F.coalesce("_found", F.when(F.col("_final_at") <= F.col("_at"), F.col("_final_obs")))
     return (
-        rows.unionByName(feed, allowMissingColumns=True)
-        .withColumn("_found", F.last("_obs", ignorenulls=True).over(so_far))
-        .where("_is_row")
+        found.where("_is_row")
         .join(final, "_by", "left")
-        .withColumn("_found", in_force)
-        .select(*df.columns, "_found.*")
+        .selectExpr(*df.columns, "coalesce(_found, if(_final_at <= _at, _final_obs, NULL)) AS _found")
+        .selectExpr(*df.columns, "_found.*")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from seawarden.operators import audit, profile, proximity, refine, risk, routing, weather
 from seawarden.sources import reference, schemas, tables
@@ -76,7 +76,7 @@ def publish(
 
     raw = save(bronze, "ais_bronze")
     if silver_by_day:
-        by_day = silver(raw).withColumn("report_date", F.to_date("BaseDateTime"))
+        by_day = silver(raw).selectExpr("*", "to_date(BaseDateTime) AS report_date")
         clean = tables.save(by_day, f"{database}.ais_silver", fmt=fmt, partition_by=["report_date"]).drop("report_date")
     else:
         clean = save(silver(raw), "ais_silver")

@@ -8,9 +8,10 @@ monitored area. Vessels of slot 6 belong to no known port; slot 5 has no weather
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from seawarden import fixed_values as fixed
+from seawarden.functions.text import quote
 from seawarden.sources import schemas
 
 OFFSHORE = "Offshore"
@@ -20,7 +21,6 @@ PORT_NAMES = [zone[0] for zone in fixed.PORT_ZONES] + [OFFSHORE]
 CENTER_LATS = [zone[1] for zone in fixed.PORT_ZONES] + [36.0]
 CENTER_LONS = [zone[2] for zone in fixed.PORT_ZONES] + [-70.0]
 STATUS_CODES = (0, 1, 5, 7, 99)
-TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,85 +33,80 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
 
 
-def _pick(values, index: Column) -> Column:
+def _pick(values, index: str) -> str:
     """The index-th of a few fixed values, counted from 0."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _hour(ts: str) -> Column:
-    return F.date_trunc("hour", F.col(ts).cast("timestamp"))
-
-
-def _reports(events: DataFrame) -> DataFrame:
-    """Bronze columns and the event id."""
-    vessel, event = F.col("user_id"), F.col("event_id")
-    slot = vessel % SLOTS
-    lat = _pick(CENTER_LATS, slot) + (event * 37 % 101 - 50) * 0.005
-    return events.select(
-        event.alias("report_id"),
-        (vessel + 200000000).alias("MMSI"),
-        F.date_format(_hour("ts"), TIME_FORMAT).alias("BaseDateTime"),
-        F.when(event % 97 == 0, 61.0).otherwise(lat).alias("LAT"),
-        (_pick(CENTER_LONS, slot) + (event * 53 % 103 - 51) * 0.005).alias("LON"),
-        F.round(F.col("value") * 0.2, 2).alias("SOG"),
-        ((event * 29 % 3600) / 10).alias("COG"),
-        _pick(fixed.VESSEL_TYPE_CODES, (vessel * 5 + 3) % 6).alias("VesselType"),
-        _pick(STATUS_CODES, event % 5).alias("Status"),
-        F.format_string("VESSEL %04d", vessel).alias("VesselName"),
-        _pick(PORT_NAMES, slot).alias("PortZone"),
-    )
+    return f"element_at(array({', '.join(map(_literal, values))}), cast({index} + 1 AS int))"
+
+
+def _literal(value) -> str:
+    return quote(value) if isinstance(value, str) else f"{value}D" if isinstance(value, float) else str(value)
+
+
+_SLOT = f"user_id % {SLOTS}"
+_HOUR = "date_trunc('hour', cast(ts AS timestamp))"
+_LAT = f"{_pick(CENTER_LATS, _SLOT)} + (event_id * 37 % 101 - 50) * 0.005D"
+_LON = f"{_pick(CENTER_LONS, _SLOT)} + (event_id * 53 % 103 - 51) * 0.005D"
+
+_REPORT = {
+    "MMSI": "user_id + 200000000L",
+    "BaseDateTime": f"replace(cast({_HOUR} AS string), ' ', 'T')",
+    "LAT": f"if(event_id % 97 = 0, 61D, {_LAT})",
+    "LON": _LON,
+    "SOG": "round(value * 0.2D, 2)",
+    "COG": "event_id * 29 % 3600 / 10",
+    "VesselType": _pick(fixed.VESSEL_TYPE_CODES, "(user_id * 5 + 3) % 6"),
+    "Status": _pick(STATUS_CODES, "event_id % 5"),
+    "VesselName": "concat('VESSEL ', lpad(user_id, greatest(4, length(user_id)), '0'))",
+    "PortZone": _pick(PORT_NAMES, _SLOT),
+}
+
+
+def _reports(events: DataFrame, extra: dict[str, str], changed: dict[str, str]) -> DataFrame:
+    columns = {**extra, **_REPORT, **changed}
+    return events.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def positions(events: DataFrame) -> DataFrame:
     """Bronze position reports, with time as ISO text. Works on a table and on a stream."""
-    return schemas.conform(_reports(events), schemas.AIS_BRONZE)
+    return schemas.conform(_reports(events, {}, {}), schemas.AIS_BRONZE)
 
 
 def faulty_positions(events: DataFrame) -> DataFrame:
     """The same reports, some with a damaged time, position or speed, and their ``report_id``."""
-    report = F.col("report_id")
-    return _reports(events).withColumns(
-        {
-            "BaseDateTime": F.when(report % 89 == 0, "not-a-time")
-            .when(report % 83 == 0, F.lit(None))
-            .when(report % 79 == 0, "2024-13-01T00:00:00")
-            .otherwise(F.col("BaseDateTime")),
-            "LON": F.when(report % 73 == 0, -131.0).otherwise(F.col("LON")),
-            "SOG": F.when(report % 71 == 0, -1.0).when(report % 67 == 0, F.lit(None)).otherwise(F.col("SOG")),
-        }
-    )
+    changed = {
+        "BaseDateTime": "CASE WHEN event_id % 89 = 0 THEN 'not-a-time' WHEN event_id % 83 = 0 THEN NULL"
+        f" WHEN event_id % 79 = 0 THEN '2024-13-01T00:00:00' ELSE {_REPORT['BaseDateTime']} END",
+        "LON": f"if(event_id % 73 = 0, -131D, {_LON})",
+        "SOG": "CASE WHEN event_id % 71 = 0 THEN -1D WHEN event_id % 67 = 0 THEN NULL ELSE round(value * 0.2D, 2) END",
+    }
+    return _reports(events, {"report_id": "event_id"}, changed)
 
 
 def weather(events: DataFrame) -> DataFrame:
     """Hourly observations per port, with wind, waves and visibility only."""
-    hours = events.where(F.col("event_type") == "view").select(_hour("ts").alias("obs_time")).distinct()
-    h = F.dayofmonth("obs_time") * 24 + F.hour("obs_time")
-    slot = F.col("slot")
-    observed = (
-        hours.withColumn("slot", F.explode(F.array(*[F.lit(s) for s in WEATHER_SLOTS])))
-        .withColumns(
-            {
-                "port_zone": _pick(PORT_NAMES, slot),
-                "wind_speed_kmh": 5 + (h * 7 + slot * 11) % 60,
-                "wave_height_m": (10 + (h * 13 + slot * 7) % 40) / 10,
-                "visibility_m": 500 + (h * 131 + slot * 17) % 9500,
-            }
-        )
-        .withColumns({name: F.lit(None) for name in ("wind_gusts_kmh", "temperature_c", "precipitation_mm", "cloud_cover_pct")})
+    hours = events.where("event_type = 'view'").selectExpr(f"{_HOUR} AS obs_time").distinct()
+    slots = f"explode(array({', '.join(map(str, WEATHER_SLOTS))})) AS slot"
+    observed = hours.selectExpr("obs_time", "dayofmonth(obs_time) * 24 + hour(obs_time) AS h", slots).selectExpr(
+        f"{_pick(PORT_NAMES, 'slot')} AS port_zone",
+        "obs_time",
+        "cast(5 + (h * 7 + slot * 11) % 60 AS double) AS wind_speed_kmh",
+        "cast(NULL AS double) AS wind_gusts_kmh",
+        "cast(NULL AS double) AS temperature_c",
+        "cast(NULL AS double) AS precipitation_mm",
+        "cast(500 + (h * 131 + slot * 17) % 9500 AS double) AS visibility_m",
+        "cast(NULL AS double) AS cloud_cover_pct",
+        "(10 + (h * 13 + slot * 7) % 40) / 10 AS wave_height_m",
     )
     return schemas.conform(observed, schemas.WEATHER_OBSERVATIONS)
 
 
 def payloads(events: DataFrame) -> DataFrame:
     """Raw service payloads built from ``props``: some lack fields, some are cut off, some are absent."""
-    event = F.col("event_id")
-    forecast = F.concat(F.lit('{"current": '), F.regexp_replace("props", '"k"', '"wind_speed_10m"'), F.lit("}"))
-    marine = F.concat(F.lit('{"current": {"wave_height": '), (event % 50 / 10).cast("string"), F.lit("}}"))
-    return events.select(
+    forecast = """concat('{"current": ', replace(props, '"k"', '"wind_speed_10m"'), '}')"""
+    marine = """concat('{"current": {"wave_height": ', cast(event_id % 50 / 10 AS string), '}}')"""
+    partial = """'{"current": {"visibility": 1200, "cloud_cover": 80.5}}'"""
+    return events.selectExpr(
         "event_id",
-        F.when(event % 11 == 0, F.lit("{"))
-        .when(event % 7 == 0, F.lit('{"current": {"visibility": 1200, "cloud_cover": 80.5}}'))
-        .otherwise(forecast)
-        .alias("forecast_json"),
-        F.when(event % 13 == 0, F.lit(None)).otherwise(marine).alias("marine_json"),
+        f"CASE WHEN event_id % 11 = 0 THEN '{{' WHEN event_id % 7 = 0 THEN {partial} ELSE {forecast} END AS forecast_json",
+        f"if(event_id % 13 = 0, NULL, {marine}) AS marine_json",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -127,12 +127,13 @@ TABLES: dict[str, StructType] = {
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema``, in its order, types and comments.
 
-    A column that is absent is an error, not skipped. Casts only widen or round-trip here
-    (int to bigint, decimal to double); a cast that would lose a value fails under ANSI mode.
+    A column that is absent is an error, not skipped. Casts follow Spark's store assignment: they
+    widen (int to bigint, decimal to double) and fail on a value that does not fit.
     """
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=dict(f.metadata or {})) for f in schema.fields]
-    )
+    absent = [name for name in schema.names if name not in df.columns]
+    if absent:
+        raise ValueError("columns missing: " + ", ".join(absent))
+    return df.to(schema)
 
 
 def check(df: DataFrame, schema: StructType) -> DataFrame:
