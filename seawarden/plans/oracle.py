@@ -216,8 +216,9 @@ CTES = {
               WINDOW past AS (PARTITION BY MMSI ORDER BY BaseDateTime ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))""",
 }
 
+_AVG_SOG = _half_up("avg_sog", 4)
 _SHOWN = (
-    "round(avg_sog, 4) AS avg_sog, round(latest_lat, 6) AS latest_lat, round(latest_lon, 6) AS latest_lon, "
+    f"{_AVG_SOG} AS avg_sog, round(latest_lat, 6) AS latest_lat, round(latest_lon, 6) AS latest_lon, "
     "round(distance_to_port_km, 3) AS distance_to_port_km"
 )
 _HIDDEN = "avg_sog, latest_lat, latest_lon, distance_to_port_km"
@@ -270,7 +271,7 @@ FINAL = {
                WHEN LON IS NULL OR LON < -130 OR LON > -65 THEN 'lon_out_of_range'
                WHEN SOG IS NULL OR SOG < 0 THEN 'bad_speed' END AS reject_reason
         FROM (SELECT *, try_cast(BaseDateTime AS TIMESTAMP) AS parsed_time FROM faulty)""",
-    "vessel_profile": """SELECT * EXCLUDE (avg_sog, latest_lat, latest_lon), round(avg_sog, 4) AS avg_sog,
+    "vessel_profile": f"""SELECT * EXCLUDE (avg_sog, latest_lat, latest_lon), {_AVG_SOG} AS avg_sog,
           round(latest_lat, 6) AS latest_lat, round(latest_lon, 6) AS latest_lon FROM profiles""",
     "port_distance": """SELECT MMSI, PortZone, round(latest_lat, 6) AS latest_lat, round(latest_lon, 6) AS latest_lon,
           round(distance_to_port_km, 3) AS distance_to_port_km FROM located""",
@@ -289,7 +290,7 @@ FINAL = {
           coalesce(wave, {_W['wave_height_m']}::DOUBLE) AS wave_height_m, true AS weather_imputed FROM payloads""",
     "weather_scores": """SELECT MMSI, wind_speed_kmh, wave_height_m, visibility_m, weather_severity_score,
           weather_severity FROM scored""",
-    "slowdown_scores": """SELECT MMSI, latest_sog, round(avg_sog, 4) AS avg_sog, record_count, slowdown_events,
+    "slowdown_scores": f"""SELECT MMSI, latest_sog, {_AVG_SOG} AS avg_sog, record_count, slowdown_events,
           slowdown_score FROM parts""",
     "proximity_scores": """SELECT MMSI, PortZone, round(distance_to_port_km, 3) AS distance_to_port_km,
           port_proximity_score FROM parts""",
@@ -316,19 +317,19 @@ FINAL = {
     "zones_by_route": "SELECT route_type, zone_name, zone_type, risk_level, risk_score, vessels FROM exposure",
     "critical_zones": """SELECT zone_name, risk_level, risk_score, description, affected_routes,
           sum(vessels)::BIGINT AS vessels_exposed FROM exposure WHERE risk_level = 'Critical' GROUP BY ALL""",
-    "kpis": """SELECT count(*) AS total_vessels, count(*) FILTER (WHERE risk_level = 'Critical') AS critical_vessels,
+    "kpis": f"""SELECT count(*) AS total_vessels, count(*) FILTER (WHERE risk_level = 'Critical') AS critical_vessels,
           count(*) FILTER (WHERE risk_level = 'High') AS high_vessels,
-          round(sum(delay_risk_score::DECIMAL(18, 1))::DOUBLE / count(*), 3) AS avg_risk_score,
+          {_half_up("sum(delay_risk_score::DECIMAL(18, 1))::DOUBLE / count(*)", 3)} AS avg_risk_score,
           sum(delay_cost_usd) AS total_delay_cost_usd, sum(net_savings_usd) AS total_net_savings_usd,
           count(*) FILTER (WHERE rerouting_recommended) AS vessels_to_reroute FROM routing""",
     "risk_distribution": "SELECT risk_level, count(*) AS cnt FROM gold GROUP BY ALL",
     "level_by_priority": "SELECT risk_level, routing_priority, count(*) AS cnt FROM routing GROUP BY ALL",
     "priority_distribution": "SELECT routing_priority, count(*) AS cnt FROM routing GROUP BY ALL",
     "weather_distribution": "SELECT weather_severity, count(*) AS cnt FROM gold GROUP BY ALL",
-    "port_summary": """SELECT port_zone, count(*) AS vessels,
-          round(sum(delay_risk_score::DECIMAL(18, 1))::DOUBLE / count(*), 3) AS avg_delay_risk,
-          max(delay_risk_score) AS max_delay_risk, round(avg(obstacle_risk_score), 3) AS avg_obstacle_risk,
-          max(obstacle_risk_score) AS max_obstacle_risk, round(avg(geopolitical_risk_score), 3) AS avg_geopolitical_risk,
+    "port_summary": f"""SELECT port_zone, count(*) AS vessels,
+          {_half_up("sum(delay_risk_score::DECIMAL(18, 1))::DOUBLE / count(*)", 3)} AS avg_delay_risk,
+          max(delay_risk_score) AS max_delay_risk, {_half_up("avg(obstacle_risk_score)", 3)} AS avg_obstacle_risk,
+          max(obstacle_risk_score) AS max_obstacle_risk, {_half_up("avg(geopolitical_risk_score)", 3)} AS avg_geopolitical_risk,
           max(geopolitical_risk_score) AS max_geopolitical_risk FROM routing GROUP BY port_zone""",
     "port_level_pivot": """SELECT port_zone, count(*) FILTER (WHERE risk_level = 'Critical') AS Critical,
           count(*) FILTER (WHERE risk_level = 'High') AS High, count(*) FILTER (WHERE risk_level = 'Medium') AS Medium,
@@ -381,8 +382,8 @@ FINAL = {
         FROM (SELECT doc_id, CASE WHEN n_chars % 10 <> 0 THEN text END AS topic,
                 CASE WHEN doc_id % 17 <> 0 THEN 'readers of ' || source || ' in ' || lang END AS audience
               FROM documents)""",
-    "stream_hourly_speed": """SELECT PortZone, BaseDateTime AS hour_start, count(*) AS reports,
-          round(sum(SOG::DECIMAL(18, 2))::DOUBLE / count(*), 4) AS avg_sog, min(SOG) AS min_sog, max(SOG) AS max_sog
+    "stream_hourly_speed": f"""SELECT PortZone, BaseDateTime AS hour_start, count(*) AS reports,
+          {_half_up("sum(SOG::DECIMAL(18, 2))::DOUBLE / count(*)", 4)} AS avg_sog, min(SOG) AS min_sog, max(SOG) AS max_sog
         FROM valid GROUP BY PortZone, BaseDateTime""",
     "stream_latest": """SELECT MMSI, BaseDateTime, LAT, LON, SOG, PortZone FROM valid
         QUALIFY row_number() OVER (PARTITION BY MMSI
