@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from seawarden import fixed_values as fixed
 from seawarden.functions.bands import bands, code_label
@@ -49,9 +49,14 @@ def tag_rejects(df: DataFrame, fmt: str | None = None) -> DataFrame:
     return add(df, reject_reason=reject_reason(parsed_time(fmt)))
 
 
+def parse(df: DataFrame, fmt: str | None = None) -> DataFrame:
+    """Reports inside the monitored area and with a speed; the time parsed, null if it is no time."""
+    return replace(df.where(IN_SCOPE), {"BaseDateTime": parsed_time(fmt)})
+
+
 def usable(df: DataFrame, fmt: str | None = None) -> DataFrame:
-    """Reports inside the monitored area, with a speed and a time; the time parsed."""
-    return replace(df.where(IN_SCOPE), {"BaseDateTime": parsed_time(fmt)}).where("BaseDateTime IS NOT NULL")
+    """Reports with everything needed to place them."""
+    return parse(df, fmt).where("BaseDateTime IS NOT NULL")
 
 
 def split_rejects(df: DataFrame, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -62,18 +67,23 @@ def split_rejects(df: DataFrame, fmt: str | None = None) -> tuple[DataFrame, Dat
 def dedup(
     df: DataFrame,
     keys: Sequence[str] = POSITION_KEY,
-    order: Sequence[Column] | None = None,
+    order: Sequence[str] = ("SOG DESC",),
+    required: str | None = None,
 ) -> DataFrame:
     """One row per key: the first by ``order`` (default: the fastest reading).
 
     All other columns break ties, so only rows equal in every column are interchangeable. The
-    ``row_number() = 1`` form lets Spark keep one row per key on the map side before it shuffles,
+    ``row_number() <= 1`` form lets Spark keep one row per key on the map side before it shuffles,
     so a key that holds most of the rows sends one row per task.
+
+    ``required`` names a computed key that must not be null. It is tested together with the row
+    number, since a filter on the key alone would move below its computation and run that twice.
     """
-    order = list(order) if order is not None else [F.desc("SOG")]
-    ties = [name for name in df.columns if name not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+    ordered = {item.split()[0] for item in order}
+    ties = [name for name in df.columns if name not in keys and name not in ordered]
+    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join([*order, *ties])})"
+    first = "_rn <= 1" + (f" AND _rn + if({required} IS NULL, 1, 0) <= 1" if required else "")
+    return add(df, _rn=rank).where(first).drop("_rn")
 
 
 def add_labels(df: DataFrame) -> DataFrame:
@@ -87,4 +97,4 @@ def add_labels(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, fmt: str | None = None) -> DataFrame:
     """Bronze to silver. Labels are added after the shuffle of ``dedup``, which so moves codes only."""
-    return schemas.conform(add_labels(dedup(usable(df, fmt))), schemas.AIS_SILVER)
+    return schemas.conform(add_labels(dedup(parse(df, fmt), required="BaseDateTime")), schemas.AIS_SILVER)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from seawarden.functions.stats import exact_avg
+from seawarden.functions.stats import scaled
 from seawarden.operators import add
 
 
@@ -26,18 +26,27 @@ def trailing_average(
     however many readings the vessel has. (key, time) must be unique, as ``dedup`` leaves it.
     """
     local = f"PARTITION BY {key}, _bucket ORDER BY {time}"
-    before = f"ORDER BY {time} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING"
+
+    def mean_before(partition: str) -> str:
+        past = f"OVER (PARTITION BY {partition} ORDER BY {time} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING)"
+        return f"sum(_value) {past} / {float(10**digits)}D / count(_value) {past}"
+
+    # Both branches below need the same columns of this step, so they share one shuffle.
+    bucketed = add(
+        df,
+        _bucket=f"floor(unix_micros({time}) / {bucket_days * 86_400_000_000.0}D)",
+        _value=scaled(value, digits),
+    )
     inside = add(
-        add(df, _bucket=f"floor(unix_micros({time}) / {bucket_days * 86_400_000_000.0}D)"),
+        bucketed,
         _position=f"row_number() OVER ({local})",
         _near_end=f"lead(1, {rows}) OVER ({local}) IS NULL",
-        trailing_avg=exact_avg(value, digits, f"OVER (PARTITION BY {key}, _bucket {before})"),
+        trailing_avg=mean_before(f"{key}, _bucket"),
     )
     kept = [*df.columns, "trailing_avg"]
     body = inside.where(f"_position > {rows}").select(*kept)
     edges = add(
-        inside.where(f"_position <= {rows} OR _near_end").drop("trailing_avg"),
-        trailing_avg=exact_avg(value, digits, f"OVER (PARTITION BY {key} {before})"),
+        inside.where(f"_position <= {rows} OR _near_end").drop("trailing_avg"), trailing_avg=mean_before(key)
     )
     return body.unionByName(edges.where(f"_position <= {rows}").select(*kept))
 
