@@ -159,6 +159,57 @@ RISK_LEVELS = ["Critical", "High", "Medium", "Low"]
 WEATHER_LABELS = ["Severe", "High", "Moderate", "Low"]
 ROUTING_PRIORITIES = ["Safety Critical", "Balanced", "Cost Optimized", "Monitor"]
 
+# --- Fixed values: score bands ----------------------------------------------------------------
+# ([(condition, value), ...], value otherwise), as SQL text; the first condition that holds counts
+
+SLOWDOWN_EVENTS = ([("latest_sog < 3 AND avg_sog > 8", "round(record_count * 0.3D, 0)")], "0D")
+
+SLOWDOWN_SCORE = (
+    [("latest_sog < 3", "80 + slowdown_events * 2"), ("latest_sog < 8", "50 + slowdown_events * 1.5D")],
+    "20D",
+)
+WEATHER_SEVERITY_SCORE = (
+    [
+        ("wind_speed_kmh > 50 OR wave_height_m > 4", "80 + wind_speed_kmh * 0.3D"),
+        ("wind_speed_kmh > 30 OR wave_height_m > 2", "50 + wind_speed_kmh * 0.3D"),
+        ("visibility_m < 2000", "60D"),
+    ],
+    "15 + wind_speed_kmh * 0.2D",
+)
+PORT_PROXIMITY_SCORE = (
+    [
+        ("distance_to_port_km < 10", "70 + (10 - distance_to_port_km) * 3"),
+        ("distance_to_port_km < 30", "40 + (30 - distance_to_port_km) * 1.5D"),
+    ],
+    "10D",
+)
+DELAY_HOURS = (
+    [
+        ("risk_level = 'Critical'", "24 + (delay_risk_score - 70) * 0.5D"),
+        ("risk_level = 'High'", "8 + (delay_risk_score - 50) * 0.3D"),
+        ("risk_level = 'Medium'", "2 + (delay_risk_score - 30) * 0.1D"),
+    ],
+    "0.5D",
+)
+LATE_PENALTY_USD = ([("risk_level = 'Critical'", "7500D"), ("risk_level = 'High'", "2500D")], "500D")
+DETOUR_MILES = (
+    [
+        ("risk_level = 'Critical'", "200 + geopolitical_risk_score * 2D"),
+        ("risk_level = 'High'", "100 + obstacle_risk_score * 1.5D"),
+        ("risk_level = 'Medium'", "50D"),
+    ],
+    "0D",
+)
+FUEL_SHARE_PER_MILE = 0.05
+
+# Limits in routing decisions
+ZONE_SCORE_REROUTE, ZONE_SCORE_SAFETY = 40, 60
+OBSTACLE_SCORE_REROUTE, OBSTACLE_SCORE_COST = 25, 20
+RISK_SCORE_COST = 30
+
+# A speed drop: slower than the first number after a recent average above the second
+DROP_BELOW_KNOTS, DROP_FROM_KNOTS = 3, 8
+
 # --- Fixed values: message formats (a name in braces is a column) -----------------------------
 
 ACTION_TEXT = {

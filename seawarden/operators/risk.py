@@ -9,34 +9,12 @@ from seawarden.functions.bands import bands, labels, weighted
 from seawarden.functions.text import quote, template
 from seawarden.operators import add
 
-# An estimate from the record count, for a vessel that is nearly stopped but was cruising.
-SLOWDOWN_EVENTS = bands([("latest_sog < 3 AND avg_sog > 8", "round(record_count * 0.3D, 0)")], "0D")
-
-SLOWDOWN_SCORE = bands(
-    [("latest_sog < 3", "80 + slowdown_events * 2"), ("latest_sog < 8", "50 + slowdown_events * 1.5D")],
-    "20D",
-    digits=1,
-)
-
-WEATHER_SEVERITY_SCORE = bands(
-    [
-        ("wind_speed_kmh > 50 OR wave_height_m > 4", "80 + wind_speed_kmh * 0.3D"),
-        ("wind_speed_kmh > 30 OR wave_height_m > 2", "50 + wind_speed_kmh * 0.3D"),
-        ("visibility_m < 2000", "60D"),
-    ],
-    "15 + wind_speed_kmh * 0.2D",
-    digits=1,
-)
-
+# Estimated from the record count, for a vessel that is nearly stopped but was cruising.
+SLOWDOWN_EVENTS = bands(*fixed.SLOWDOWN_EVENTS)
+SLOWDOWN_SCORE = bands(*fixed.SLOWDOWN_SCORE, digits=1)
+WEATHER_SEVERITY_SCORE = bands(*fixed.WEATHER_SEVERITY_SCORE, digits=1)
 # Highest at the port; an unknown distance scores as a far one.
-PORT_PROXIMITY_SCORE = bands(
-    [
-        ("distance_to_port_km < 10", "70 + (10 - distance_to_port_km) * 3"),
-        ("distance_to_port_km < 30", "40 + (30 - distance_to_port_km) * 1.5D"),
-    ],
-    "10D",
-    digits=1,
-)
+PORT_PROXIMITY_SCORE = bands(*fixed.PORT_PROXIMITY_SCORE, digits=1)
 
 
 def add_slowdown_scores(df: DataFrame) -> DataFrame:

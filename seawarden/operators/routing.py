@@ -9,25 +9,7 @@ from seawarden.functions.bands import bands, weighted
 from seawarden.functions.text import quote, template
 from seawarden.operators import add
 
-CRITICAL, HIGH, MEDIUM = (f"risk_level = '{name}'" for name in ("Critical", "High", "Medium"))
-
-DELAY_HOURS = bands(
-    [
-        (CRITICAL, "24 + (delay_risk_score - 70) * 0.5D"),
-        (HIGH, "8 + (delay_risk_score - 50) * 0.3D"),
-        (MEDIUM, "2 + (delay_risk_score - 30) * 0.1D"),
-    ],
-    "0.5D",
-)
-LATE_PENALTY_USD = "5000 * " + bands([(CRITICAL, "1.5D"), (HIGH, "0.5D")], "0.1D")
-DETOUR_MILES = bands(
-    [
-        (CRITICAL, "200 + geopolitical_risk_score * 2D"),
-        (HIGH, "100 + obstacle_risk_score * 1.5D"),
-        (MEDIUM, "50D"),
-    ],
-    "0D",
-)
+CRITICAL, HIGH = (f"risk_level = {quote(name)}" for name in fixed.RISK_LEVELS[:2])
 
 
 def add_profile(df: DataFrame, routes: DataFrame, obstacles: DataFrame, fuel: DataFrame) -> DataFrame:
@@ -52,9 +34,9 @@ def add_profile(df: DataFrame, routes: DataFrame, obstacles: DataFrame, fuel: Da
 def add_costs(df: DataFrame) -> DataFrame:
     """Safety score, delay and rerouting cost. Costs use the hours and miles before rounding."""
     parts = add(
-        add(df, _hours=DELAY_HOURS, _miles=DETOUR_MILES),
-        _delay=f"fuel_cost_per_hour_usd * _hours + {LATE_PENALTY_USD}",
-        _reroute="_miles * fuel_cost_per_hour_usd * 0.05D",
+        add(df, _hours=bands(*fixed.DELAY_HOURS), _miles=bands(*fixed.DETOUR_MILES)),
+        _delay=f"fuel_cost_per_hour_usd * _hours + {bands(*fixed.LATE_PENALTY_USD)}",
+        _reroute=f"_miles * fuel_cost_per_hour_usd * {fixed.FUEL_SHARE_PER_MILE}D",
     )
     return add(
         parts,
@@ -73,24 +55,21 @@ def decide(df: DataFrame) -> DataFrame:
     A critical vessel always reroutes; a high one only if its zone or an obstacle adds to the risk.
     """
     text = {name: template(message) for name, message in fixed.REROUTING_TEXT.items()}
+    risky_zone = f"geopolitical_risk_score > {fixed.ZONE_SCORE_SAFETY}"
+    blocked = f"obstacle_risk_score > {fixed.OBSTACLE_SCORE_REROUTE}"
+    worth_it = f"geopolitical_risk_score > {fixed.ZONE_SCORE_REROUTE} OR {blocked}"
+    cheaper = f"delay_risk_score > {fixed.RISK_SCORE_COST} AND obstacle_risk_score > {fixed.OBSTACLE_SCORE_COST}"
+    urgency = (f"{CRITICAL} OR {risky_zone}", HIGH, cheaper)
+    priorities = [quote(name) for name in fixed.ROUTING_PRIORITIES]
     return add(
         df,
-        rerouting_recommended=(
-            f"coalesce({CRITICAL} OR ({HIGH} AND (geopolitical_risk_score > 40 OR obstacle_risk_score > 25)), false)"
-        ),
-        routing_priority=bands(
-            [
-                (f"{CRITICAL} OR geopolitical_risk_score > 60", "'Safety Critical'"),
-                (HIGH, "'Balanced'"),
-                ("delay_risk_score > 30 AND obstacle_risk_score > 20", "'Cost Optimized'"),
-            ],
-            "'Monitor'",
-        ),
+        rerouting_recommended=f"coalesce({CRITICAL} OR ({HIGH} AND ({worth_it})), false)",
+        routing_priority=bands(zip(urgency, priorities), priorities[-1]),
         rerouting_recommendation=bands(
             [
-                (f"{CRITICAL} AND geopolitical_risk_score > 60", text["critical_zone"]),
+                (f"{CRITICAL} AND {risky_zone}", text["critical_zone"]),
                 (CRITICAL, text["critical"]),
-                (f"{HIGH} AND obstacle_risk_score > 25", text["high_obstacle"]),
+                (f"{HIGH} AND {blocked}", text["high_obstacle"]),
                 (HIGH, text["high"]),
             ],
             text["other"],

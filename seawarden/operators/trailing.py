@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from seawarden import fixed_values as fixed
 from seawarden.functions.stats import scaled
 from seawarden.operators import add
 
@@ -52,11 +53,9 @@ def trailing_average(
 
 
 def speed_drops(df: DataFrame, rows: int = 24, **kwargs) -> DataFrame:
-    """Marks readings below 3 knots after a recent average above 8 (``speed_drop``)."""
-    return add(
-        trailing_average(df, rows=rows, **kwargs),
-        speed_drop="coalesce(SOG < 3 AND trailing_avg > 8, false)",
-    )
+    """Marks readings of a nearly stopped vessel that was cruising until then (``speed_drop``)."""
+    drop = f"SOG < {fixed.DROP_BELOW_KNOTS} AND trailing_avg > {fixed.DROP_FROM_KNOTS}"
+    return add(trailing_average(df, rows=rows, **kwargs), speed_drop=f"coalesce({drop}, false)")
 
 
 def speed_drop_counts(df: DataFrame, rows: int = 24, **kwargs) -> DataFrame:

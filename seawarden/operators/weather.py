@@ -41,7 +41,7 @@ def as_of(
     obs_time: str = "obs_time",
     values: Sequence[str] = WEATHER_COLUMNS,
     bucket_hours: int = 24,
-    splits: int = 16,
+    splits: int = 8,
 ) -> DataFrame:
     """Adds the latest observation of the same ``by`` at or before ``on``: its time and its values.
 

@@ -102,7 +102,7 @@ def test_labels(spark):
 
 
 def test_area_filter_reaches_the_scan(spark, tmp_path):
-    from seawarden.sources.positions import read_positions
+    from seawarden.sources.files import read_positions
     from tests.conftest import plan_of
 
     frame(spark, {}).write.parquet(str(tmp_path / "bronze"))

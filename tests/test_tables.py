@@ -5,7 +5,7 @@ import pytest
 from seawarden.operators import audit
 from seawarden.plans import pipeline
 from seawarden.session import shared_folder
-from seawarden.sources import event_feed, reference, schemas, tables
+from seawarden.sources import event_feed, files, reference, schemas, tables
 from tests.conftest import rows
 
 
@@ -148,3 +148,13 @@ def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"), "x")
     assert "/x-" in shared_folder(session("local[2]"), "x")
+
+
+@pytest.mark.parametrize("fmt, options", [("csv", {"header": "true"}), ("json", {}), ("orc", {}), ("parquet", {})])
+def test_positions_and_weather_from_files(spark, events, tmp_path, fmt, options):
+    positions, seen = event_feed.positions(events), event_feed.weather(events)
+    positions.write.format(fmt).options(**options).save(f"{tmp_path}/p")
+    seen.write.format(fmt).options(**options).save(f"{tmp_path}/w")
+    read = files.read_positions(spark, f"{tmp_path}/p", fmt, **options)
+    weather = files.read_observations(spark, f"{tmp_path}/w", fmt, **options)
+    assert rows(pipeline.gold_plan(read, weather)) == rows(pipeline.gold_plan(positions, seen))
