@@ -53,43 +53,52 @@ def routing_plan(bronze: DataFrame, observations: DataFrame) -> DataFrame:
 
 def publish(
     spark: SparkSession,
-    bronze: DataFrame,
+    bronze: DataFrame | str,
     observations: DataFrame,
     database: str,
     location: str | None = None,
     fmt: str = "parquet",
     silver_by_day: bool = False,
+    keep_rejects: bool = False,
 ) -> DataFrame:
     """Write all nine tables and return their audit. Running it again replaces them.
 
     Each layer is read back from its saved table, so the next one starts from stored data: a lost
     executor costs a rerun of one layer's tasks, and nothing is computed twice.
-    ``silver_by_day`` partitions the clean positions by day, for readers that filter on time.
+
+    ``bronze`` is a DataFrame to store, or the path of stored reports in format ``fmt``, which are
+    then used where they are. ``silver_by_day`` partitions the clean positions by day, for readers
+    that filter on time. ``keep_rejects`` also stores the unusable reports with the reason.
     """
     tables.ensure_database(spark, database, location)
+    full = {name: f"{database}.{name}" for name in (*schemas.TABLES, "ais_rejected")}
 
     for name, rows in reference.PUBLISHED.items():
-        tables.load_rows(rows(spark), f"{database}.{name}", schemas.TABLES[name])
+        tables.load_rows(rows(spark).coalesce(1), full[name], schemas.TABLES[name])
 
     def save(df: DataFrame, name: str) -> DataFrame:
-        return tables.save(df, f"{database}.{name}", schemas.TABLES[name], fmt)
+        return tables.save(df, full[name], schemas.TABLES[name], fmt)
 
-    raw = save(bronze, "ais_bronze")
+    if isinstance(bronze, str):
+        raw = tables.register(spark, full["ais_bronze"], bronze, schemas.AIS_BRONZE, fmt)
+    else:
+        raw = save(bronze, "ais_bronze")
+    if keep_rejects:
+        tables.save(refine.split_rejects(raw)[1], full["ais_rejected"], fmt=fmt)
     if silver_by_day:
         by_day = silver(raw).selectExpr("*", "to_date(BaseDateTime) AS report_date")
-        clean = tables.save(by_day, f"{database}.ais_silver", fmt=fmt, partition_by=["report_date"]).drop("report_date")
+        clean = tables.save(by_day, full["ais_silver"], fmt=fmt, partition_by=["report_date"]).drop("report_date")
     else:
         clean = save(silver(raw), "ais_silver")
-    scored = save(gold(clean, spark.table(f"{database}.port_zones"), observations), "vessel_disruption_risk")
+    scored = save(gold(clean, spark.table(full["port_zones"]), observations), "vessel_disruption_risk")
     save(
         routed(
             scored,
             reference.route_profile(spark),
-            spark.table(f"{database}.maritime_obstacles"),
+            spark.table(full["maritime_obstacles"]),
             reference.fuel_cost(spark),
         ),
         "vessel_routing_intelligence",
     )
-    expected = {name: None for name in schemas.TABLES}
-    expected.update({name: rows(spark).count() for name, rows in reference.PUBLISHED.items()})
+    expected = {name: reference.ROW_COUNTS.get(name) for name in schemas.TABLES}
     return audit.saved_tables(spark, expected, database)

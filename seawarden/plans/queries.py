@@ -249,14 +249,7 @@ def table_audit(spark, folder):
         "rejected_positions": refine.split_rejects(bronze)[1],
         "port_calls": None,
     }
-    expected = {
-        "port_zones": len(fixed.PORT_ZONES),
-        "geopolitical_risk_zones": len(fixed.GEOPOLITICAL_RISK_ZONES),
-        "maritime_obstacles": len(fixed.MARITIME_OBSTACLES),
-        "safe_corridors": len(fixed.SAFE_CORRIDORS),
-        "port_alternatives": len(fixed.PORT_ALTERNATIVES),
-        "ais_bronze": 57600,
-    }
+    expected = {**reference.ROW_COUNTS, "ais_bronze": 57600}
     return audit.tables(spark, frames, expected)
 
 

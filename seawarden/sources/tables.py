@@ -25,6 +25,12 @@ def create_table(spark: SparkSession, name: str, schema: StructType, fmt: str =
     return spark.table(name)
 
 
+def register(spark: SparkSession, name: str, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A table over files that are already stored, without a copy; an older entry is replaced."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.catalog.createTable(name, path=path, source=fmt, schema=schema)
+
+
 def load_rows(df: DataFrame, name: str, schema: StructType) -> DataFrame:
     """Fill a typed table, replacing what it held."""
     spark = df.sparkSession

@@ -77,6 +77,23 @@ def test_usual_sql_runs_on_the_tables(spark, fleet, columns, table, where, order
     assert got.count() > 0
 
 
+def test_stored_reports_are_used_in_place(spark, fleet, events, tmp_path):
+    path = f"{tmp_path}/reports"
+    event_feed.positions(events).write.parquet(path)
+    for _ in range(2):
+        report = pipeline.publish(
+            spark, path, event_feed.weather(events), "fleet_in_place", f"{tmp_path}/db", keep_rejects=True
+        )
+    assert {r.status for r in report.collect()} == {"OK"}
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED fleet_in_place.ais_bronze").collect()}
+    assert described["Type"] == "EXTERNAL" and described["Location"].endswith("/reports")
+    same = "vessel_routing_intelligence"
+    assert rows(spark.table(f"fleet_in_place.{same}")) == rows(spark.table(f"{fleet[0]}.{same}"))
+    rejected = spark.table("fleet_in_place.ais_rejected")
+    assert rejected.count() == events.where("event_id % 97 = 0").count()
+    assert [r.reject_reason for r in rejected.select("reject_reason").distinct().collect()] == ["lat_out_of_range"]
+
+
 def test_silver_by_day(spark, events, tmp_path):
     pipeline.publish(
         spark, event_feed.positions(events), event_feed.weather(events), "fleet_by_day", str(tmp_path), silver_by_day=True
