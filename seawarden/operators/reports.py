@@ -21,6 +21,7 @@ def kpis(df: DataFrame) -> DataFrame:
         F.expr(f"{exact_sum('delay_cost_usd')} AS total_delay_cost_usd"),
         F.expr(f"{exact_sum('net_savings_usd')} AS total_net_savings_usd"),
         F.expr("count_if(rerouting_recommended) AS vessels_to_reroute"),
+        F.expr(f"{exact_sum('if(rerouting_recommended, net_savings_usd, 0D)')} AS rerouting_net_savings_usd"),
     )
 
 

@@ -321,7 +321,9 @@ FINAL = {
           count(*) FILTER (WHERE risk_level = 'High') AS high_vessels,
           {_half_up("sum(delay_risk_score::DECIMAL(18, 1))::DOUBLE / count(*)", 3)} AS avg_risk_score,
           sum(delay_cost_usd) AS total_delay_cost_usd, sum(net_savings_usd) AS total_net_savings_usd,
-          count(*) FILTER (WHERE rerouting_recommended) AS vessels_to_reroute FROM routing""",
+          count(*) FILTER (WHERE rerouting_recommended) AS vessels_to_reroute,
+          coalesce(sum(net_savings_usd) FILTER (WHERE rerouting_recommended), 0) AS rerouting_net_savings_usd
+        FROM routing""",
     "risk_distribution": "SELECT risk_level, count(*) AS cnt FROM gold GROUP BY ALL",
     "level_by_priority": "SELECT risk_level, routing_priority, count(*) AS cnt FROM routing GROUP BY ALL",
     "priority_distribution": "SELECT routing_priority, count(*) AS cnt FROM routing GROUP BY ALL",

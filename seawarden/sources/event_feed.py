@@ -49,7 +49,7 @@ _LON = f"{_pick(CENTER_LONS, _SLOT)} + (event_id * 53 % 103 - 51) * 0.005D"
 
 _REPORT = {
     "MMSI": "user_id + 200000000L",
-    "BaseDateTime": f"replace(cast({_HOUR} AS string), ' ', 'T')",
+    "BaseDateTime": "concat(cast(to_date(ts) AS string), 'T', lpad(hour(ts), 2, '0'), ':00:00')",
     "LAT": f"if(event_id % 97 = 0, 61D, {_LAT})",
     "LON": _LON,
     "SOG": "round(value * 0.2D, 2)",
