@@ -9,12 +9,19 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructType, TimestampType
 
 from seawarden import fixed_values as fixed
 from seawarden.sources import schemas
 
-_ARROW = {StringType(): pa.string(), DoubleType(): pa.float64(), IntegerType(): pa.int32()}
+_ARROW = {
+    StringType(): pa.string(),
+    DoubleType(): pa.float64(),
+    IntegerType(): pa.int32(),
+    LongType(): pa.int64(),
+    BooleanType(): pa.bool_(),
+    TimestampType(): pa.timestamp("us", tz="UTC"),
+}
 
 
 def rows_to_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:

@@ -1,3 +1,4 @@
+from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
@@ -121,6 +122,15 @@ def test_create_leaves_an_existing_table(spark):
     assert tables.load_rows(reference.fuel_cost(spark), "default.fuel_twice", schemas.FUEL_COST).count() == 4
 
 
+def test_rows_become_a_typed_table(spark):
+    row = (7, "2024-01-01T00:00:00", 30.0, None, 5.0, 0.0, 70, 0, "O'Hara", "Houston")
+    df = reference.rows_to_table(spark, [row, row], schemas.AIS_BRONZE)
+    assert df.schema == schemas.AIS_BRONZE and [tuple(r) for r in df.collect()] == [row, row]
+    seen = reference.rows_to_table(spark, [("A", datetime(2024, 1, 1, 5), *[1.0] * 7)], schemas.WEATHER_OBSERVATIONS)
+    assert seen.first().obs_time == datetime(2024, 1, 1, 5)
+    assert reference.rows_to_table(spark, [], schemas.FUEL_COST).count() == 0
+
+
 def test_absent_column_is_an_error(spark):
     with pytest.raises(ValueError, match="columns missing: Status"):
         schemas.conform(spark.createDataFrame([], schemas.AIS_BRONZE).drop("Status"), schemas.AIS_BRONZE)
