@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +40,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, for functions that run in Python there."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
