@@ -34,7 +34,7 @@ _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 #: A blank that may not begin a new unit, see ``Codec.units``.
 _BLANK_RUN = re.compile(r" (?=\s|\Z)")
 #: Border pairs that a worker remembers.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 
 
 class Codec:

@@ -27,7 +27,7 @@ from seawarden.session import shared_folder
 WINDOW = 4096
 CLOSING_ID = 2
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 #: Pieces of one length that one task numbers, about.
 PART_ROWS = 500_000
 

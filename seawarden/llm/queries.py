@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, packing, sharding
+from seawarden.llm import bpe, packing, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,15 @@ def op4_bpe_round_trip(spark, folder):
     return bpe.round_trip(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def op6_toxicity(spark, folder):
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, labels(spark, folder)))
+
+
 def op10_hilbert_shards(spark, folder):
     return sharding.shard(documents(spark, folder))
 
@@ -39,6 +48,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op2_pack_best_fit,
         op4_bpe_round_trip,
+        op6_toxicity,
         op10_hilbert_shards,
     )
 }

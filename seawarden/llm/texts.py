@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seawarden.session import ship_package
+
 U64 = np.uint64
 _rng = np.random.default_rng(20240229)
 #: A random 64-bit value for each byte; a word's hash is their sum, weighted by powers of an odd base.
@@ -133,6 +135,7 @@ def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
             if batch.num_rows:
                 yield function(batch)
 
+    ship_package(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 
