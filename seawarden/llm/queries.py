@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, packing, sharding, toxicity
+from seawarden.llm import bpe, packing, quality_model, quality_rules, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op2_pack_best_fit(spark, folder):
     return packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_line_frequency(spark, folder):
+    return quality_rules.judge(documents(spark, folder))
+
+
 def op4_bpe_round_trip(spark, folder):
     return bpe.round_trip(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
@@ -39,6 +43,11 @@ def op6_toxicity(spark, folder):
     return toxicity.score(docs, toxicity.fit(docs, labels(spark, folder)))
 
 
+def op8_attention_quality(spark, folder):
+    docs = documents(spark, folder)
+    return quality_model.score(docs, quality_model.fit(docs, labels(spark, folder)))
+
+
 def op10_hilbert_shards(spark, folder):
     return sharding.shard(documents(spark, folder))
 
@@ -47,8 +56,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op2_pack_best_fit,
+        op3_line_frequency,
         op4_bpe_round_trip,
         op6_toxicity,
+        op8_attention_quality,
         op10_hilbert_shards,
     )
 }

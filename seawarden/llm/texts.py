@@ -149,3 +149,17 @@ def ids_and_texts(docs: DataFrame, *more: str) -> DataFrame:
 def remainder(divisor: int):
     """crc32 of doc_id as text, modulo ``divisor``: the fold of a document."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> DataFrame:
+    """doc_id, text and label (0 or 1) of documents to learn from: of each label, the first ``most`` by hash.
+
+    Rows of the held-out fold are left out. Nulls and other labels are not learnt from.
+    """
+    known = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(3) != 1))
+    known = known.select(F.col("doc_id").cast("long").alias("l_id"), F.col(column).cast("int").alias("label")).distinct()
+    order = [F.xxhash64("l_id"), "l_id"]
+    chosen = known.where("label = 1").orderBy(*order).limit(most)
+    chosen = chosen.unionByName(known.where("label = 0").orderBy(*order).limit(most))
+    rows = ids_and_texts(docs)
+    return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label")

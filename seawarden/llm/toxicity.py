@@ -159,16 +159,11 @@ def train(grams: np.ndarray, sizes: np.ndarray, owner: np.ndarray, labels: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on documents of the folds that are not held out; the sample is the first by hash of each label."""
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (texts.remainder(3) != 1))
-    known = known.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic"))
-    order = [F.xxhash64("l_id"), "l_id"]
-    chosen = known.where("toxic = 1").orderBy(*order).limit(sample)
-    chosen = chosen.unionByName(known.where("toxic = 0").orderBy(*order).limit(sample))
-    rows = texts.ids_and_texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    rows = texts.labelled(docs, labels, "toxic", sample)
 
     def grams(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, offsets = texts.string_bytes(batch["text"])
-        ids, label, lists = batch["doc_id"].to_pylist(), batch["toxic"].to_pylist(), []
+        ids, label, lists = batch["doc_id"].to_pylist(), batch["label"].to_pylist(), []
         for k in range(len(ids)):
             part = raw[offsets[k] : offsets[k + 1]]
             buckets, begins, _, sizes = windows(part, np.asarray([0, len(part)]))
@@ -178,20 +173,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             None,
             {
                 "doc_id": pa.array(ids, pa.int64()),
-                "toxic": pa.array(label, pa.int32()),
+                "label": pa.array(label, pa.int32()),
                 "windows": pa.array(lists, pa.list_(pa.list_(pa.int32()))),
             },
         )
 
-    narrow = rows.select("doc_id", "text", "toxic")
-    found = texts.per_batch(narrow, grams, "doc_id long, toxic int, windows array<array<int>>").toArrow()
+    found = texts.per_batch(rows, grams, "doc_id long, label int, windows array<array<int>>").toArrow()
     found = found.sort_by([("doc_id", "ascending")])
     lists = found["windows"].combine_chunks()
     per_document = lists.value_lengths().to_numpy(zero_copy_only=False)
     inner = lists.flatten()
     sizes = inner.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     owner = np.repeat(np.arange(len(lists)), per_document)
-    return train(inner.flatten().to_numpy(), sizes, owner, found["toxic"].to_numpy().astype(int))
+    return train(inner.flatten().to_numpy(), sizes, owner, found["label"].to_numpy().astype(int))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
