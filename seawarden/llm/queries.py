@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, packing, quality_model, quality_rules, sharding, toxicity
+from seawarden.llm import bpe, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_hamming_topk(spark, folder):
+    return topk.search_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op2_pack_best_fit(spark, folder):
     return packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
 
@@ -38,11 +42,19 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def op5_circulant_minhash(spark, folder):
+    return near_dedup.groups(documents(spark, folder), size=2).drop("content")
+
+
 def op6_toxicity(spark, folder):
     docs = documents(spark, folder)
     return toxicity.score(docs, toxicity.fit(docs, labels(spark, folder)))
 
 
+def op7_license_scan(spark, folder):
+    return licenses.scan(documents(spark, folder))
+
+
 def op8_attention_quality(spark, folder):
     docs = documents(spark, folder)
     return quality_model.score(docs, quality_model.fit(docs, labels(spark, folder)))
@@ -55,13 +67,30 @@ def op10_hilbert_shards(spark, folder):
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_hamming_topk,
         op2_pack_best_fit,
         op3_line_frequency,
         op4_bpe_round_trip,
+        op5_circulant_minhash,
         op6_toxicity,
+        op7_license_scan,
         op8_attention_quality,
         op10_hilbert_shards,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_hamming_topk": """
+        WITH bits AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b FROM embeddings
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id,
+                   CAST(list_sum(list_transform(list_zip(q.b, v.b), lambda p: CASE WHEN p[1] = p[2] THEN 0 ELSE 1 END))
+                        AS BIGINT) AS distance
+            FROM bits q JOIN bits v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM pairs
+        )
+        SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+    """,
+}
