@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
+from seawarden.llm import bpe, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,10 @@ def op8_attention_quality(spark, folder):
     return quality_model.score(docs, quality_model.fit(docs, labels(spark, folder)))
 
 
+def op9_katz_backoff(spark, folder):
+    return katz.score(documents(spark, folder))
+
+
 def op10_hilbert_shards(spark, folder):
     return sharding.shard(documents(spark, folder))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
         op6_toxicity,
         op7_license_scan,
         op8_attention_quality,
+        op9_katz_backoff,
         op10_hilbert_shards,
     )
 }
