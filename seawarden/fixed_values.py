@@ -159,47 +159,32 @@ RISK_LEVELS = ["Critical", "High", "Medium", "Low"]
 WEATHER_LABELS = ["Severe", "High", "Moderate", "Low"]
 ROUTING_PRIORITIES = ["Safety Critical", "Balanced", "Cost Optimized", "Monitor"]
 
-# --- Fixed values: score bands ----------------------------------------------------------------
-# ([(condition, value), ...], value otherwise), as SQL text; the first condition that holds counts
-
-SLOWDOWN_EVENTS = ([("latest_sog < 3 AND avg_sog > 8", "round(record_count * 0.3D, 0)")], "0D")
-
-SLOWDOWN_SCORE = (
-    [("latest_sog < 3", "80 + slowdown_events * 2"), ("latest_sog < 8", "50 + slowdown_events * 1.5D")],
-    "20D",
-)
-WEATHER_SEVERITY_SCORE = (
-    [
-        ("wind_speed_kmh > 50 OR wave_height_m > 4", "80 + wind_speed_kmh * 0.3D"),
-        ("wind_speed_kmh > 30 OR wave_height_m > 2", "50 + wind_speed_kmh * 0.3D"),
-        ("visibility_m < 2000", "60D"),
-    ],
-    "15 + wind_speed_kmh * 0.2D",
-)
-PORT_PROXIMITY_SCORE = (
-    [
-        ("distance_to_port_km < 10", "70 + (10 - distance_to_port_km) * 3"),
-        ("distance_to_port_km < 30", "40 + (30 - distance_to_port_km) * 1.5D"),
-    ],
-    "10D",
-)
-DELAY_HOURS = (
-    [
-        ("risk_level = 'Critical'", "24 + (delay_risk_score - 70) * 0.5D"),
-        ("risk_level = 'High'", "8 + (delay_risk_score - 50) * 0.3D"),
-        ("risk_level = 'Medium'", "2 + (delay_risk_score - 30) * 0.1D"),
-    ],
-    "0.5D",
-)
-LATE_PENALTY_USD = ([("risk_level = 'Critical'", "7500D"), ("risk_level = 'High'", "2500D")], "500D")
-DETOUR_MILES = (
-    [
-        ("risk_level = 'Critical'", "200 + geopolitical_risk_score * 2D"),
-        ("risk_level = 'High'", "100 + obstacle_risk_score * 1.5D"),
-        ("risk_level = 'Medium'", "50D"),
-    ],
-    "0D",
-)
+# --- Fixed values: numbers of the score rules --------------------------------------------------
+
+SLOW_KNOTS, MODERATE_KNOTS = 3, 8
+SLOWDOWN_SHARE = 0.3
+SLOW_SCORE, SLOW_PER_EVENT = 80, 2.0
+MODERATE_SCORE, MODERATE_PER_EVENT = 50, 1.5
+CRUISE_SCORE = 20
+
+STORM_WIND_KMH, STORM_WAVE_M = 50, 4
+ROUGH_WIND_KMH, ROUGH_WAVE_M = 30, 2
+FOG_VISIBILITY_M = 2000
+STORM_SCORE, ROUGH_SCORE, FOG_SCORE, CALM_SCORE = 80, 50, 60, 15
+ROUGH_PER_KMH, CALM_PER_KMH = 0.3, 0.2
+
+NEAR_KM, AROUND_KM = 10, 30
+NEAR_SCORE, AROUND_SCORE, FAR_SCORE = 70, 40, 10
+NEAR_PER_KM, AROUND_PER_KM = 3.0, 1.5
+
+# by risk level: hours at its lower bound and per point above it
+DELAY_HOURS = {"Critical": (24, 0.5), "High": (8, 0.3), "Medium": (2, 0.1)}
+LEAST_DELAY_HOURS = 0.5
+LATE_PENALTY_USD = 5000
+LATE_FACTORS = {"Critical": 1.5, "High": 0.5}
+LEAST_LATE_FACTOR = 0.1
+# by risk level: miles, and miles per point of the zone or obstacle score
+DETOUR_MILES = {"Critical": (200, 2.0), "High": (100, 1.5), "Medium": (50, 0.0)}
 FUEL_SHARE_PER_MILE = 0.05
 
 # Limits in routing decisions

@@ -34,6 +34,12 @@ def tables(
     return reduce(DataFrame.unionByName, lines)
 
 
+def content(columns: Sequence[str]) -> str:
+    """A sum over all rows that changes with any of the columns' values and not with the order of rows."""
+    row = f"concat_ws('|', {', '.join(f'cast({name} AS string)' for name in columns)})"
+    return f"coalesce(sum(cast(conv(substr(md5({row}), 1, 8), 16, 10) AS bigint)), 0L)"
+
+
 def saved_tables(
     spark: SparkSession, expected: Mapping[str, int | None], database: str | None = None
 ) -> DataFrame:

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from seawarden.functions.bands import label_rank
 from seawarden.functions.text import split_list
+from seawarden.sources.reference import rows_to_table
+
+#: Rows of a derived reference table that are read while a plan is built, at most.
+SMALL = 1000
 
 
 def options(df: DataFrame, alternatives: DataFrame, k: int = 2) -> DataFrame:
@@ -57,15 +61,25 @@ def coverage(routes: DataFrame, corridors: DataFrame, aliases: DataFrame) -> Dat
     )
 
 
+def _counted(df: DataFrame) -> DataFrame:
+    """A small table as rows of known size, so that the optimizer does not overestimate it.
+
+    Estimates multiply with every explode and join. Up to ``SMALL`` rows are read here; a larger table stays a
+    plan, and the optimizer chooses by its estimate.
+    """
+    rows = df.limit(SMALL + 1).collect()
+    return rows_to_table(df.sparkSession, [tuple(row) for row in rows], df.schema) if len(rows) <= SMALL else df
+
+
 def corridors(df: DataFrame, routes: DataFrame, corridor_table: DataFrame, aliases: DataFrame) -> DataFrame:
     """Each vessel with the corridors that avoid a zone it transits."""
-    return df.join(coverage(routes, corridor_table, aliases), "transit_zones")
+    return df.join(_counted(coverage(routes, corridor_table, aliases)), "transit_zones")
 
 
 def uncovered(df: DataFrame, routes: DataFrame, corridor_table: DataFrame, aliases: DataFrame) -> DataFrame:
     """Vessels for which no open corridor avoids any zone of their route."""
     covered = coverage(routes, corridor_table.where("status = 'Open'"), aliases)
-    return df.join(covered, "transit_zones", "left_anti")
+    return df.join(_counted(covered.select("transit_zones").distinct()), "transit_zones", "left_anti")
 
 
 def zones_by_route(zones: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from seawarden.functions.stats import exact_avg
+from seawarden.functions.stats import exact_mean
 
 VESSEL_KEYS = ("MMSI", "VesselName", "VesselTypeName", "PortZone")
 
@@ -19,7 +19,7 @@ def summarise(df: DataFrame, keys: Sequence[str] = VESSEL_KEYS, time: str = "Bas
     vessel with most of the rows sends one partial row per task.
     """
     return df.groupBy(*keys).agg(
-        F.expr(f"{exact_avg('SOG', 2)} AS avg_sog"),
+        F.expr(f"{exact_mean('SOG')} AS avg_sog"),
         F.expr("min(SOG) AS min_sog"),
         F.expr("max(SOG) AS max_sog"),
         F.expr("count(SOG) AS record_count"),

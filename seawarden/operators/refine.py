@@ -21,14 +21,19 @@ def _between(column: str, limits: tuple[float, float]) -> str:
 
 LAT_OK = _between("LAT", fixed.LAT_RANGE)
 LON_OK = _between("LON", fixed.LON_RANGE)
-SPEED_OK = f"SOG >= {fixed.MIN_SPEED}D"
+# NaN sorts above infinity, so this leaves out both.
+SPEED_OK = f"SOG >= {fixed.MIN_SPEED}D AND SOG < double('Infinity')"
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 # Plain comparisons, which a scan can push down.
 IN_SCOPE = f"{LAT_OK} AND {LON_OK} AND {SPEED_OK}"
 
 
-def parsed_time(fmt: str | None = None, column: str = "BaseDateTime") -> str:
-    """Timestamp from text; text that is not a time gives null instead of failing the job."""
-    return f"try_to_timestamp({column}, {quote(fmt)})" if fmt else f"try_to_timestamp({column})"
+def parsed_time(fmt: str = TIME_FORMAT, column: str = "BaseDateTime") -> str:
+    """Timestamp from text in a declared format; any other text gives null instead of failing the job.
+
+    The format is never guessed: a guess takes a time without a date for today's.
+    """
+    return f"try_to_timestamp({column}, {quote(fmt)})"
 
 
 def reject_reason(time: str) -> str:
@@ -44,22 +49,22 @@ def reject_reason(time: str) -> str:
     )
 
 
-def tag_rejects(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def tag_rejects(df: DataFrame, fmt: str = TIME_FORMAT) -> DataFrame:
     """Every report with its ``reject_reason``; write this partitioned by reason to split in one pass."""
     return add(df, reject_reason=reject_reason(parsed_time(fmt)))
 
 
-def parse(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def parse(df: DataFrame, fmt: str = TIME_FORMAT) -> DataFrame:
     """Reports inside the monitored area and with a speed; the time parsed, null if it is no time."""
     return replace(df.where(IN_SCOPE), {"BaseDateTime": parsed_time(fmt)})
 
 
-def usable(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def usable(df: DataFrame, fmt: str = TIME_FORMAT) -> DataFrame:
     """Reports with everything needed to place them."""
     return parse(df, fmt).where("BaseDateTime IS NOT NULL")
 
 
-def split_rejects(df: DataFrame, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
+def split_rejects(df: DataFrame, fmt: str = TIME_FORMAT) -> tuple[DataFrame, DataFrame]:
     """(usable reports with parsed time, rejected reports as received plus the reason)."""
     return usable(df, fmt), tag_rejects(df, fmt).where("reject_reason IS NOT NULL")
 
@@ -95,6 +100,6 @@ def add_labels(df: DataFrame) -> DataFrame:
     )
 
 
-def clean(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def clean(df: DataFrame, fmt: str = TIME_FORMAT) -> DataFrame:
     """Bronze to silver. Labels are added after the shuffle of ``dedup``, which so moves codes only."""
     return schemas.conform(add_labels(dedup(parse(df, fmt), required="BaseDateTime")), schemas.AIS_SILVER)

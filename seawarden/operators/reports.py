@@ -63,11 +63,6 @@ def reroute_list(df: DataFrame) -> DataFrame:
     return ranked(df, "net_savings_usd", ["VesselName", "MMSI"], "rerouting_recommended").select(*columns)
 
 
-def critical_zones(zones: DataFrame) -> DataFrame:
-    columns = ["zone_name", "risk_level", "risk_score", "description", "affected_routes"]
-    return ranked(zones, "risk_score", ["zone_name"], "risk_level = 'Critical'").select(*columns)
-
-
 def port_summary(df: DataFrame) -> DataFrame:
     """Risk, obstacle and zone measures per port."""
 

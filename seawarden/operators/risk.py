@@ -10,11 +10,59 @@ from seawarden.functions.text import quote, template
 from seawarden.operators import add
 
 # Estimated from the record count, for a vessel that is nearly stopped but was cruising.
-SLOWDOWN_EVENTS = bands(*fixed.SLOWDOWN_EVENTS)
-SLOWDOWN_SCORE = bands(*fixed.SLOWDOWN_SCORE, digits=1)
-WEATHER_SEVERITY_SCORE = bands(*fixed.WEATHER_SEVERITY_SCORE, digits=1)
+SLOWDOWN_EVENTS = bands(
+    [
+        (
+            f"latest_sog < {fixed.SLOW_KNOTS} AND avg_sog > {fixed.MODERATE_KNOTS}",
+            f"round(record_count * {fixed.SLOWDOWN_SHARE}D, 0)",
+        )
+    ],
+    "0D",
+)
+SLOWDOWN_SCORE = bands(
+    [
+        (f"latest_sog < {fixed.SLOW_KNOTS}", f"{fixed.SLOW_SCORE} + slowdown_events * {fixed.SLOW_PER_EVENT}D"),
+        (f"latest_sog < {fixed.MODERATE_KNOTS}", f"{fixed.MODERATE_SCORE} + slowdown_events * {fixed.MODERATE_PER_EVENT}D"),
+    ],
+    f"{fixed.CRUISE_SCORE}D",
+    digits=1,
+)
+
+
+def _worse_than(wind: int, wave: int) -> str:
+    return f"wind_speed_kmh > {wind} OR wave_height_m > {wave}"
+
+
+WEATHER_SEVERITY_SCORE = bands(
+    [
+        (
+            _worse_than(fixed.STORM_WIND_KMH, fixed.STORM_WAVE_M),
+            f"{fixed.STORM_SCORE} + wind_speed_kmh * {fixed.ROUGH_PER_KMH}D",
+        ),
+        (
+            _worse_than(fixed.ROUGH_WIND_KMH, fixed.ROUGH_WAVE_M),
+            f"{fixed.ROUGH_SCORE} + wind_speed_kmh * {fixed.ROUGH_PER_KMH}D",
+        ),
+        (f"visibility_m < {fixed.FOG_VISIBILITY_M}", f"{fixed.FOG_SCORE}D"),
+    ],
+    f"{fixed.CALM_SCORE} + wind_speed_kmh * {fixed.CALM_PER_KMH}D",
+    digits=1,
+)
+
+
+def _closer_than(km: int, score: int, per_km: float) -> tuple[str, str]:
+    return f"distance_to_port_km < {km}", f"{score} + ({km} - distance_to_port_km) * {per_km}D"
+
+
 # Highest at the port; an unknown distance scores as a far one.
-PORT_PROXIMITY_SCORE = bands(*fixed.PORT_PROXIMITY_SCORE, digits=1)
+PORT_PROXIMITY_SCORE = bands(
+    [
+        _closer_than(fixed.NEAR_KM, fixed.NEAR_SCORE, fixed.NEAR_PER_KM),
+        _closer_than(fixed.AROUND_KM, fixed.AROUND_SCORE, fixed.AROUND_PER_KM),
+    ],
+    f"{fixed.FAR_SCORE}D",
+    digits=1,
+)
 
 
 def add_slowdown_scores(df: DataFrame) -> DataFrame:

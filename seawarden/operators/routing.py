@@ -31,11 +31,41 @@ def add_profile(df: DataFrame, routes: DataFrame, obstacles: DataFrame, fuel: Da
     )
 
 
+def _by_level(values: dict[str, str], otherwise: str) -> str:
+    return bands([(f"risk_level = {quote(level)}", value) for level, value in values.items()], otherwise)
+
+
+def delay_hours() -> str:
+    """Hours at the lower bound of the vessel's level, and more for each point above it."""
+    bounds = {level: low for low, level in fixed.RISK_LEVEL_BANDS}
+    hours = {
+        level: f"{least} + (delay_risk_score - {bounds[level]}) * {per_point}D"
+        for level, (least, per_point) in fixed.DELAY_HOURS.items()
+    }
+    return _by_level(hours, f"{fixed.LEAST_DELAY_HOURS}D")
+
+
+def late_penalty() -> str:
+    """The base amount times a factor of the level."""
+    factors = {level: f"{factor}D" for level, factor in fixed.LATE_FACTORS.items()}
+    return f"{fixed.LATE_PENALTY_USD} * {_by_level(factors, f'{fixed.LEAST_LATE_FACTOR}D')}"
+
+
+def detour_miles() -> str:
+    """Miles of the way around: longer for a critical vessel by its zone, for a high one by its obstacles."""
+    scores = {"Critical": "geopolitical_risk_score", "High": "obstacle_risk_score"}
+    miles = {
+        level: f"{least} + {scores[level]} * {per_point}D" if level in scores else f"{least}D"
+        for level, (least, per_point) in fixed.DETOUR_MILES.items()
+    }
+    return _by_level(miles, "0D")
+
+
 def add_costs(df: DataFrame) -> DataFrame:
     """Safety score, delay and rerouting cost. Costs use the hours and miles before rounding."""
     parts = add(
-        add(df, _hours=bands(*fixed.DELAY_HOURS), _miles=bands(*fixed.DETOUR_MILES)),
-        _delay=f"fuel_cost_per_hour_usd * _hours + {bands(*fixed.LATE_PENALTY_USD)}",
+        add(df, _hours=delay_hours(), _miles=detour_miles()),
+        _delay=f"fuel_cost_per_hour_usd * _hours + {late_penalty()}",
         _reroute=f"_miles * fuel_cost_per_hour_usd * {fixed.FUEL_SHARE_PER_MILE}D",
     )
     return add(

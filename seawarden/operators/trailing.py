@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from seawarden import fixed_values as fixed
-from seawarden.functions.stats import scaled
+from seawarden.functions.stats import fraction, mean_of_parts, whole
 from seawarden.operators import add
 
 
@@ -16,7 +16,6 @@ def trailing_average(
     value: str = "SOG",
     rows: int = 24,
     bucket_days: int = 7,
-    digits: int = 2,
 ) -> DataFrame:
     """Adds ``trailing_avg``: the mean of the ``rows`` readings before this one, null for the first.
 
@@ -24,19 +23,22 @@ def trailing_average(
     is cut into time buckets. Inside a bucket only the first ``rows`` readings look back past its
     start, and what they need is among the first and last ``rows`` readings of each bucket. These
     edge readings alone go through a window per vessel, at most ``2 * rows`` per bucket of time,
-    however many readings the vessel has. (key, time) must be unique, as ``dedup`` leaves it.
+    however many readings the vessel has: the resolution of time bounds them, also for an identity that
+    many transponders share. (key, time) must be unique, as ``dedup`` leaves it.
     """
     local = f"PARTITION BY {key}, _bucket ORDER BY {time}"
 
     def mean_before(partition: str) -> str:
         past = f"OVER (PARTITION BY {partition} ORDER BY {time} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING)"
-        return f"sum(_value) {past} / {float(10**digits)}D / count(_value) {past}"
+        return mean_of_parts(value, "_whole", "_fraction", "_size", past)
 
     # Both branches below need the same columns of this step, so they share one shuffle.
     bucketed = add(
         df,
         _bucket=f"floor(unix_micros({time}) / {bucket_days * 86_400_000_000.0}D)",
-        _value=scaled(value, digits),
+        _whole=whole(value),
+        _fraction=fraction(value),
+        _size=f"abs({value})",
     )
     inside = add(
         bucketed,

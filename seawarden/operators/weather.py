@@ -41,19 +41,18 @@ def as_of(
     obs_time: str = "obs_time",
     values: Sequence[str] = WEATHER_COLUMNS,
     bucket_hours: int = 24,
-    splits: int = 8,
 ) -> DataFrame:
     """Adds the latest observation of the same ``by`` at or before ``on``: its time and its values.
 
-    Rows and observations are sorted together and the last observation is carried forward, so the
-    cost is that of a sort and no pairs are formed. The sort runs per (``by``, time bucket, split):
+    Observations are gathered in time order per (``by``, time bucket), and rows pick theirs after an equi-join
+    on that pair. Rows are neither sorted nor numbered, so nothing limits how many tasks share the rows of one
+    place and time: against few observations they stay where they are (broadcast), against many the join is
+    shuffled and adaptive execution splits a hot pair.
 
-    * observations are first reduced to one per (``by``, time), the greatest by its values, so a
-      bucket holds at most one per tick;
-    * each bucket also gets the observation still in force at its start, so no task needs an
-      earlier bucket; after the last observation of a place, a lookup by place answers;
-    * rows spread over ``splits`` by hash, and the few observations are repeated for each, so a
-      place and hour that holds most of the rows is shared by ``splits`` tasks.
+    * observations are first reduced to one per (``by``, time), the greatest by its values, so a bucket holds
+      at most one per tick; a finer bucket makes its list shorter;
+    * each bucket up to the last one of a place also gets the observation still in force at its start; after
+      it, a lookup by place answers.
 
     ``df`` is read once. Rows with a null place or time get nulls.
     """
@@ -76,25 +75,19 @@ def as_of(
         "_by", "_at", "_obs", "explode(sequence(_bucket + 1, _next)) AS _bucket"
     )
     final = closing.where("_next IS NULL").selectExpr("_by", "_at AS _final_at", "_obs AS _final_obs")
-    feed = seen.unionByName(carried).selectExpr(
-        "*", "false AS _is_row", f"explode(sequence(0L, {splits - 1}L)) AS _split"
-    )
-    rows = add(
-        df,
-        _by=by,
-        _at=on,
-        _bucket=bucket(on),
-        _is_row="true",
-        _split=f"pmod(xxhash64({', '.join(df.columns)}), {splits}L)",
-    )
-    found = add(
-        rows.unionByName(feed, allowMissingColumns=True),
-        _found="last(_obs, true) OVER (PARTITION BY _by, _bucket, _split ORDER BY _at, _is_row"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    in_bucket = (
+        seen.unionByName(carried)
+        .groupBy("_by", "_bucket")
+        .agg(F.expr("sort_array(collect_list(struct(_at, _obs))) AS _seen"))
     )
+    rows = add(df, _by=by, _at=on, _bucket=bucket(on))
     return (
-        found.where("_is_row")
+        rows.join(in_bucket, ["_by", "_bucket"], "left")
         .join(final, "_by", "left")
-        .selectExpr(*df.columns, "coalesce(_found, if(_final_at <= _at, _final_obs, NULL)) AS _found")
+        .selectExpr(*df.columns, "_at", "_final_at", "_final_obs", "filter(_seen, o -> o._at <= _at) AS _past")
+        .selectExpr(
+            *df.columns,
+            "CASE WHEN size(_past) > 0 THEN element_at(_past, -1)._obs WHEN _final_at <= _at THEN _final_obs END AS _found",
+        )
         .selectExpr(*df.columns, "_found.*")
     )

@@ -85,7 +85,7 @@ CTES = {
         QUALIFY row_number() OVER (PARTITION BY MMSI, BaseDateTime
           ORDER BY SOG DESC, LAT, LON, COG, VesselType, Status, VesselName, PortZone) = 1""",
     "profiles": """SELECT MMSI, VesselName, VesselTypeName, PortZone,
-          sum(SOG::DECIMAL(18, 2))::DOUBLE / count(SOG) AS avg_sog, min(SOG) AS min_sog, max(SOG) AS max_sog,
+          sum(SOG::DECIMAL(38, 12))::DOUBLE / count(SOG) AS avg_sog, min(SOG) AS min_sog, max(SOG) AS max_sog,
           count(SOG) AS record_count, arg_max(LAT, BaseDateTime) AS latest_lat,
           arg_max(LON, BaseDateTime) AS latest_lon, arg_max(SOG, BaseDateTime) AS latest_sog,
           max(BaseDateTime) AS latest_time
@@ -97,7 +97,12 @@ CTES = {
               FROM profiles s LEFT JOIN ports p ON p.port_zone = s.PortZone) v""",
     "observed": """SELECT coalesce(p.port_zone, 'Offshore') AS port_zone, obs_time,
           (5 + (h * 7 + s.slot * 11) % 60)::DOUBLE AS wind, (500 + (h * 131 + s.slot * 17) % 9500)::DOUBLE AS sight,
-          (10 + (h * 13 + s.slot * 7) % 40)::DOUBLE / 10 AS wave
+          (10 + (h * 13 + s.slot * 7) % 40)::DOUBLE / 10 AS wave,
+          CASE WHEN h % 3 = 0 THEN (10 + (h * 5 + s.slot * 3) % 80)::DOUBLE END AS gusts,
+          CASE WHEN h % 3 = 0 THEN ((h * 7 + s.slot) % 45 - 10)::DOUBLE END AS temperature,
+          CASE WHEN h % 3 = 0 THEN ((h + s.slot) % 20)::DOUBLE / 10 END AS rain,
+          CASE WHEN h % 3 = 0 THEN ((h * 11 + s.slot * 13) % 101)::DOUBLE END AS clouds,
+          p.center_lat, p.center_lon
         FROM (SELECT DISTINCT date_trunc('hour', ts) AS obs_time,
                 extract(day FROM ts) * 24 + extract(hour FROM ts) AS h
               FROM events WHERE event_type = 'view') hours
@@ -105,11 +110,12 @@ CTES = {
         LEFT JOIN ports p ON p.slot = s.slot""",
     "weathered": f"""SELECT l.*, w.obs_time,
           coalesce(w.wind, {_W['wind_speed_kmh']})::DOUBLE AS wind_speed_kmh,
-          {_W['wind_gusts_kmh']}::DOUBLE AS wind_gusts_kmh, {_W['temperature_c']}::DOUBLE AS temperature_c,
-          {_W['precipitation_mm']}::DOUBLE AS precipitation_mm,
+          coalesce(w.gusts, {_W['wind_gusts_kmh']})::DOUBLE AS wind_gusts_kmh,
+          coalesce(w.temperature, {_W['temperature_c']})::DOUBLE AS temperature_c,
+          coalesce(w.rain, {_W['precipitation_mm']})::DOUBLE AS precipitation_mm,
           coalesce(w.sight, {_W['visibility_m']})::DOUBLE AS visibility_m,
-          {_W['cloud_cover_pct']}::DOUBLE AS cloud_cover_pct,
-          coalesce(w.wave, {_W['wave_height_m']})::DOUBLE AS wave_height_m, true AS weather_imputed
+          coalesce(w.clouds, {_W['cloud_cover_pct']})::DOUBLE AS cloud_cover_pct,
+          coalesce(w.wave, {_W['wave_height_m']})::DOUBLE AS wave_height_m, w.gusts IS NULL AS weather_imputed
         FROM located l ASOF LEFT JOIN observed w ON l.PortZone = w.port_zone AND l.latest_time >= w.obs_time""",
     "parts": f"""SELECT *,
           {_half_up("CASE WHEN latest_sog < 3 THEN 80 + 2 * slowdown_events WHEN latest_sog < 8 "
@@ -193,13 +199,20 @@ CTES = {
     "exposure": """SELECT z.*, v.route_type, coalesce(r.vessels, 0) AS vessels
         FROM zones z CROSS JOIN LATERAL (SELECT trim(unnest(string_split(z.affected_routes, ','))) AS route_type) v
         LEFT JOIN (SELECT route_type, count(*) AS vessels FROM routing GROUP BY route_type) r USING (route_type)""",
+    "fine_silver": """SELECT * EXCLUDE (SOG), round(SOG, 2) + (report_id % 100) / 10000.0::DOUBLE AS SOG FROM valid
+        QUALIFY row_number() OVER (PARTITION BY MMSI, BaseDateTime
+          ORDER BY round(SOG, 2) + (report_id % 100) / 10000.0::DOUBLE DESC, LAT, LON, COG, VesselType, Status,
+            VesselName, PortZone) = 1""",
     # reports with damaged fields, and payloads
     "faulty": """SELECT report_id, MMSI, LAT,
           CASE WHEN report_id % 89 = 0 THEN 'not-a-time' WHEN report_id % 83 = 0 THEN NULL
-               WHEN report_id % 79 = 0 THEN '2024-13-01T00:00:00'
+               WHEN report_id % 79 = 0 THEN '2024-13-01T00:00:00' WHEN report_id % 61 = 0 THEN '12:30:00'
+               WHEN report_id % 59 = 0 THEN '2024-01' WHEN report_id % 53 = 0 THEN 'T12:30:00'
                ELSE strftime(BaseDateTime, '%Y-%m-%dT%H:%M:%S') END AS BaseDateTime,
           CASE WHEN report_id % 73 = 0 THEN -131.0::DOUBLE ELSE LON END AS LON,
-          CASE WHEN report_id % 71 = 0 THEN -1.0::DOUBLE WHEN report_id % 67 = 0 THEN NULL ELSE SOG END AS SOG
+          CASE WHEN report_id % 71 = 0 THEN -1.0::DOUBLE WHEN report_id % 67 = 0 THEN NULL
+               WHEN report_id % 47 = 0 THEN 'NaN'::DOUBLE WHEN report_id % 43 = 0 THEN 'Infinity'::DOUBLE
+               ELSE SOG END AS SOG
         FROM reports""",
     "rejected": """SELECT * FROM reports
         WHERE NOT (LAT BETWEEN 20 AND 60 AND LON BETWEEN -130 AND -65 AND SOG >= 0)""",
@@ -211,7 +224,7 @@ CTES = {
         FROM events""",
     "trail": """SELECT MMSI, BaseDateTime, SOG < 3 AND coalesce(before > 8, false) AS dropped
         FROM (SELECT MMSI, BaseDateTime, SOG,
-                sum(SOG::DECIMAL(18, 2)) OVER past::DOUBLE / nullif(count(*) OVER past, 0) AS before
+                sum(SOG::DECIMAL(38, 12)) OVER past::DOUBLE / nullif(count(*) OVER past, 0) AS before
               FROM silver
               WINDOW past AS (PARTITION BY MMSI ORDER BY BaseDateTime ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))""",
 }
@@ -242,16 +255,20 @@ def _range_check(table: str, source: str, column: str, low: float, high: float)
     )
 
 
-def _count(name: str, source: str | None, expected: int | None = None) -> str:
+def _count(name: str, source: str, expected: int | str | None = None) -> str:
     target = "NULL::BIGINT" if expected is None else f"{expected}::BIGINT"
-    if source is None:
-        return f"SELECT '{name}' AS table_name, NULL::BIGINT AS row_count, {target} AS expected, NULL::BIGINT AS delta, 'ERROR' AS status"
     return (
         f"SELECT '{name}' AS table_name, count(*) AS row_count, {target} AS expected, count(*) - {target} AS delta, "
         f"CASE WHEN count(*) > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM {source}"
     )
 
 
+def _content(source: str, columns: str) -> str:
+    return (
+        f"SELECT sum(('0x' || substr(md5(concat_ws('|', {columns})), 1, 8))::BIGINT)::BIGINT AS content FROM {source}"
+    )
+
+
 _REFERENCE_COUNTS = [
     _count("port_zones", "ports", 6),
     _count("geopolitical_risk_zones", "zones", 7),
@@ -269,10 +286,12 @@ FINAL = {
           CASE WHEN parsed_time IS NULL THEN 'bad_time'
                WHEN LAT IS NULL OR LAT < 20 OR LAT > 60 THEN 'lat_out_of_range'
                WHEN LON IS NULL OR LON < -130 OR LON > -65 THEN 'lon_out_of_range'
-               WHEN SOG IS NULL OR SOG < 0 THEN 'bad_speed' END AS reject_reason
-        FROM (SELECT *, try_cast(BaseDateTime AS TIMESTAMP) AS parsed_time FROM faulty)""",
+               WHEN SOG IS NULL OR SOG < 0 OR NOT isfinite(SOG) THEN 'bad_speed' END AS reject_reason
+        FROM (SELECT *, try_strptime(BaseDateTime, '%Y-%m-%dT%H:%M:%S') AS parsed_time FROM faulty)""",
     "vessel_profile": f"""SELECT * EXCLUDE (avg_sog, latest_lat, latest_lon), {_AVG_SOG} AS avg_sog,
           round(latest_lat, 6) AS latest_lat, round(latest_lon, 6) AS latest_lon FROM profiles""",
+    "fine_speed_profile": f"""SELECT MMSI, {_half_up("avg(SOG)", 6)} AS avg_sog, min(SOG) AS min_sog,
+          max(SOG) AS max_sog, count(SOG) AS record_count FROM fine_silver GROUP BY MMSI""",
     "port_distance": """SELECT MMSI, PortZone, round(latest_lat, 6) AS latest_lat, round(latest_lon, 6) AS latest_lon,
           round(distance_to_port_km, 3) AS distance_to_port_km FROM located""",
     "port_by_box": """SELECT MMSI, BaseDateTime, LAT, LON, PortZone, p.port_zone AS box_port
@@ -281,6 +300,15 @@ FINAL = {
     "speed_drop_events": """SELECT MMSI, count(*) AS record_count, count(*) FILTER (WHERE dropped) AS speed_drop_events,
           max(BaseDateTime) FILTER (WHERE dropped) AS last_drop_time FROM trail GROUP BY MMSI""",
     "weather_asof": f"""SELECT MMSI, PortZone, latest_time, obs_time, {', '.join(_W)}, weather_imputed FROM weathered""",
+    "weather_by_cell": f"""SELECT MMSI, latest_time, w.obs_time,
+          coalesce(w.wind, {_W['wind_speed_kmh']})::DOUBLE AS wind_speed_kmh,
+          coalesce(w.wave, {_W['wave_height_m']})::DOUBLE AS wave_height_m, w.gusts IS NULL AS weather_imputed
+        FROM (SELECT *, floor(latest_lat / 2)::VARCHAR || ' ' || floor(latest_lon / 2)::VARCHAR AS cell FROM located) l
+        LEFT JOIN (SELECT *, floor(center_lat / 2)::VARCHAR || ' ' || floor(center_lon / 2)::VARCHAR AS cell
+                   FROM observed WHERE center_lat IS NOT NULL) w
+          ON l.cell = w.cell AND l.latest_time >= w.obs_time
+        QUALIFY row_number() OVER (PARTITION BY MMSI
+          ORDER BY w.obs_time DESC NULLS LAST, w.wind DESC, w.gusts DESC NULLS LAST) = 1""",
     "weather_json": f"""SELECT event_id,
           coalesce((forecast->>'k')::DOUBLE, {_W['wind_speed_kmh']}) AS wind_speed_kmh,
           {_W['wind_gusts_kmh']}::DOUBLE AS wind_gusts_kmh, {_W['temperature_c']}::DOUBLE AS temperature_c,
@@ -346,13 +374,12 @@ FINAL = {
           safety_score FROM routing""",
     "table_audit": " UNION ALL ".join(
         [
-            _count("ais_bronze", "reports", 57600),
-            _count("ais_silver", "silver"),
+            _count("ais_bronze", "reports", "(SELECT count(*) FROM reports)"),
+            _count("ais_silver", "silver", "(SELECT count(DISTINCT (MMSI, BaseDateTime)) FROM valid)"),
             _count("vessel_disruption_risk", "gold"),
             _count("vessel_routing_intelligence", "routing"),
             *_REFERENCE_COUNTS,
-            _count("rejected_positions", "rejected"),
-            _count("port_calls", None),
+            _count("ais_rejected", "rejected"),
         ]
     ),
     "column_checks": " UNION ALL ".join(
@@ -381,24 +408,38 @@ FINAL = {
           {_message(_HUMAN)} AS human_text,
           CASE WHEN NOT ({_COMPLETE}) THEN 'missing variable: ' || concat_ws(', ',
             CASE WHEN topic IS NULL THEN 'topic' END, CASE WHEN audience IS NULL THEN 'audience' END) END AS error
-        FROM (SELECT doc_id, CASE WHEN n_chars % 10 <> 0 THEN text END AS topic,
-                CASE WHEN doc_id % 17 <> 0 THEN 'readers of ' || source || ' in ' || lang END AS audience
-              FROM documents)""",
+        FROM (SELECT doc_id, text AS topic, 'readers of ' || source || ' in ' || lang AS audience FROM documents)""",
     "stream_hourly_speed": f"""SELECT PortZone, BaseDateTime AS hour_start, count(*) AS reports,
-          {_half_up("sum(SOG::DECIMAL(18, 2))::DOUBLE / count(*)", 4)} AS avg_sog, min(SOG) AS min_sog, max(SOG) AS max_sog
+          {_half_up("sum(SOG::DECIMAL(38, 12))::DOUBLE / count(*)", 4)} AS avg_sog, min(SOG) AS min_sog, max(SOG) AS max_sog
         FROM valid GROUP BY PortZone, BaseDateTime""",
     "stream_latest": """SELECT MMSI, BaseDateTime, LAT, LON, SOG, PortZone FROM valid
         QUALIFY row_number() OVER (PARTITION BY MMSI
           ORDER BY BaseDateTime DESC, SOG DESC, LAT DESC, LON DESC, PortZone DESC) = 1""",
-    "stream_dedup": "SELECT DISTINCT MMSI, BaseDateTime FROM valid",
+    "stream_dedup": """SELECT MMSI, BaseDateTime, count(DISTINCT (LAT, LON, SOG)) AS candidates, true AS kept_as_reported
+        FROM valid GROUP BY MMSI, BaseDateTime""",
     "publish_tables": " UNION ALL ".join(
-        [
-            _count("ais_bronze", "reports"),
-            _count("ais_silver", "silver"),
-            _count("vessel_disruption_risk", "gold"),
-            _count("vessel_routing_intelligence", "routing"),
-            *_REFERENCE_COUNTS,
-        ]
+        f"SELECT a.*, c.content FROM ({count}) a CROSS JOIN ({_content(source, columns)}) c"
+        for count, source, columns in zip(
+            [
+                _count("ais_bronze", "reports"),
+                _count("ais_silver", "silver"),
+                _count("vessel_disruption_risk", "gold"),
+                _count("vessel_routing_intelligence", "routing"),
+                *_REFERENCE_COUNTS,
+            ],
+            ["reports", "silver", "gold", "routing", "ports", "zones", "obstacles", "safe_corridors", "alternatives"],
+            [
+                "MMSI, VesselType, Status, VesselName, PortZone",
+                "MMSI, VesselTypeName, NavStatus, VesselName, PortZone",
+                "MMSI, port_zone, weather_severity, risk_level, recommended_action",
+                "MMSI, route_type, routing_priority, rerouting_recommendation",
+                "port_zone",
+                "zone_name, zone_type, risk_level, risk_score, affected_routes",
+                "obstacle_name, obstacle_type, port_zone, radius_km, obstacle_risk_score",
+                "corridor_name, route_alternative, avoids_zones, additional_nm, status",
+                "current_port, alternative_port, distance_nm, safety_rating, status",
+            ],
+        )
     ),
 }
 

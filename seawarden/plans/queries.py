@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seawarden import fixed_values as fixed
 from seawarden.operators import add, audit, diversion, profile, prompts, proximity, refine, replace, reports
 from seawarden.operators import risk, routing, trailing, weather
 from seawarden.plans import pipeline
-from seawarden.session import shared_folder
-from seawarden.sources import event_feed, reference
+from seawarden.session import remove_folder, shared_folder
+from seawarden.sources import event_feed, reference, schemas
+from seawarden.sources.reference import rows_to_table
 from seawarden.streaming import positions as live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +67,13 @@ def vessel_profile(spark, folder):
     return shown(profile.summarise(_silver(spark, folder)))
 
 
+def fine_speed_profile(spark, folder):
+    """Means of speeds with four digits."""
+    silver = pipeline.silver(event_feed.fine_positions(event_feed.events(spark, folder)))
+    summary = profile.summarise(silver, keys=["MMSI"])
+    return replace(summary, {"avg_sog": "round(avg_sog, 6)"}).select("MMSI", "avg_sog", "min_sog", "max_sog", "record_count")
+
+
 def port_distance(spark, folder):
     return shown(_located(spark, folder)).select("MMSI", "PortZone", "latest_lat", "latest_lon", "distance_to_port_km")
 
@@ -86,6 +95,18 @@ def weather_asof(spark, folder):
     return found.select("MMSI", "PortZone", "latest_time", "obs_time", *weather.WEATHER_COLUMNS, "weather_imputed")
 
 
+def weather_by_cell(spark, folder):
+    """Weather where the vessel is, by two-degree cell, instead of by port name."""
+    cell = "concat(cast(floor({lat} / 2) AS string), ' ', cast(floor({lon} / 2) AS string))"
+    centres = reference.port_zones(spark).select("port_zone", "center_lat", "center_lon")
+    observed = add(_weather(spark, folder).join(centres, "port_zone"), cell=cell.format(lat="center_lat", lon="center_lon"))
+    vessels = add(_located(spark, folder), cell=cell.format(lat="latest_lat", lon="latest_lon"))
+    found = weather.as_of(vessels, observed, by="cell", on="latest_time", obs_by="cell")
+    return weather.fill_defaults(found).select(
+        "MMSI", "latest_time", "obs_time", "wind_speed_kmh", "wave_height_m", "weather_imputed"
+    )
+
+
 def weather_json(spark, folder):
     parsed = weather.parse(event_feed.payloads(event_feed.events(spark, folder)))
     return weather.fill_defaults(parsed).select("event_id", *weather.WEATHER_COLUMNS, "weather_imputed")
@@ -238,19 +259,29 @@ def risk_pairs(spark, folder):
 # --- audit, prompts ----------------------------------------------------------------------------
 
 
-def table_audit(spark, folder):
+@contextmanager
+def _published(spark: SparkSession, folder: str, **options):
+    """All tables in a database of their own, which goes when its caller is done with it."""
+    location = shared_folder(spark, "fleet")
+    database = "fleet_" + location[-32:]
     bronze = _bronze(spark, folder)
-    frames = {
-        "ais_bronze": bronze,
-        "ais_silver": pipeline.silver(bronze),
-        "vessel_disruption_risk": _gold(spark, folder),
-        "vessel_routing_intelligence": _routing(spark, folder),
-        **{name: rows(spark) for name, rows in reference.PUBLISHED.items()},
-        "rejected_positions": refine.split_rejects(bronze)[1],
-        "port_calls": None,
-    }
-    expected = {**reference.ROW_COUNTS, "ais_bronze": 57600}
-    return audit.tables(spark, frames, expected)
+    report = pipeline.publish(spark, bronze, _weather(spark, folder), database, location, **options)
+    try:
+        yield database, report
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+        remove_folder(spark, location)
+
+
+def table_audit(spark, folder):
+    """Row counts of stored tables, rejects among them, each with what to expect."""
+    reports = _bronze(spark, folder).count()
+    usable = refine.usable(_bronze(spark, folder)).select(*refine.POSITION_KEY).distinct()
+    layers = {"ais_bronze": reports, "ais_silver": usable.count()}
+    with _published(spark, folder, keep_rejects=True, expected=layers) as (database, _):
+        expected = {**dict.fromkeys(schemas.TABLES), **reference.ROW_COUNTS, **layers, "ais_rejected": None}
+        report = audit.saved_tables(spark, expected, database)
+        return rows_to_table(spark, [tuple(row) for row in report.collect()], report.schema)
 
 
 def column_checks(spark, folder):
@@ -270,9 +301,7 @@ def column_checks(spark, folder):
 
 def render_prompts(spark, folder):
     variables = spark.read.parquet(f"{folder}/documents.parquet").selectExpr(
-        "doc_id",
-        "if(n_chars % 10 = 0, NULL, text) AS topic",
-        "if(doc_id % 17 = 0, NULL, concat('readers of ', source, ' in ', lang)) AS audience",
+        "doc_id", "text AS topic", "concat('readers of ', source, ' in ', lang) AS audience"
     )
     return prompts.render(variables).selectExpr(
         "doc_id", "messages[0].content AS system_text", "messages[1].content AS human_text", "error"
@@ -288,30 +317,61 @@ def _live(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_hourly_speed(spark, folder):
     work = shared_folder(spark, "hourly-speed")
-    live.write_changes(live.hourly_speed(_live(spark, folder)), f"{work}/rows", f"{work}/progress").awaitTermination()
-    return live.current(spark, f"{work}/rows", ["PortZone", "hour_start"])
+    hourly = live.hourly_speed(_live(spark, folder))
+    live.keep_newest(hourly, ["PortZone", "hour_start"], f"{work}/state", f"{work}/progress").awaitTermination()
+    return live.stored_state(spark, f"{work}/state")
 
 
 def stream_latest(spark, folder):
     work = shared_folder(spark, "latest")
-    live.latest(_live(spark, folder), f"{work}/rows", f"{work}/progress").awaitTermination()
-    return live.latest_stored(spark, f"{work}/rows")
+    live.latest(_live(spark, folder), f"{work}/state", f"{work}/progress").awaitTermination()
+    return live.stored_state(spark, f"{work}/state")
 
 
 def stream_dedup(spark, folder):
     work = shared_folder(spark, "dedup")
-    once = live.dedup(_live(spark, folder)).select(*refine.POSITION_KEY)
-    live.write_changes(once, f"{work}/rows", f"{work}/progress", mode="append").awaitTermination()
-    return spark.read.parquet(f"{work}/rows").select(*refine.POSITION_KEY)
+    live.write_changes(live.dedup(_live(spark, folder)), f"{work}/rows", f"{work}/progress", mode="append").awaitTermination()
+    kept = spark.read.parquet(f"{work}/rows")
+    # Which of several reports comes first is up to the stream; it must be one of them, unchanged.
+    reported = refine.add_labels(refine.usable(_bronze(spark, folder)))
+    same = " AND ".join(f"r.{name} <=> k.{name}" for name in reported.columns if name not in refine.POSITION_KEY)
+    return (
+        kept.alias("k")
+        .join(reported.alias("r"), list(refine.POSITION_KEY))
+        .groupBy(*refine.POSITION_KEY)
+        .agg(
+            F.expr("count(DISTINCT r.LAT, r.LON, r.SOG) AS candidates"),
+            F.expr(f"bool_or({same}) AND count(DISTINCT k.LAT, k.LON, k.SOG) = 1 AS kept_as_reported"),
+        )
+    )
 
 
 # --- tables ------------------------------------------------------------------------------------
 
 
+#: Columns whose values are added up to compare stored contents.
+CONTENT = {
+    "ais_bronze": ["MMSI", "VesselType", "Status", "VesselName", "PortZone"],
+    "ais_silver": ["MMSI", "VesselTypeName", "NavStatus", "VesselName", "PortZone"],
+    "vessel_disruption_risk": ["MMSI", "port_zone", "weather_severity", "risk_level", "recommended_action"],
+    "vessel_routing_intelligence": ["MMSI", "route_type", "routing_priority", "rerouting_recommendation"],
+    "port_zones": ["port_zone"],
+    "geopolitical_risk_zones": ["zone_name", "zone_type", "risk_level", "risk_score", "affected_routes"],
+    "maritime_obstacles": ["obstacle_name", "obstacle_type", "port_zone", "radius_km", "obstacle_risk_score"],
+    "safe_corridors": ["corridor_name", "route_alternative", "avoids_zones", "additional_nm", "status"],
+    "port_alternatives": ["current_port", "alternative_port", "distance_nm", "safety_rating", "status"],
+}
+
+
 def publish_tables(spark, folder):
-    location = shared_folder(spark, "fleet")
-    database = "fleet_" + location[-32:]
-    return pipeline.publish(spark, _bronze(spark, folder), _weather(spark, folder), database, location)
+    """All nine tables written and read back: their audit and a sum over their contents."""
+    with _published(spark, folder) as (database, report):
+        contents = {
+            name: spark.table(f"{database}.{name}").agg(F.expr(audit.content(columns))).first()[0]
+            for name, columns in CONTENT.items()
+        }
+        lines = [(*row, contents[row["table_name"]]) for row in report.collect()]
+        return rows_to_table(spark, lines, report.schema.add("content", "long"))
 
 
 QUERIES: dict[str, Query] = {
@@ -320,10 +380,12 @@ QUERIES: dict[str, Query] = {
         refine_positions,
         parse_and_reject,
         vessel_profile,
+        fine_speed_profile,
         port_distance,
         port_by_box,
         speed_drop_events,
         weather_asof,
+        weather_by_cell,
         weather_json,
         weather_scores,
         slowdown_scores,

@@ -42,6 +42,30 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, none if it is not there."""
+    store, place = _path(spark, path)
+    if not store.exists(place):
+        return []
+    return [status.getPath().getName() for status in store.listStatus(place) if status.isDirectory()]
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    store, place = _path(spark, path)
+    return store.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    store, place = _path(spark, path)
+    store.delete(place, True)
+
+
 _shipped: set[str] = set()
 
 

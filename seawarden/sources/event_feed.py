@@ -71,30 +71,43 @@ def positions(events: DataFrame) -> DataFrame:
     return schemas.conform(_reports(events, {}, {}), schemas.AIS_BRONZE)
 
 
+def fine_positions(events: DataFrame) -> DataFrame:
+    """The same reports with speeds of four digits."""
+    speed = "round(value * 0.2D, 2) + event_id % 100 / 10000D"
+    return schemas.conform(_reports(events, {}, {"SOG": speed}), schemas.AIS_BRONZE)
+
+
 def faulty_positions(events: DataFrame) -> DataFrame:
     """The same reports, some with a damaged time, position or speed, and their ``report_id``."""
     changed = {
         "BaseDateTime": "CASE WHEN event_id % 89 = 0 THEN 'not-a-time' WHEN event_id % 83 = 0 THEN NULL"
-        f" WHEN event_id % 79 = 0 THEN '2024-13-01T00:00:00' ELSE {_REPORT['BaseDateTime']} END",
+        f" WHEN event_id % 79 = 0 THEN '2024-13-01T00:00:00' WHEN event_id % 61 = 0 THEN '12:30:00'"
+        f" WHEN event_id % 59 = 0 THEN '2024-01' WHEN event_id % 53 = 0 THEN 'T12:30:00'"
+        f" ELSE {_REPORT['BaseDateTime']} END",
         "LON": f"if(event_id % 73 = 0, -131D, {_LON})",
-        "SOG": "CASE WHEN event_id % 71 = 0 THEN -1D WHEN event_id % 67 = 0 THEN NULL ELSE round(value * 0.2D, 2) END",
+        "SOG": "CASE WHEN event_id % 71 = 0 THEN -1D WHEN event_id % 67 = 0 THEN NULL"
+        " WHEN event_id % 47 = 0 THEN double('NaN') WHEN event_id % 43 = 0 THEN double('Infinity')"
+        " ELSE round(value * 0.2D, 2) END",
     }
     return _reports(events, {"report_id": "event_id"}, changed)
 
 
 def weather(events: DataFrame) -> DataFrame:
-    """Hourly observations per port, with wind, waves and visibility only."""
+    """Hourly observations per port, at the hours that hold an event of type view.
+
+    Every third hour has all seven numbers, the others wind, waves and visibility only.
+    """
     hours = events.where("event_type = 'view'").selectExpr(f"{_HOUR} AS obs_time").distinct()
     slots = f"explode(array({', '.join(map(str, WEATHER_SLOTS))})) AS slot"
     observed = hours.selectExpr("obs_time", "dayofmonth(obs_time) * 24 + hour(obs_time) AS h", slots).selectExpr(
         f"{_pick(PORT_NAMES, 'slot')} AS port_zone",
         "obs_time",
         "cast(5 + (h * 7 + slot * 11) % 60 AS double) AS wind_speed_kmh",
-        "cast(NULL AS double) AS wind_gusts_kmh",
-        "cast(NULL AS double) AS temperature_c",
-        "cast(NULL AS double) AS precipitation_mm",
+        "if(h % 3 = 0, cast(10 + (h * 5 + slot * 3) % 80 AS double), NULL) AS wind_gusts_kmh",
+        "if(h % 3 = 0, cast((h * 7 + slot) % 45 - 10 AS double), NULL) AS temperature_c",
+        "if(h % 3 = 0, (h + slot) % 20 / 10, NULL) AS precipitation_mm",
         "cast(500 + (h * 131 + slot * 17) % 9500 AS double) AS visibility_m",
-        "cast(NULL AS double) AS cloud_cover_pct",
+        "if(h % 3 = 0, cast((h * 11 + slot * 13) % 101 AS double), NULL) AS cloud_cover_pct",
         "(10 + (h * 13 + slot * 7) % 40) / 10 AS wave_height_m",
     )
     return schemas.conform(observed, schemas.WEATHER_OBSERVATIONS)

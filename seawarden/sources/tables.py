@@ -11,10 +11,9 @@ from seawarden.sources import schemas
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
-    """Create a database if it is not there, and make it current."""
+    """Create a database if it is not there. The current database stays as it is."""
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
-    spark.sql(f"USE `{name}`")
     return name
 
 
@@ -31,10 +30,10 @@ def register(spark: SparkSession, name: str, path: str, schema: StructType, fmt:
     return spark.catalog.createTable(name, path=path, source=fmt, schema=schema)
 
 
-def load_rows(df: DataFrame, name: str, schema: StructType) -> DataFrame:
-    """Fill a typed table, replacing what it held."""
+def load_rows(df: DataFrame, name: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """Fill a typed table, replacing what it held; ``fmt`` is the format of a table that is created here."""
     spark = df.sparkSession
-    create_table(spark, name, schema)
+    create_table(spark, name, schema, fmt)
     schemas.conform(df, schema).write.insertInto(name, overwrite=True)
     return read(spark, name, schema)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from seawarden.functions.stats import exact_avg
+from seawarden.functions.stats import exact_mean
 from seawarden.operators import refine
+from seawarden.session import is_there, remove_folder, subfolders
 from seawarden.sources import schemas
 
 LATE_BY = "2 hours"
@@ -38,7 +41,7 @@ def hourly_speed(stream: DataFrame, late_by: str = LATE_BY) -> DataFrame:
         .groupBy("PortZone", F.window("BaseDateTime", "1 hour"))
         .agg(
             F.expr("count(1) AS reports"),
-            F.expr(f"round({exact_avg('SOG', 2)}, 4) AS avg_sog"),
+            F.expr(f"round({exact_mean('SOG')}, 4) AS avg_sog"),
             F.expr("min(SOG) AS min_sog"),
             F.expr("max(SOG) AS max_sog"),
         )
@@ -52,49 +55,89 @@ def latest_of(df: DataFrame) -> DataFrame:
     return df.groupBy("MMSI").agg(F.expr(f"{newest} AS newest")).select("MMSI", "newest.*")
 
 
-def _start(stream: DataFrame, checkpoint: str, mode: str, write) -> StreamingQuery:
+def _start(stream: DataFrame, checkpoint: str, mode: str, write, trigger: dict | None) -> StreamingQuery:
+    """``trigger`` as for ``DataStreamWriter.trigger``: by default all there is now, then stop."""
     return (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(write)
         .start()
     )
 
 
-def write_changes(stream: DataFrame, target: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
-    """Write what each micro-batch changed into its own folder of ``target``.
+def write_changes(
+    stream: DataFrame, target: str, checkpoint: str, mode: str = "append", trigger: dict | None = None
+) -> StreamingQuery:
+    """Write the rows of each micro-batch into its own folder of ``target``.
 
-    A micro-batch that runs again after a failure replaces its folder, so every change is stored
-    once. Read the current rows with ``current``.
+    A micro-batch that runs again after a failure replaces its folder, so every row is stored once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    return _start(stream, checkpoint, mode, write)
+    return _start(stream, checkpoint, mode, write, trigger)
 
 
-def current(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
-    """The newest stored row per key."""
-    changes = spark.read.parquet(target)
-    values = [c for c in changes.columns if c not in (*keys, "batch_id")]
-    newest = F.expr(f"max_by(struct({', '.join(values)}), batch_id) AS newest")
-    return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the complete state versions in ``target``, the newest last."""
+    names = [name for name in subfolders(spark, target) if name.startswith("version=")]
+    found = sorted(int(name.partition("=")[2]) for name in names)
+    return [n for n in found if is_there(spark, f"{target}/version={n}/_SUCCESS")]
 
 
-def latest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest report per vessel: each micro-batch stores its own, ``latest_stored`` merges.
+def keep_state(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    mode: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Fold each micro-batch into one stored state: ``merge(state, batch)`` is the next version.
 
-    No state is kept between micro-batches, so late reports need no bound: an older report that
-    arrives late loses against the stored newer one.
+    A version is complete once it is written; readers take the newest complete one, whatever the age of the
+    stream. The version before it stays, so that a micro-batch which runs again starts from the same state, and
+    older ones are removed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_of(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        older = [n for n in _versions(spark, target) if n < batch_id]
+        state = spark.read.parquet(f"{target}/version={older[-1]}") if older else batch.limit(0)
+        merge(state, batch).write.mode("overwrite").parquet(f"{target}/version={batch_id}")
+        for n in older[:-1]:
+            remove_folder(spark, f"{target}/version={n}")
+
+    return _start(stream, checkpoint, mode, write, trigger)
+
+
+def stored_state(spark: SparkSession, target: str) -> DataFrame:
+    """The newest complete state."""
+    return spark.read.parquet(f"{target}/version={_versions(spark, target)[-1]}")
+
+
+def keep_newest(
+    stream: DataFrame, keys: list[str], target: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the newest row per key of a stream in update mode."""
 
-    return _start(stream, checkpoint, "append", write)
+    def merge(state: DataFrame, batch: DataFrame) -> DataFrame:
+        return state.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+
+    return keep_state(stream, target, checkpoint, merge, "update", trigger)
+
+
+def latest(stream: DataFrame, target: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the latest report per vessel.
+
+    The state is stored, not held by the stream, so late reports need no bound: an older report that arrives
+    late loses against the stored newer one.
+    """
+    columns = ["MMSI", "BaseDateTime", "LAT", "LON", "SOG", "PortZone"]
 
+    def merge(state: DataFrame, batch: DataFrame) -> DataFrame:
+        return latest_of(state.unionByName(batch))
 
-def latest_stored(spark: SparkSession, target: str) -> DataFrame:
-    return latest_of(spark.read.parquet(target))
+    return keep_state(stream.select(*columns), target, checkpoint, merge, "append", trigger)

@@ -80,3 +80,24 @@ def test_vessels_are_not_shuffled(spark):
     above = plan.split("Range (0, 100")[0]
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
     assert "Exchange hashpartitioning(MMSI" not in above and "Exchange hashpartitioning(port_zone" not in above
+
+
+def test_vessels_stay_where_they_are(spark, tmp_path):
+    """From a stored table larger than the broadcast threshold, vessels are neither shuffled nor broadcast."""
+    names = [row[0] for row in fixed.PORT_ZONES]
+    ports = f"element_at(array({', '.join(repr(name) for name in names)}), cast(id % {len(names)} + 1 AS int))"
+    routed = spark.range(0, 200000, 1, 4).selectExpr("id AS MMSI", "md5(cast(id AS string)) AS VesselName", f"{ports} AS port_zone")
+    routes = reference.route_profile(spark)
+    routed.join(routes, "port_zone").write.parquet(f"{tmp_path}/routing")
+    stored = spark.read.parquet(f"{tmp_path}/routing")
+    tables = (routes, reference.safe_corridors(spark), reference.zone_aliases(spark))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    try:
+        for found in (diversion.corridors(stored, *tables), diversion.uncovered(stored, *tables)):
+            found.collect()
+            plan = plan_of(found)
+            assert "hashpartitioning(transit_zones" not in plan.replace("#", "(") and "Exchange hashpartitioning" not in plan
+            broadcast = plan.split("BroadcastExchange", 1)[1].split("+-", 2)[1]
+            assert "LocalTableScan" in plan.split("BroadcastExchange", 1)[1] and "FileScan" not in broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -6,9 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+from seawarden.plans.oracle import ORACLE
+from seawarden.plans.queries import QUERIES
 
 # The other engine reports a coarse kind per column in some versions and the type in others.
 KINDS = {

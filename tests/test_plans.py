@@ -2,30 +2,30 @@
 
 import pytest
 
-import __spark_entry__ as entry_point
 from seawarden.operators import proximity, weather
 from seawarden.plans import pipeline
+from seawarden.plans.queries import QUERIES
 from seawarden.sources import event_feed, reference
 from tests.conftest import plan_of
 
-RUNS_ON_CALL = {"publish_tables", "stream_hourly_speed", "stream_latest", "stream_dedup"}
-BATCH = sorted(set(entry_point.queries()) - RUNS_ON_CALL)
+RUNS_ON_CALL = {"publish_tables", "table_audit", "stream_hourly_speed", "stream_latest", "stream_dedup"}
+BATCH = sorted(set(QUERIES) - RUNS_ON_CALL)
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_pairs_and_no_python(spark, folder, name):
-    plan = plan_of(entry_point.queries()[name](spark, folder))
+    plan = plan_of(QUERIES[name](spark, folder))
     for unwanted in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas", "FlatMapGroups", "ExistingRDD"):
         assert unwanted not in plan
 
 
 def test_only_needed_columns_are_read(spark, folder):
-    plan = plan_of(entry_point.queries()["kpis"](spark, folder))
+    plan = plan_of(QUERIES["kpis"](spark, folder))
     assert "props" not in plan.split("ReadSchema", 1)[1]
 
 
 def test_summary_is_hash_aggregated(spark, folder):
-    plan = plan_of(entry_point.queries()["vessel_profile"](spark, folder))
+    plan = plan_of(QUERIES["vessel_profile"](spark, folder))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert "partial_max_by" in plan
 

@@ -1,6 +1,10 @@
 from datetime import datetime
 
-from seawarden.operators import refine
+import pytest
+
+from seawarden.functions.stats import exact_mean
+from seawarden.operators import profile, refine, risk
+from seawarden.plans import pipeline
 from seawarden.sources import schemas
 from tests.conftest import rows
 
@@ -67,10 +71,41 @@ def test_fastest_reading_wins_and_ties_are_stable(spark):
 
 def test_same_time_in_two_spellings_is_one_report(spark):
     df = frame(spark, {"SOG": 5.0}, {"SOG": 6.0, "BaseDateTime": "2024-01-01 00:00:00"})
-    got = refine.clean(df).collect()
+    got = refine.clean(df, "yyyy-MM-dd['T'][' ']HH:mm:ss").collect()
     assert [(r.SOG, r.BaseDateTime) for r in got] == [(6.0, datetime(2024, 1, 1))]
 
 
+@pytest.mark.parametrize("text", ["12:30:00", "T12:30:00", "2024", "2024-01", "2024-01-01", "2024-01-01 00:00:00", ""])
+def test_other_times_are_rejected_not_guessed(spark, text):
+    df = frame(spark, {"BaseDateTime": text})
+    assert [r.reject_reason for r in refine.tag_rejects(df).collect()] == ["bad_time"]
+    assert refine.clean(df).count() == 0
+
+
+@pytest.mark.parametrize("speed", [float("nan"), float("inf"), float("-inf"), -0.1, None])
+def test_impossible_speeds_are_rejected_with_a_reason(spark, speed):
+    df = frame(spark, {"SOG": speed})
+    assert [r.reject_reason for r in refine.tag_rejects(df).collect()] == ["bad_speed"]
+    assert refine.clean(df).count() == 0
+
+
+def test_bad_reports_do_not_stop_the_layers(spark):
+    bad = [{"SOG": float("nan")}, {"SOG": float("inf")}, {"SOG": 1e300, "MMSI": 5}, {"BaseDateTime": "12:30:00"}]
+    df = frame(spark, {"SOG": 14.004}, {"SOG": 2.004, "BaseDateTime": "2024-01-01T05:00:00"}, *bad)
+    weather = spark.createDataFrame([], schemas.WEATHER_OBSERVATIONS)
+    routed = {r.MMSI: r for r in pipeline.routing_plan(df, weather).collect()}
+    assert len(routed) == 2 and routed[5].avg_sog == 1e300
+
+
+def test_mean_speed_is_not_rounded_first(spark):
+    df = frame(spark, {"SOG": 14.004}, {"SOG": 2.004, "BaseDateTime": "2024-01-01T05:00:00"})
+    summary = risk.add_slowdown_scores(profile.summarise(refine.clean(df))).first()
+    assert (summary.avg_sog, summary.slowdown_events) == (8.004, 1.0)
+    mixed = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "v double")
+    assert mixed.selectExpr(f"{exact_mean('v')} AS m").first().m == pytest.approx(0.2, abs=1e-15)
+    assert mixed.where("v IS NULL").selectExpr(f"{exact_mean('v')} AS m").first().m is None
+    assert mixed.where("v > 9").selectExpr(f"{exact_mean('v')} AS m").first().m is None
+
 def test_unreadable_time_is_dropped_not_fatal(spark):
     df = frame(spark, {}, {"BaseDateTime": "soon"}, {"BaseDateTime": None})
     assert refine.clean(df).count() == 1

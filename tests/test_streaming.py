@@ -2,6 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from seawarden.session import remove_folder, subfolders
 from seawarden.sources import schemas
 from seawarden.streaming import positions as live
 from tests.conftest import rows
@@ -60,8 +61,9 @@ def test_hourly_speed_updates(spark, source):
     folder, arrive, base = source
 
     def run():
-        live.write_changes(live.hourly_speed(cleaned(spark, folder)), f"{base}/rows", f"{base}/progress").awaitTermination()
-        got = live.current(spark, f"{base}/rows", ["PortZone", "hour_start"]).collect()
+        hourly = live.hourly_speed(cleaned(spark, folder))
+        live.keep_newest(hourly, ["PortZone", "hour_start"], f"{base}/rows", f"{base}/progress").awaitTermination()
+        got = live.stored_state(spark, f"{base}/rows").collect()
         return {(r.PortZone, r.hour_start): (r.reports, r.avg_sog, r.min_sog, r.max_sog) for r in got}
 
     arrive(report(1, 0, 4.0), report(2, 59, 6.0), report(1, 60, 1.0))
@@ -91,10 +93,44 @@ def test_latest_with_late_reports(spark, source):
 
     def run():
         live.latest(cleaned(spark, folder), f"{base}/rows", f"{base}/progress").awaitTermination()
-        return {r.MMSI: (r.BaseDateTime, r.SOG) for r in live.latest_stored(spark, f"{base}/rows").collect()}
+        return {r.MMSI: (r.BaseDateTime, r.SOG) for r in live.stored_state(spark, f"{base}/rows").collect()}
 
     arrive(report(1, 100, 4.0), report(1, 50, 9.0), report(2, 0, 3.0))
     assert run() == {1: (START + timedelta(minutes=100), 4.0), 2: (START, 3.0)}
     arrive(report(1, 90, 8.0), report(2, 0, 7.0), report(3, 5, 1.0))
     assert run() == {1: (START + timedelta(minutes=100), 4.0), 2: (START, 7.0), 3: (START + timedelta(minutes=5), 1.0)}
     assert run()[1] == (START + timedelta(minutes=100), 4.0)
+
+
+def test_a_read_touches_one_state_version(spark, source):
+    folder, arrive, base = source
+    for n in range(6):
+        arrive(report(1, n, float(n)), report(n + 2, n, 1.0))
+    live.latest(cleaned(spark, folder), f"{base}/rows", f"{base}/progress").awaitTermination()
+    state = live.stored_state(spark, f"{base}/rows")
+    assert {path.split("/")[-2] for path in state.inputFiles()} == {"version=5"} and state.count() == 7
+    assert sorted(subfolders(spark, f"{base}/rows")) == ["version=4", "version=5"]
+
+
+def test_a_repeated_batch_starts_from_the_same_state(spark, source):
+    folder, arrive, base = source
+    arrive(report(1, 0, 5.0))
+    arrive(report(1, 9, 6.0))
+    live.latest(cleaned(spark, folder), f"{base}/rows", f"{base}/progress").awaitTermination()
+    before = rows(live.stored_state(spark, f"{base}/rows"))
+    remove_folder(spark, f"{base}/progress/commits/1")  # as if the second batch had not been confirmed
+    live.latest(cleaned(spark, folder), f"{base}/rows", f"{base}/progress").awaitTermination()
+    assert rows(live.stored_state(spark, f"{base}/rows")) == before
+
+
+def test_a_running_stream_takes_a_trigger(spark, source):
+    folder, arrive, base = source
+    arrive(report(1, 0, 5.0))
+    query = live.latest(
+        cleaned(spark, folder), f"{base}/rows", f"{base}/progress", trigger={"processingTime": "200 milliseconds"}
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive and live.stored_state(spark, f"{base}/rows").count() == 1
+    finally:
+        query.stop()

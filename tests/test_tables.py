@@ -185,3 +185,22 @@ def test_positions_and_weather_from_files(spark, events, tmp_path, fmt, options)
     read = files.read_positions(spark, f"{tmp_path}/p", fmt, **options)
     weather = files.read_observations(spark, f"{tmp_path}/w", fmt, **options)
     assert rows(pipeline.gold_plan(read, weather)) == rows(pipeline.gold_plan(positions, seen))
+
+
+def test_format_holds_for_every_table_and_the_current_database_stays(spark, events, tmp_path):
+    before = spark.catalog.currentDatabase()
+    pipeline.publish(spark, event_feed.positions(events), event_feed.weather(events), "fleet_orc", str(tmp_path), fmt="orc")
+    assert spark.catalog.currentDatabase() == before
+    for name, schema in schemas.TABLES.items():
+        described = {r.col_name: (r.data_type, r.comment) for r in spark.sql(f"DESCRIBE TABLE EXTENDED fleet_orc.{name}").collect()}
+        assert described["Provider"][0].lower() == "orc", name
+        wanted = {f.name: f.metadata["comment"] for f in schema.fields if "comment" in f.metadata}
+        assert {n: described[n][1] for n in wanted} == wanted, name
+
+
+def test_expected_counts_of_layers(spark, events, tmp_path):
+    report = pipeline.publish(
+        spark, event_feed.positions(events), event_feed.weather(events), "fleet_counted", str(tmp_path),
+        expected={"ais_bronze": events.count() + 1},
+    )
+    assert {r.table_name: r.delta for r in report.collect()}["ais_bronze"] == -1

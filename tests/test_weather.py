@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from seawarden.operators import weather
 from tests.conftest import plan_of
@@ -39,8 +40,8 @@ def minute(n):
     return START + timedelta(minutes=n)
 
 
-@pytest.mark.parametrize("seed, bucket_hours, splits", [(1, 24, 16), (2, 1, 3), (3, 5, 1), (4, 24 * 365, 2)])
-def test_as_of_equals_brute_force(spark, seed, bucket_hours, splits):
+@pytest.mark.parametrize("seed, bucket_hours", [(1, 24), (2, 1), (3, 5), (4, 24 * 365)])
+def test_as_of_equals_brute_force(spark, seed, bucket_hours):
     pick = random.Random(seed)
     # a third of the vessels sit at one place at one time
     vessels = [
@@ -53,7 +54,7 @@ def test_as_of_equals_brute_force(spark, seed, bucket_hours, splits):
         for _ in range(200)
     ]
     observations += [("A", None, 9.0)]
-    assert found(spark, vessels, observations, bucket_hours=bucket_hours, splits=splits) == brute_force(vessels, observations)
+    assert found(spark, vessels, observations, bucket_hours=bucket_hours) == brute_force(vessels, observations)
 
 
 def test_edges(spark):
@@ -114,14 +115,29 @@ def test_parse_payloads(spark):
     assert got[3] == got[4] == (None,) * 7
 
 
-def test_hot_place_is_spread(spark):
-    """Rows of one place and hour end up in several groups of the sort."""
-    df = spark.range(4000).selectExpr("id", "'A' AS place", "timestamp'2024-01-01 00:30:00' AS seen")
+def test_rows_of_one_place_and_day_use_all_tasks(spark):
+    """Whether the join is broadcast or shuffled, nothing caps the tasks that share a hot place and day."""
+    df = spark.range(0, 200000, 1, 64).selectExpr("id", "'A' AS place", "timestamp'2024-01-01 00:30:00' AS seen")
     seen = spark.createDataFrame([("A", START, 1.0)], OBSERVED)
-    got = weather.as_of(df, seen, by="place", on="seen", values=VALUES, splits=8)
-    assert got.where("wind_speed_kmh = 1").count() == 4000
-    shares = df.selectExpr("pmod(xxhash64(id, place, seen), 8L) AS split").groupBy("split").count().collect()
-    assert len(shares) == 8 and max(r["count"] for r in shares) < 700
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        shuffled = weather.as_of(df, seen, by="place", on="seen", values=VALUES)
+        sizes = [r["count"] for r in shuffled.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert len(sizes) >= 16 and max(sizes) < 3 * sum(sizes) / len(sizes) and sum(sizes) == 200000
+        assert shuffled.where("wind_speed_kmh = 1").count() == 200000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def test_large_sides_join_without_broadcast(spark):
