@@ -421,6 +421,7 @@ def _added(model: Model, events: pa.Table, table: pa.Table) -> pa.Table:
                 + np.bincount(pair_docs, logs, long),
             }
             for name, values in found.items():
+                values = values.astype(float)
                 values[: len(cell[name])] += cell[name]
                 sums[name].append(values)
     columns = {name: events[name] for name in ("number", "doc_ids", "held_out", "n_tokens", "train_tokens")}

@@ -257,16 +257,17 @@ def dedup(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """One document of each group, with all its columns: the one with the smallest doc_id."""
     spark = docs.sparkSession
     judged = _stored(groups(docs, size), f"{shared_folder(spark, 'dedup')}/judged")
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("g_id"), F.col("content").alias("g_content"))
+    g_id, g_content, nth = texts.free_names(docs, "g_id", "g_content", "nth")
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias(g_id), F.col("content").alias(g_content))
     gone = gone.distinct()
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     content = F.xxhash64(F.col("text").cast("string"))
-    kept = docs.join(gone, (F.col("doc_id") == F.col("g_id")) & (content == F.col("g_content")), "left_anti")
+    kept = docs.join(gone, (F.col("doc_id") == F.col(g_id)) & (content == F.col(g_content)), "left_anti")
     some = judged.where("kept AND doc_id IS NOT NULL AND n_shingles > 0")
     repeated = some.groupBy("doc_id", "content").count().where("count > 1")
     if repeated.isEmpty():
         return kept
     once = Window.partitionBy("doc_id", content).orderBy(F.lit(0))
     alone = F.col("doc_id").isNull() | (F.row_number().over(once) == 1)
-    return kept.withColumn("first_of_rows", alone).where("first_of_rows").select(*docs.columns)
+    return kept.withColumn(nth, alone).where(nth).select(*docs.columns)

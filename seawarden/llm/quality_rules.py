@@ -181,7 +181,8 @@ def clean(docs: DataFrame, left: float = LEFT) -> DataFrame:
     stored = shared_folder(docs.sparkSession, "quality-rules")
     profile(docs).select("host", "content", "lines").write.parquet(stored)
     frequent = frequent_lines(docs.sparkSession.read.parquet(stored))
-    joined = docs.join(frequent, _host() == F.col("f_host"), "left")
+    host, above = texts.free_names(docs, "f_host", "f_lines")
+    joined = docs.join(frequent.toDF(host, above), _host() == F.col(host), "left")
     names = docs.columns
 
     def run(batches):
@@ -197,7 +198,7 @@ def clean(docs: DataFrame, left: float = LEFT) -> DataFrame:
                     words = int(counts["n_words"][k])
                     passed = words >= MIN_WORDS and 100 * counts["n_repeat_words"][k] <= MOST_REPEATED * words
                     value = text[first + k].as_py()
-                    found = batch["f_lines"][first + k]
+                    found = batch[above][first + k]
                     if passed and found.is_valid:
                         at = slice(lines.bounds[k], lines.bounds[k + 1])
                         gone = np.isin(hashes[at], found.values.to_numpy()) & (sizes[at] > 0)
@@ -214,7 +215,7 @@ def clean(docs: DataFrame, left: float = LEFT) -> DataFrame:
             yield texts.table(None, columns).filter(pa.array(kept, pa.bool_()))
 
     ship_package(docs.sparkSession)
-    rows = joined.select(*(docs[name] for name in names), "f_lines")
+    rows = joined.select(*names, above)
     return rows.mapInArrow(run, docs.schema)
 
 

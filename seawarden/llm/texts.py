@@ -139,6 +139,17 @@ def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return docs.mapInArrow(run, schema)
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of the frame has it in any case."""
+    taken, out = {column.lower() for column in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ids_and_texts(docs: DataFrame, *more: str) -> DataFrame:
     """The columns an operator reads, cast to fixed types; other columns never leave the scan."""
     return docs.select(
