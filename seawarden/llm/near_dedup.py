@@ -38,7 +38,7 @@ SLOTS = 1 << 21
 MARGIN = 0.16
 #: Nodes that are compared at once within a bucket, and nearest pairs taken for a node in each turn.
 BLOCK = 512
-TURNS = (4, 64, 1 << 40)
+TURNS = (16, 1 << 40)
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 U64 = np.uint64

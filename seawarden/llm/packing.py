@@ -27,7 +27,7 @@ from seawarden.session import shared_folder
 WINDOW = 4096
 CLOSING_ID = 2
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED = 120_000
+REMEMBERED = 150_000
 #: Pieces of one length that one task numbers, about.
 PART_ROWS = 500_000
 
@@ -92,19 +92,27 @@ class WordTokenizer:
         self.whole.no_padding()
         special = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
-        self.pieces = _Memory(lambda piece: self.packed([t.id for t in self.whole.model.tokenize(piece)]))
+        self.pieces = _Memory(self.piece)
         self.words = _Memory(self.word)
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        """Ids of one pre-token, given as byte letters."""
+        return self.packed([token.id for token in self.whole.model.tokenize(piece)])
+
     def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            # a word of a-z is its own only pre-token, so both are remembered in one place
+            return self.piece(word) if word.islower() else self.words[word.lower()]
         if self.special(word):
             return self.packed(self.whole.encode(word, add_special_tokens=False).ids)
-        known = self.pieces
+        known, words = self.pieces, self.words
         if word.isascii() and word.isprintable():
-            return b"".join([known[piece] for piece in _LATIN_PIECES.findall(word.lower())])
+            found = _LATIN_PIECES.findall(word.lower())
+            return b"".join([words[piece] if piece.isalpha() else known[piece] for piece in found])
         if not _BEYOND_LATIN.search(word):
             return b"".join([known[in_letters(piece)] for piece in _LATIN_PIECES.findall(word.lower())])
         plain = self.whole.normalizer.normalize_str(word)
