@@ -29,6 +29,9 @@ LINE_DOCUMENTS, LINE_SHARE = 20, 0.1
 #: A document is depleted if less than this share of its words is left.
 LEFT = 0.3
 
+#: Lines above the limit that are broadcast at most (8 MB); more are joined by host.
+BROADCAST_LINES = 1_000_000
+
 NEWLINE = np.zeros(256, dtype=bool)
 NEWLINE[0x0A] = True
 SYMBOL = np.zeros(256, dtype=bool)
@@ -141,6 +144,14 @@ def frequent_lines(profiles: DataFrame, documents: int = LINE_DOCUMENTS, share:
     return above.groupBy(F.col("host").alias("f_host")).agg(F.sort_array(F.collect_list("line")).alias("f_lines"))
 
 
+def _stored(frequent: DataFrame, path: str) -> DataFrame:
+    """The table of lines above the limit, stored; broadcast if it holds few, so that texts stay where they are."""
+    frequent.write.parquet(path)
+    stored = frequent.sparkSession.read.parquet(path)
+    held = stored.agg(F.sum(F.size("f_lines"))).first()[0] or 0
+    return F.broadcast(stored) if held <= BROADCAST_LINES else stored
+
+
 def verdicts(profiles: DataFrame, frequent: DataFrame, left: float = LEFT) -> DataFrame:
     """Base verdict, words left and verdict of each profile."""
     joined = profiles.join(frequent, F.col("host") == F.col("f_host"), "left")
@@ -161,9 +172,9 @@ def verdicts(profiles: DataFrame, frequent: DataFrame, left: float = LEFT) -> Da
 def judge(docs: DataFrame) -> DataFrame:
     """Counts and verdict of every document."""
     stored = shared_folder(docs.sparkSession, "quality-rules")
-    profile(docs).write.parquet(stored)
-    profiles = docs.sparkSession.read.parquet(stored)
-    return verdicts(profiles, frequent_lines(profiles)).select(
+    profile(docs).write.parquet(f"{stored}/profiles")
+    profiles = docs.sparkSession.read.parquet(f"{stored}/profiles")
+    return verdicts(profiles, _stored(frequent_lines(profiles), f"{stored}/frequent")).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -179,8 +190,9 @@ def judge(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, left: float = LEFT) -> DataFrame:
     """The kept documents, with all their columns, without the lines above the limit."""
     stored = shared_folder(docs.sparkSession, "quality-rules")
-    profile(docs).select("host", "content", "lines").write.parquet(stored)
-    frequent = frequent_lines(docs.sparkSession.read.parquet(stored))
+    profile(docs).select("host", "content", "lines").write.parquet(f"{stored}/profiles")
+    profiles = docs.sparkSession.read.parquet(f"{stored}/profiles")
+    frequent = _stored(frequent_lines(profiles), f"{stored}/frequent")
     host, above = texts.free_names(docs, "f_host", "f_lines")
     joined = docs.join(frequent.toDF(host, above), _host() == F.col(host), "left")
     names = docs.columns

@@ -84,6 +84,9 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+_WORDS = r"regexp_extract_all({}, '[^ \t-\r]+')"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
     "op1_hamming_topk": """
         WITH bits AS (
@@ -98,4 +101,39 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
     """,
+    "op3_line_frequency": rf"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents
+        ), split AS (
+            SELECT *, {_WORDS.format("text")} AS w,
+                   list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^ \t-\r]')) AS lines
+            FROM docs
+        ), places AS (
+            SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM split
+        ), threes AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM places
+        ), repeats AS (
+            SELECT doc_id, count(DISTINCT spot) AS n_repeat_words
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS spot FROM threes WHERE n > 1) GROUP BY doc_id
+        ), each AS (
+            SELECT doc_id, host, text, {_WORDS.format(_LOWER.format("line"))} AS words
+            FROM (SELECT doc_id, host, text, unnest(lines) AS line FROM split)
+        ), above AS (
+            SELECT host, words FROM each GROUP BY host, words
+            HAVING count(DISTINCT text) > 20 AND count(DISTINCT text)
+                > 0.1 * (SELECT count(DISTINCT text) FROM docs d WHERE d.host = each.host)
+        ), removed AS (
+            SELECT doc_id, sum(len(words))::BIGINT AS removed_words FROM each JOIN above USING (host, words) GROUP BY doc_id
+        ), counted AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(removed_words, 0) AS removed_words
+            FROM split LEFT JOIN repeats USING (doc_id) LEFT JOIN removed USING (doc_id)
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+                   AND n_words - removed_words >= 0.3 * n_words AS kept
+        FROM counted
+    """,
 }
