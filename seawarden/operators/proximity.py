@@ -8,6 +8,10 @@ from seawarden.functions.geo import distance_km, grid_cell
 from seawarden.operators import add
 
 
+#: Boxes that the list of one grid cell holds at most.
+LISTED = 1000
+
+
 def add_port_distance(
     df: DataFrame, ports: DataFrame, port: str = "PortZone", lat: str = "latest_lat", lon: str = "latest_lon"
 ) -> DataFrame:
@@ -27,29 +31,40 @@ def assign_box(
 ) -> DataFrame:
     """Adds the port whose bounding box holds the position, null if none does.
 
-    Where boxes overlap, the nearest centre wins, then the name. Boxes are spread over grid cells,
-    each cell with the list of boxes that touch it, and a position looks up its own cell: an
-    equi-join instead of comparing every position with every box, and one row per position without
-    a later pick. The list is as long as the boxes on one cell; finer cells make it shorter.
+    Where boxes overlap, the nearest centre wins, then the name. Boxes are spread over grid cells and a position
+    looks up its own cell: an equi-join instead of comparing every position with every box. Where no cell is
+    touched by more than ``LISTED`` boxes, a cell carries the list of its boxes, so that a position stays one row
+    and moves once. Denser boxes stay rows: distinct places are joined to the boxes of their cell, the nearest is
+    taken by an aggregate that combines before its shuffle, and positions look their place up.
     """
 
     def covered(low: str, high: str) -> str:
         return f"explode(sequence({grid_cell(low, cell_degrees)}, {grid_cell(high, cell_degrees)}))"
 
-    touching = (
-        boxes.selectExpr("*", f"{covered('lat_min', 'lat_max')} AS _row")
-        .selectExpr("*", f"{covered('lon_min', 'lon_max')} AS _col")
-        .groupBy("_row", "_col")
-        .agg(
-            F.expr(
-                "collect_list(struct(port_zone, center_lat, center_lon, lat_min, lat_max, lon_min, lon_max)) AS _boxes"
-            )
-        )
+    touching = boxes.selectExpr("*", f"{covered('lat_min', 'lat_max')} AS _row").selectExpr(
+        "*", f"{covered('lon_min', 'lon_max')} AS _col"
     )
-    holding = f"filter(_boxes, b -> {lat} BETWEEN b.lat_min AND b.lat_max AND {lon} BETWEEN b.lon_min AND b.lon_max)"
-    nearest = f"struct({distance_km(lat, lon, 'b.center_lat', 'b.center_lon')} AS km, b.port_zone AS name)"
-    return (
-        add(df, _row=grid_cell(lat, cell_degrees), _col=grid_cell(lon, cell_degrees))
-        .join(touching, ["_row", "_col"], "left")
-        .selectExpr(*df.columns, f"array_min(transform({holding}, b -> {nearest})).name AS {into}")
+    cells = {"_row": grid_cell(lat, cell_degrees), "_col": grid_cell(lon, cell_degrees)}
+
+    def holds(box: str) -> str:
+        return f"{lat} BETWEEN {box}lat_min AND {box}lat_max AND {lon} BETWEEN {box}lon_min AND {box}lon_max"
+
+    def distance(box: str) -> str:
+        return f"struct({distance_km(lat, lon, box + 'center_lat', box + 'center_lon')} AS km, {box}port_zone AS name)"
+
+    if touching.groupBy("_row", "_col").count().where(f"count > {LISTED}").isEmpty():
+        columns = "port_zone, center_lat, center_lon, lat_min, lat_max, lon_min, lon_max"
+        listed = touching.groupBy("_row", "_col").agg(F.expr(f"collect_list(struct({columns})) AS _boxes"))
+        nearest = f"array_min(transform(filter(_boxes, b -> {holds('b.')}), b -> {distance('b.')})).name"
+        return add(df, **cells).join(listed, ["_row", "_col"], "left").selectExpr(*df.columns, f"{nearest} AS {into}")
+
+    names = ["port_zone", "center_lat", "center_lon", "lat_min", "lat_max", "lon_min", "lon_max"]
+    places = add(df.select(lat, lon).distinct(), **cells)
+    found = (
+        places.join(touching.selectExpr("_row", "_col", *[f"{name} AS _b_{name}" for name in names]), ["_row", "_col"])
+        .where(holds("_b_"))
+        .groupBy(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+        .agg(F.expr(f"min({distance('_b_')}).name AS {into}"))
     )
+    same = (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon"))
+    return df.join(found, same, "left").select(*df.columns, into)

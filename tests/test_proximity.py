@@ -1,5 +1,6 @@
 import math
 import random
+from math import atan2, cos, radians, sin, sqrt
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -82,3 +83,34 @@ def test_port_lookup_moves_no_positions(spark, tmp_path):
     plan = plan_of(proximity.assign_box(df, reference.port_zones(spark)))
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
     assert len(fixed.PORT_ZONES) == 6
+
+
+def test_dense_boxes_stay_rows(spark):
+    """100,000 overlapping boxes: the same ports as by comparison, and no list of boxes in the plan."""
+    boxes = spark.range(100000).selectExpr(
+        "concat('B', id) AS port_zone", "30.5D + id % 317 / 1000 AS center_lat", "-80.5D + id % 311 / 1000 AS center_lon",
+        "30.1D AS lat_min", "30.2D + id % 700 / 1000 AS lat_max", "-80.9D AS lon_min", "-80.8D + id % 600 / 1000 AS lon_max",
+    )
+    spots = [(i, 30.0 + i * 0.09, -80.95 + i * 0.07) for i in range(12)] + [(99, 30.45, -80.53), (99, 30.45, -80.53)]
+    df = spark.createDataFrame(spots, "MMSI long, LAT double, LON double")
+    found = proximity.assign_box(df, boxes)
+    assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.MMSI, r.box_port) for r in found.collect())
+    listed = boxes.collect()
+
+    def nearest(lat, lon):
+        held = [b for b in listed if b.lat_min <= lat <= b.lat_max and b.lon_min <= lon <= b.lon_max]
+        return min(((km(lat, lon, b.center_lat, b.center_lon), b.port_zone) for b in held), default=(0, None))[1]
+
+    def km(a, b, c, d):
+        h = sin(radians(c - a) / 2) ** 2 + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) ** 2
+        return round(2 * 6371 * atan2(sqrt(h), sqrt(1 - h)), 9)
+
+    assert [name for name, _ in got] == sorted(i for i, _, _ in spots)
+    centres = {b.port_zone: b for b in listed}
+    for (i, lat, lon), (_, port) in zip(sorted(spots), got):
+        expected = nearest(lat, lon)
+        assert (port is None) == (expected is None)
+        if port:
+            at, best = centres[port], centres[expected]
+            assert km(lat, lon, at.center_lat, at.center_lon) == km(lat, lon, best.center_lat, best.center_lon)
