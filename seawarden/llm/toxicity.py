@@ -88,8 +88,12 @@ class Model:
     bias: float
 
     def window_scores(self, buckets: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(self.weights[buckets], dtype=np.float64)])
-        means = (sums[begins + sizes] - sums[begins]) / np.maximum(sizes, 1)
+        means = np.zeros(len(begins))
+        for at in range(0, len(begins), 8192):  # bounds what is held at once
+            some = slice(at, at + 8192)
+            first, ends = begins[some][0], begins[some] + sizes[some]
+            sums = np.concatenate([[0.0], np.cumsum(self.weights[buckets[first : ends.max()]], dtype=np.float64)])
+            means[some] = (sums[ends - first] - sums[begins[some] - first]) / np.maximum(sizes[some], 1)
         return 1 / (1 + np.exp(-(means + self.bias)))
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
