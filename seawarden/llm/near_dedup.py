@@ -6,9 +6,9 @@ coordinate k, so a coordinate is the least value of one table read at another of
 
 Documents with equal sets are one node from then on. Nodes that agree in all rows of a band share a bucket. In
 each bucket every node is compared with the bucket's first node, and the found links joined into components.
-Buckets that still hold several components are then searched within: pairs of different components whose
-signatures agree enough are verified, nearest first, until no such pair is left. So a link between components
-is never lost, while the pairs inside one are never listed. Links are confirmed on full sets of whole texts.
+Buckets that still hold several components are then searched within: common shingles of their nodes are counted
+through inverted indexes, and links between components come out. So no link between components is lost, and the
+pairs inside one are never listed. Links are confirmed on full sets of whole texts.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer
 words than a shingle make one shingle; rows without doc_id are linked with nothing and have no component;
@@ -36,9 +36,9 @@ BANDS, ROWS = 32, 5
 SLOTS = 1 << 21
 #: Five standard deviations of the signature estimate below the least similarity.
 MARGIN = 0.16
-#: Nodes that are compared at once within a bucket, and nearest pairs taken for a node in each turn.
+#: Nodes in a block of a large bucket, and shingle occurrences that are counted at once.
 BLOCK = 512
-TURNS = (16, 1 << 40)
+POSTINGS = 4_000_000
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 U64 = np.uint64
@@ -127,58 +127,84 @@ def _set(text: pa.Scalar, size: int) -> np.ndarray:
     return sets(raw, np.asarray([0, len(raw)]), size)[0]
 
 
-def _within_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame, skip: int, take: int) -> DataFrame:
-    """Pairs of one bucket and different components whose signatures agree enough.
+def _short_sets(contents: DataFrame, size: int) -> DataFrame:
+    """node and its set as sorted 32-bit hashes, to be compared within buckets before links are confirmed."""
 
-    Of each node, the pairs from rank ``skip`` on by nearness, ``take`` of them. A bucket is dealt over blocks;
-    nodes outside the component of its first node go to every block, so each pair of components meets.
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = sets(*texts.string_bytes(batch["text"]), size)
+        packed = [np.sort((s >> U64(32)).astype(np.uint32)).tobytes() for s in found]
+        return texts.table(None, {"s_node": batch["node"], "short": pa.array(packed, pa.binary())})
+
+    return texts.per_batch(contents, run, "s_node long, short binary")
+
+
+def _links_within(group: pa.Table) -> pa.Table:
+    """For each outside node of a group, one link to each other component among the group's home nodes.
+
+    Common shingles of all pairs are counted through an inverted index of the home nodes, some outside nodes at a
+    time.
+    """
+    node, label = group["node"].to_numpy(), group["label"].to_numpy()
+    is_home = group["home"].to_numpy(zero_copy_only=False)
+    short = [np.frombuffer(x, np.uint32) for x in group["short"].to_pylist()]
+    sizes = np.asarray([len(s) for s in short])
+    home, away = np.flatnonzero(is_home), np.flatnonzero(~is_home)
+    links: list[tuple[int, int]] = []
+    if len(home) and len(away):
+        owners = np.repeat(np.arange(len(home)), sizes[home])
+        values = np.concatenate([short[h] for h in home])
+        order = np.argsort(values, kind="stable")
+        owners = owners[order]
+        known, first = np.unique(values[order], return_index=True)
+        held = np.diff(np.append(first, len(values)))
+        step = max(1, POSTINGS // max(1, int(sizes[away].max()) * len(home)))
+        for at in range(0, len(away), step):
+            some = away[at : at + step]
+            asked = np.concatenate([short[x] for x in some])
+            place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            found = known[place] == asked
+            place, who = place[found], np.repeat(np.arange(len(some)), sizes[some])[found]
+            count = held[place]
+            index = np.repeat(first[place] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            pairs = np.repeat(who, count) * len(home) + owners[index]
+            common = np.bincount(pairs, minlength=len(some) * len(home)).reshape(len(some), len(home))
+            union = sizes[some][:, None] + sizes[home][None, :] - common
+            linked = (100 * common >= SIMILARITY * union) & (label[some][:, None] != label[home][None, :])
+            for x, h in zip(*np.nonzero(linked), strict=True):
+                links.append((int(label[home[h]]), int(node[some[x]]), int(node[home[h]])))
+    one = {(x, other): h for other, x, h in reversed(links)}
+    found = sorted({(max(x, h), min(x, h)) for (x, _), h in one.items()})
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _within_buckets(members: DataFrame, labels: DataFrame, contents: DataFrame, size: int) -> DataFrame:
+    """Links between different components that share a bucket, one for each node and component at least.
+
+    Only buckets that hold several components are looked at, each once however many bands agree on its nodes.
+    Nodes outside the component of the bucket's first node meet all its nodes. Large buckets are dealt over blocks
+    of home nodes and blocks of outside nodes, and each pair of blocks is a group.
     """
-    least = SIMILARITY / 100 - MARGIN
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = named.groupBy(F.col("key").alias("m_key")).agg(
         F.min("label").alias("low"),
         F.max("label").alias("high"),
         F.min_by("label", "node").alias("first_label"),
-        F.min("node").alias("pivot"),
         F.count("*").alias("size"),
         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("print"),
     )
     mixed = mixed.where("low < high")
-    once = mixed.groupBy("pivot", "size", "print", "first_label").agg(F.min("m_key").alias("m_key"))
+    once = mixed.groupBy("size", "print", "first_label").agg(F.min("m_key").alias("m_key"))
     rows = named.join(once, F.col("key") == F.col("m_key")).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    outside = F.col("label") != F.col("first_label")
-    rows = rows.withColumn("own", own).withColumn(
-        "block",
-        F.explode(
-            F.when(outside, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))
-        ),
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    at_home = rows.select("key", "node", "label", F.lit(True).alias("home"), own.alias("block"), F.explode(every).alias("away"))
+    outside = rows.where("label <> first_label").select(
+        "key", "node", "label", F.lit(False).alias("home"), F.explode(every).alias("block"), own.alias("away")
     )
-    signed = rows.join(nodes.select(F.col("node").alias("s_node"), "signature", "n"), F.col("node") == F.col("s_node"))
-    given = signed.select(
-        "key", "block", "node", "label", "pivot", "signature", "n",
-        outside.alias("outside"), (F.col("own") == F.col("block")).alias("home"),
-    )
-
-    def run(group: pa.Table) -> pa.Table:
-        node, label = group["node"].to_numpy(), group["label"].to_numpy()
-        pivot, n = group["pivot"].to_numpy()[0], group["n"].to_numpy()
-        outside, home = group["outside"].to_numpy(zero_copy_only=False), group["home"].to_numpy(zero_copy_only=False)
-        signs = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(len(node), -1)
-        pairs: list[tuple[int, int]] = []
-        for i in np.flatnonzero(outside & (node != pivot)):
-            fits = home & (label != label[i]) & (node != pivot)
-            fits &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * SIMILARITY
-            others = np.flatnonzero(fits)
-            agree = (signs[others] == signs[i]).mean(axis=1)
-            order = np.lexsort((node[others], -agree))
-            near = others[order[agree[order] >= least]][skip : skip + take]
-            pairs += [(max(node[i], node[j]), min(node[i], node[j])) for j in near]
-        pairs = sorted(set(pairs))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
-
+    short = _short_sets(contents, size)
+    given = at_home.unionByName(outside).join(short, F.col("node") == F.col("s_node")).drop("s_node")
     ship_package(members.sparkSession)
-    return given.groupBy("key", "block").applyInArrow(run, "a long, b long").distinct()
+    return given.groupBy("key", "block", "away").applyInArrow(_links_within, "a long, b long").distinct()
 
 
 def _stored(frame: DataFrame, path: str) -> DataFrame:
@@ -210,17 +236,11 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     contents = _stored(_contents(docs, shared, nodes), f"{work}/contents")
     links = _stored(_verified(stars, contents, size), f"{work}/links-0")
     labels = components(links)
-    skip = 0
-    for turn, take in enumerate(TURNS, 1):
-        members = shared.select("key", "node")
-        pairs = _stored(_within_buckets(members, labels, nodes, skip, take), f"{work}/pairs-{turn}")
-        skip += take
-        if pairs.isEmpty():
-            break
-        more = _stored(_verified(pairs, contents, size), f"{work}/links-{turn}")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
+    between = _within_buckets(shared.select("key", "node"), labels, contents, size)
+    between = _stored(between, f"{work}/between")
+    if not between.isEmpty():
+        more = _stored(_verified(between, contents, size), f"{work}/links-1")
+        labels = components(links.union(more))
 
     named = labels.join(nodes.select("node", "doc_id"), "node")
     smallest = named.groupBy(F.col("label").alias("s_label")).agg(F.min("doc_id").alias("smallest"))
