@@ -38,7 +38,7 @@ SLOTS = 1 << 21
 MARGIN = 0.16
 #: Nodes in a block of a large bucket, and shingle occurrences that are counted at once.
 BLOCK = 512
-POSTINGS = 4_000_000
+POSTINGS = 1_000_000
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 U64 = np.uint64

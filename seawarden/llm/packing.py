@@ -60,16 +60,16 @@ def in_letters(piece: str) -> str:
 class _Memory(dict):
     """Values by key, worked out when first asked for. Two generations bound it: keys in use outlive the rest."""
 
-    def __init__(self, work):
+    def __init__(self, work, most: int | None = None):
         super().__init__()
-        self.work = work
+        self.work, self.most = work, most
         self.older = {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.work(key)
-        if len(self) >= REMEMBERED:
+        if len(self) >= (self.most or REMEMBERED):
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -92,7 +92,7 @@ class WordTokenizer:
         self.whole.no_padding()
         special = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
-        self.pieces = _Memory(self.piece)
+        self.pieces = _Memory(self.piece, REMEMBERED // 3)
         self.words = _Memory(self.word)
 
     @staticmethod

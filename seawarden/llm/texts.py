@@ -24,7 +24,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes that are hashed at once; longer texts are taken whole.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _powers = [np.ones(1, U64), np.ones(1, U64)]
 
@@ -134,6 +134,7 @@ def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
+        pa.default_memory_pool().release_unused()  # workers live on and share an executor's memory
 
     ship_package(docs.sparkSession)
     return docs.mapInArrow(run, schema)

@@ -99,7 +99,7 @@ class Model:
         """The score of each document: that of its most toxic window."""
         out = np.full(len(offsets) - 1, 1 / (1 + np.exp(-self.bias)))
         most = np.zeros(len(out))
-        for first, last in texts.chunks(offsets):
+        for first, last in texts.chunks(offsets, texts.CHUNK // 4):  # n-grams take a multiple of the text
             part = raw[offsets[first] : offsets[last]]
             buckets, begins, document, sizes = windows(part, offsets[first : last + 1] - offsets[first])
             np.maximum.at(most, document + first, self.window_scores(buckets, begins, sizes))
@@ -216,6 +216,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
             text = batch.column(batch.schema.get_field_index("text"))
             points = model.scores(*texts.string_bytes(text.cast(pa.string())))
             yield batch.filter(pa.array(points < threshold))
+        pa.default_memory_pool().release_unused()
 
     ship_package(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
