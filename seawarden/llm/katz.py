@@ -1,24 +1,28 @@
 """Katz backoff language model: training and scoring as two shuffles of n-gram counts.
 
-Tokens are words with A-Z lower-cased, then one end token per text. The most frequent training words are classes
-of their own, all others share the class of rare words, in which a word is drawn by its add-one smoothed count:
-
-    P(word | previous) = P(class(word) | class(previous)) * P(word | class(word))
-
-The class bigram is Katz: counts up to ``GT_MAX`` are discounted by Good-Turing, and what the discounts leave of
-a context goes to the classes never seen after it, in proportion to their unigram probability. The backoff weight
-of a context is its left mass over the unigram mass of those classes, so every context sums to one.
+Tokens are words with A-Z lower-cased, then one end token per text. Every training word counts, as context and as
+target; words that training does not hold share one add-one count. The bigram is Katz: counts up to ``GT_MAX`` are
+discounted by Good-Turing, and what the discounts leave of a context goes to the words never seen after it, in
+proportion to their unigram probability. The backoff weight of a context is its left mass over the unigram mass of
+those words, so every context sums to one.
 
 Three passes over the texts, none of which gathers a group in one task or a vocabulary on the driver:
 
-1. Training counts of all words (pre-aggregated in each task). The ``VOCABULARY`` most frequent become classes.
-2. Counts of rare words and class bigrams by hash partition, stored as one table of sorted arrays. From it come
-   the counts of counts, and for each context (a bounded number) its total and backoff weight. Bigrams with a
-   share of at least 1 / ``HOT`` of all tokens (at most ``HOT`` of them) are broadcast.
+1. Training counts of all words (pre-aggregated in each task). The ``VOCABULARY`` most frequent get a number and are
+   broadcast; all others are rare and known by hash.
+2. Bigram counts by hash partition, stored as one table of arrays: by both numbers if both words are frequent, by the
+   target if it is rare, else by the rare context. From it come the counts of counts, and for each frequent context
+   its total and backoff weight. Bigrams with a share of at least 1 / ``HOT`` of all tokens (at most ``HOT`` of them)
+   are broadcast. Bigrams of two rare words then go on, with their target's count, to the context's partition, which
+   has all that follows a rare context and so its total and backoff weight.
 3. Each text's hot bigrams and frequent words are scored where the text is read. The other tokens travel to the
-   partition that holds their counts, where they become sums per text, which are added up.
+   partitions that hold their counts, where they become sums per text, which are added up.
+
+Rare words and their bigrams are known by 64-bit hash, bigrams of frequent words by a pair of numbers.
+
+With a given ``size``, all words but the ``size`` most frequent share one class, and bigrams are those of classes:
 
-Words and bigrams are known by 64-bit hash and by a pair of class numbers.
+    P(word | previous) = P(class(word) | class(previous)) * P(word | class(word))
 
 Defined cases: a null or empty text is the end token alone; without training texts every probability is 1;
 repeated rows each count and each get a score; an empty table gives no rows; other columns are not read.
@@ -38,13 +42,19 @@ from pyspark.sql import functions as F
 from seawarden.llm import texts
 from seawarden.session import shared_folder, ship_package
 
-#: Words with a class of their own; class numbers fit 16 bits.
+#: Words that are broadcast with a number; numbers fit 16 bits.
 VOCABULARY = 65_000
 GT_MAX = 5
 HOT = 100_000
 #: Tokens in a partition of the count tables, and bytes of text worked on at once, about.
 PART_TOKENS, PART_BYTES = 3_000_000, 8 << 20
 END = np.uint64(0x454E44)
+#: Bigrams with a rare word in the count table: the hash they are dealt by, the other word, and their count.
+RARE_PAIRS = {
+    "to_rare": ("to_words", "to_classes", "to_counts"),
+    "from_rare": ("from_words", "from_classes", "from_counts"),
+    "both_rare": ("both_words", "both_contexts", "both_counts"),
+}
 U64 = np.uint64
 
 
@@ -63,12 +73,16 @@ def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the frequent words with their training counts, and the totals of the training texts."""
+    """Sorted hashes of the frequent words with their training counts, and the totals of the training texts.
+
+    ``shared`` says that all other words are one class; else each is its own.
+    """
 
     words: np.ndarray
     counts: np.ndarray
     total: int
     distinct: int
+    shared: bool = False
 
     @property
     def rare(self) -> int:
@@ -93,15 +107,27 @@ class Vocabulary:
         return (before << 16 | own).astype(np.uint32)
 
     def unigrams(self) -> np.ndarray:
-        """Add-one probability of each class; the last is that of rare words."""
+        """Add-one probability of each class; the last is that of rare words, or of one unknown word."""
+        if not self.shared:
+            return (np.append(self.counts, 0) + 1) / self.divisor
         counts = np.append(self.counts, self.total - self.counts.sum())
         return (counts + 1) / (counts.sum() + len(counts))
 
+    @property
+    def divisor(self) -> int:
+        """What an add-one count is divided by to give a word's unigram probability."""
+        return self.total + self.distinct + 1
+
     def rare_words(self) -> float:
         """What an add-one count is divided by to give a rare word's share of its class."""
         return float(self.total - self.counts.sum() + self.distinct - len(self.words) + 1)
 
 
+def _bigram(word: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """One 64-bit key for two words, given by hash or number."""
+    return texts.mix(word.astype(U64) * U64(3) + texts.mix(other.astype(U64)))
+
+
 def _partition(keys: np.ndarray, parts: int) -> np.ndarray:
     return (texts.mix(keys.astype(U64)) % U64(parts)).astype(np.int64)
 
@@ -160,29 +186,38 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return _batches(docs, run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def vocabulary(counts: DataFrame, size: int = VOCABULARY) -> Vocabulary:
+def vocabulary(counts: DataFrame, size: int = VOCABULARY, shared: bool = False) -> Vocabulary:
     """The most frequent words (the end token always, ties by hash) and the totals."""
     sums = counts.agg(F.sum("c"), F.count("*")).first()
     is_end = (F.col("word") == int(END)).desc()
     top = counts.orderBy(is_end, F.col("c").desc(), "word").limit(size).toArrow()
     words = top["word"].to_numpy().view(U64)
     order = np.argsort(words)
-    return Vocabulary(words[order], top["c"].to_numpy()[order], int(sums[0] or 0), int(sums[1]))
+    return Vocabulary(words[order], top["c"].to_numpy()[order], int(sums[0] or 0), int(sums[1]), shared)
 
 
-TABLE = "p long, words array<long>, word_counts array<long>, pairs array<long>, pair_counts array<long>"
+_RARE_TABLE = ", ".join(f"{name} array<long>" for names in RARE_PAIRS.values() for name in names)
+TABLE = f"p long, words array<long>, word_counts array<long>, pairs array<long>, pair_counts array<long>, {_RARE_TABLE}"
 
 
 def count_table(docs: DataFrame, known: Vocabulary, parts: int) -> DataFrame:
-    """The training counts: one row per partition with sorted rare words, sorted class bigrams and their counts."""
+    """The training counts: one row per partition with bigrams and their counts.
+
+    Bigrams of frequent words (of classes, if rare words share one) are sorted, as are rare words, which are counted
+    apart only if they share a class: else they are the targets of their bigrams.
+    """
+    kinds = {name: pa.int32() if name.endswith(("_classes", "_counts")) else pa.int64() for names in RARE_PAIRS.values() for name in names}
 
     def run(raw, offsets, ids, held, number):
         hashes, begins = tokens(raw, offsets)
         learnt = np.repeat(~held, np.diff(begins))
-        all_pairs = known.pairs(hashes, begins[:-1])[learnt]
-        rare = hashes[learnt][(all_pairs & np.uint32(0xFFFF)) == known.rare]
+        all_pairs = known.pairs(hashes, begins[:-1])
+        before, own = (all_pairs >> np.uint32(16)).astype(np.int64), (all_pairs & np.uint32(0xFFFF)).astype(np.int64)
+        to_rare, from_rare = own == known.rare, before == known.rare
+        rare = hashes[learnt & to_rare & known.shared]
         words, word_counts = np.unique(rare, return_counts=True)
-        pairs, pair_counts = np.unique(all_pairs, return_counts=True)
+        numbered = learnt if known.shared else learnt & ~to_rare & ~from_rare
+        pairs, pair_counts = np.unique(all_pairs[numbered], return_counts=True)
         by_word = list(_split(_partition(words, parts), parts, words.view(np.int64), word_counts))
         by_pair = list(_split(_partition(pairs, parts), parts, pairs.view(np.int32), pair_counts))
         columns = {
@@ -192,9 +227,25 @@ def count_table(docs: DataFrame, known: Vocabulary, parts: int) -> DataFrame:
             "pairs": _lists([row[1] for row in by_pair], pa.int32()),
             "pair_counts": _lists([row[2] for row in by_pair], pa.int32()),
         }
+        context = np.roll(hashes, 1)
+        alone = learnt & (not known.shared)
+        found = {
+            "to_rare": (alone & to_rare & ~from_rare, hashes, before),
+            "from_rare": (alone & from_rare & ~to_rare, context, own),
+            "both_rare": (alone & from_rare & to_rare, hashes, context.view(np.int64)),
+        }
+        for kind, (at, dealt, other) in found.items():
+            dealt, other = dealt[at], other[at]
+            _, first, counts = np.unique(_bigram(dealt, other), return_index=True, return_counts=True)
+            dealt, other = dealt[first], other[first]
+            split = list(_split(_partition(dealt, parts), parts, dealt.view(np.int64), other, counts))
+            for k, name in enumerate(RARE_PAIRS[kind], 1):
+                columns[name] = _lists([row[k] for row in split], kinds[name])
         return texts.table(None, columns)
 
     sent = "p long, words array<long>, word_counts array<int>, pairs array<int>, pair_counts array<int>"
+    for name, kind in kinds.items():
+        sent += f", {name} array<{'int' if kind == pa.int32() else 'long'}>"
 
     def merge(group: pa.Table) -> pa.Table:
         columns = {"p": pa.array([group["p"][0].as_py()], pa.int64())}
@@ -205,11 +256,49 @@ def count_table(docs: DataFrame, known: Vocabulary, parts: int) -> DataFrame:
             sums = np.bincount(place, _flat(group[count], np.float64), len(distinct)).astype(np.int64)
             columns[name] = _lists([distinct.view(np.int64)], pa.int64())
             columns[count] = _lists([sums], pa.int64())
+        for word, other, count in RARE_PAIRS.values():
+            dealt, others = _flat(group[word], np.int64), _flat(group[other], np.int64)
+            distinct, first, place = np.unique(_bigram(dealt, others), return_index=True, return_inverse=True)
+            sums = np.bincount(place, _flat(group[count], np.float64), len(distinct)).astype(np.int64)
+            for name, values in ((word, dealt[first]), (other, others[first]), (count, sums)):
+                columns[name] = _lists([values], pa.int64())
         return pa.table(columns)
 
     return _batches(docs, run, sent).groupBy("p").applyInArrow(merge, TABLE)
 
 
+def _rare_words(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of a partition's rare words and their counts: those counted apart and the targets of bigrams."""
+    words = [_flat(table[name], np.int64) for name in ("words", "to_words", "both_words")]
+    counts = [_flat(table[name], np.float64) for name in ("word_counts", "to_counts", "both_counts")]
+    distinct, place = np.unique(np.concatenate(words).view(U64), return_inverse=True)
+    return distinct, np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
+
+
+MOVED = "moved_words array<long>, moved_targets array<long>, moved_counts array<long>, moved_target_counts array<long>"
+
+
+def at_contexts(counts: DataFrame, parts: int) -> DataFrame:
+    """The bigrams of two rare words for the partitions of their contexts, with the counts of their targets."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            words, word_counts = _rare_words(row)
+            target, context, count = (_flat(row[name], np.int64) for name in RARE_PAIRS["both_rare"])
+            of_target = _look_up(words, word_counts, target.view(U64))
+            split = _split(_partition(context.view(U64), parts), parts, context, target, count, of_target)
+            rows += [part for part in split if len(part[1])]
+        columns = {"p": pa.array([row[0] for row in rows], pa.int64())}
+        for k, name in enumerate((part.split()[0] for part in MOVED.split(", ")), 1):
+            columns[name] = _lists([row[k] for row in rows], pa.int64())
+        return texts.table(None, columns)
+
+    narrow = counts.select("words", "word_counts", "to_words", "to_counts", *RARE_PAIRS["both_rare"])
+    return texts.per_batch(narrow, run, f"p long, {MOVED}")
+
+
 @dataclass
 class Model:
     """What scoring needs besides the count table: all of bounded size."""
@@ -267,11 +356,11 @@ def fit(counts: DataFrame, known: Vocabulary) -> Model:
     """Discounts, backoff weights and hot bigrams from the count table."""
 
     def shape(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counted = _flat(batch["pair_counts"], np.int64)
+        counted = np.concatenate([_flat(column, np.int64) for column in batch.columns])
         found = np.bincount(np.minimum(counted, GT_MAX + 2), minlength=GT_MAX + 3)
         return texts.table(None, {"r": pa.array(range(len(found)), pa.int64()), "n": pa.array(found)})
 
-    narrow = counts.select("pairs", "pair_counts")
+    narrow = counts.select("pair_counts", *(names[2] for names in RARE_PAIRS.values()))
     found = texts.per_batch(narrow, shape, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
     counts_of_counts = np.zeros(GT_MAX + 3)
     for row in found:
@@ -283,6 +372,13 @@ def fit(counts: DataFrame, known: Vocabulary) -> Model:
         context = pairs >> 16
         kept = counted * discounts[np.minimum(counted, GT_MAX + 1)]
         columns = [np.bincount(context, w, contexts) for w in (counted, kept, unigrams[pairs & 0xFFFF])]
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            words, word_counts = _rare_words(row)
+            target, before, n = (_flat(row[name], np.int64) for name in RARE_PAIRS["to_rare"])
+            single = (_look_up(words, word_counts, target.view(U64)) + 1) / known.divisor
+            for column, w in zip(columns, (n, n * discounts[np.minimum(n, GT_MAX + 1)], single), strict=True):
+                column += np.bincount(before, w, contexts)
         at = np.flatnonzero(columns[0])
         hot = counted * HOT >= total
         empty, none = np.zeros(hot.sum()), np.full(len(at), 0)
@@ -298,7 +394,7 @@ def fit(counts: DataFrame, known: Vocabulary) -> Model:
         )
 
     schema = "context long, hot long, c double, mass double, unigram double"
-    summed = texts.per_batch(narrow, sums, schema).groupBy("context", "hot")
+    summed = texts.per_batch(counts.drop(*RARE_PAIRS["from_rare"], "both_contexts"), sums, schema).groupBy("context", "hot")
     rows = summed.agg(*(F.sum(name).alias(name) for name in ("c", "mass", "unigram"))).toArrow()
     of_pair = rows["hot"].to_numpy() > 0
     context = rows["context"].to_numpy()
@@ -321,13 +417,18 @@ def _look_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.nda
     return np.where(keys[at] == wanted, counts[at], 0)
 
 
-def score(docs: DataFrame, size: int = VOCABULARY, part_tokens: int = PART_TOKENS) -> DataFrame:
-    """Tokens, known tokens, base score and model score of every document; train on those not held out."""
+def score(
+    docs: DataFrame, size: int | None = None, part_tokens: int = PART_TOKENS, frequent: int = VOCABULARY
+) -> DataFrame:
+    """Tokens, known tokens, base score and model score of every document; train on those not held out.
+
+    Every word is its own class, unless ``size`` says how many are; ``frequent`` words at most are broadcast.
+    """
     spark = docs.sparkSession
     work = shared_folder(spark, "katz")
     rows = texts.ids_and_texts(docs, F.coalesce(texts.remainder(7) == 2, F.lit(False)).alias("held_out"))
     word_counts(rows).write.parquet(f"{work}/words")
-    known = vocabulary(spark.read.parquet(f"{work}/words"), size)
+    known = vocabulary(spark.read.parquet(f"{work}/words"), size or frequent, size is not None)
     parts = max(1, -(-known.total // part_tokens))
     count_table(rows, known, parts).write.parquet(f"{work}/counts")
     counts = spark.read.parquet(f"{work}/counts")
@@ -341,7 +442,8 @@ def score(docs: DataFrame, size: int = VOCABULARY, part_tokens: int = PART_TOKEN
 
     ship_package(spark)
     events = _batches(rows, send, SENT)
-    added = events.groupBy("p").cogroup(counts.groupBy("p")).applyInArrow(add, ADDED)
+    table = counts.unionByName(at_contexts(counts, parts), allowMissingColumns=True)
+    added = events.groupBy("p").cogroup(table.groupBy("p")).applyInArrow(add, ADDED)
     return added.groupBy("number").applyInArrow(_summed, SCORED)
 
 
@@ -352,7 +454,10 @@ ADDED = (
     "number long, doc_ids array<long>, held_out array<boolean>, n_tokens array<long>, train_tokens long, "
     "n_known array<long>, base array<double>, score array<double>"
 )
-SENT = f"p long, words array<long>, word_docs array<short>, pairs array<int>, pair_docs array<short>, {ADDED}"
+SENT = (
+    "p long, words array<long>, word_docs array<short>, before array<int>, next array<int>, next_words array<long>, "
+    f"pairs array<int>, pair_docs array<short>, {ADDED}"
+)
 
 
 def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.RecordBatch:
@@ -363,22 +468,32 @@ def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.
     document = np.repeat(np.arange(size), np.diff(begins))
     pairs = known.pairs(hashes, begins[:-1])
     own = (pairs & np.uint32(0xFFFF)).astype(np.int64)
+    before = (pairs >> np.uint32(16)).astype(np.int64)
     rare = own == known.rare
-    frequent = np.append(known.counts, 0)[own[~rare]]
-    divisor = known.total + known.distinct + 1
-    base = np.bincount(document[~rare], np.log10((frequent + 1) / divisor), size)
+    after_rare = (before == known.rare) & (not known.shared)
+    single = np.log10((np.append(known.counts, 0) + 1) / known.divisor)
+    base = np.bincount(document[~rare], single[own[~rare]], size)
     hot_counts = _look_up(model.hot_pairs, model.hot_counts, pairs.astype(np.int64))
     hot = hot_counts > 0
     score = np.bincount(document[hot], model.log_pairs(pairs[hot].astype(np.int64), hot_counts[hot]), size)
+    # after a rare word the partition of that word adds what the bigram makes of the unigram probability
+    here = after_rare & ~rare
+    score += np.bincount(document[here], single[own[here]], size)
+    cold_pair = ~hot if known.shared else ~(hot | rare | after_rare)
+    next_class, next_word = np.roll(own, -1), np.roll(hashes, -1)
 
     rows = []
     for first in range(0, max(size, 1), 32_000):
         last = min(first + 32_000, size)
         at = slice(begins[first], begins[last])
         places = (document[at] - first).astype(np.int16)
-        is_rare, cold = rare[at], ~hot[at]
+        is_rare, cold = rare[at], cold_pair[at]
         words, cold_pairs = hashes[at][is_rare], pairs[at][cold]
-        by_word = list(_split(_partition(words, parts), parts, words.view(np.int64), places[is_rare]))
+        own_part, follows = _partition(words, parts), next_class[at][is_rare]
+        of_word = (words.view(np.int64), places[is_rare], before[at][is_rare], follows)
+        by_word = list(_split(own_part, parts, *of_word))
+        both = follows == known.rare
+        by_next = list(_split(own_part[both], parts, next_word[at][is_rare][both].view(np.int64)))
         by_pair = list(_split(_partition(cold_pairs, parts), parts, cold_pairs.view(np.int32), places[cold]))
         mine = number * 64 + len(rows) // max(parts, 1)
         for p in range(parts):
@@ -387,10 +502,11 @@ def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.
                 local = (ids[first:last], held[first:last], np.diff(begins[first : last + 1]))
                 counted = (np.bincount(places[~is_rare], minlength=last - first), base[first:last], score[first:last])
                 none = [np.zeros(0)] * 3
-                rows.append((p, mine, *by_word[p][1:], *by_pair[p][1:], *(local if home else none), *(counted if home else none)))
-    kinds = [pa.int64(), pa.int16(), pa.int32(), pa.int16(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-    kinds += [pa.float64(), pa.float64()]
-    names = ["words", "word_docs", "pairs", "pair_docs", "doc_ids", "held_out", "n_tokens", "n_known", "base", "score"]
+                rows.append((p, mine, *by_word[p][1:], *by_next[p][1:], *by_pair[p][1:], *(local if home else none), *(counted if home else none)))
+    kinds = [pa.int64(), pa.int16(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int16(), pa.int64()]
+    kinds += [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    names = ["words", "word_docs", "before", "next", "next_words", "pairs", "pair_docs"]
+    names += ["doc_ids", "held_out", "n_tokens", "n_known", "base", "score"]
     columns = {"p": pa.array([row[0] for row in rows], pa.int64())}
     found = {n: _lists([row[k] for row in rows], kind) for k, (n, kind) in enumerate(zip(names, kinds, strict=True), 2)}
     found["number"] = pa.array([row[1] for row in rows], pa.int64())
@@ -399,26 +515,83 @@ def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.
     return texts.table(None, columns)
 
 
+@dataclass
+class _RareBigrams:
+    """What a partition knows of bigrams with a rare word: counts by target, and all that follows a rare context."""
+
+    model: Model
+    table: pa.Table
+
+    def __post_init__(self):
+        known, discounts = self.model.known, self.model.discounts
+        word, before, counts = (_flat(self.table[name], np.int64) for name in RARE_PAIRS["to_rare"])
+        self.to_rare, self.to_counts = _sorted(_bigram(word, before), counts)
+        context, target, n = (_flat(self.table[name], np.int64) for name in RARE_PAIRS["from_rare"])
+        moved = [_flat(self.table[part.split()[0]], np.int64) for part in MOVED.split(", ")]
+        context = np.concatenate([context, moved[0]]).view(U64)
+        of_target = np.concatenate([np.append(known.counts, 0)[target], moved[3]])
+        target = np.concatenate([np.append(known.words, U64(0))[target], moved[1].view(U64)])
+        n = np.concatenate([n, moved[2]])
+        kept, single = n * discounts[np.minimum(n, GT_MAX + 1)], (of_target + 1) / known.divisor
+        self.contexts, place = np.unique(context, return_inverse=True)
+        totals, self.log_backoff = backoff(*(np.bincount(place, w, len(self.contexts)) for w in (n, kept, single)))
+        gains = np.log10(kept) - np.log10(totals[place]) - np.log10(single)
+        self.from_rare, self.gains = _sorted(_bigram(context, target), gains)
+
+    def log_own(self, words: np.ndarray, before: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """log10 of a rare word's probability after a frequent word; after a rare one, of its unigram probability."""
+        counts = _look_up(self.to_rare, self.to_counts, _bigram(words, before))
+        kept = counts * self.model.discounts[np.minimum(counts, GT_MAX + 1)]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            seen = np.log10(kept) - np.log10(self.model.totals[before])
+        unseen = single + np.where(before == self.model.known.rare, 0, self.model.log_backoff[before])
+        return np.where(counts > 0, seen, unseen)
+
+    def log_next(self, words: np.ndarray, following: np.ndarray) -> np.ndarray:
+        """What a rare word as context adds to log10 of the unigram probability of the word that follows."""
+        keys = _bigram(words, following)
+        if not len(self.from_rare):
+            return np.zeros(len(words))
+        at = np.minimum(np.searchsorted(self.from_rare, keys), len(self.from_rare) - 1)
+        unseen = _look_up(self.contexts, self.log_backoff, words)
+        return np.where(self.from_rare[at] == keys, self.gains[at], unseen)
+
+
+def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def _added(model: Model, events: pa.Table, table: pa.Table) -> pa.Table:
     """Sums per text of a partition's events, with the counts of that partition."""
     known = model.known
-    words, word_counts = _flat(table["words"], np.int64).view(U64), _flat(table["word_counts"], np.int64)
+    words, word_counts = _rare_words(table)
+    bigrams = None if known.shared else _RareBigrams(model, table)
     pairs, pair_counts = _flat(table["pairs"], np.int64), _flat(table["pair_counts"], np.int64)
-    divisor, rare_words = known.total + known.distinct + 1, known.rare_words()
+    rare_words, frequent_words = known.rare_words(), np.append(known.words, U64(0))
     sums: dict[str, list] = {"n_known": [], "base": [], "score": []}
     for batch in events.to_batches():
         for k in range(batch.num_rows):
             cell = {name: batch[name][k].values.to_numpy(zero_copy_only=False) for name in batch.schema.names if name not in ("p", "number", "train_tokens")}
             word_docs, pair_docs = cell["word_docs"].astype(np.int64), cell["pair_docs"].astype(np.int64)
             long = max(len(cell["doc_ids"]), int(word_docs.max(initial=-1)) + 1, int(pair_docs.max(initial=-1)) + 1)
-            c = _look_up(words, word_counts, cell["words"].view(U64))
+            wanted_words = cell["words"].view(U64)
+            c = _look_up(words, word_counts, wanted_words)
+            single = np.log10((c + 1) / known.divisor)
+            if known.shared:
+                of_words = np.log10((c + 1) / rare_words)
+            else:
+                follows = cell["next"].astype(np.int64)
+                following = frequent_words[follows]
+                following[follows == known.rare] = cell["next_words"].view(U64)
+                of_words = bigrams.log_own(wanted_words, cell["before"].astype(np.int64), single)
+                of_words += bigrams.log_next(wanted_words, following)
             wanted = cell["pairs"].view(np.uint32).astype(np.int64)
             logs = model.log_pairs(wanted, _look_up(pairs, pair_counts, wanted))
             found = {
                 "n_known": np.bincount(word_docs, c > 0, long),
-                "base": np.bincount(word_docs, np.log10((c + 1) / divisor), long),
-                "score": np.bincount(word_docs, np.log10((c + 1) / rare_words), long)
-                + np.bincount(pair_docs, logs, long),
+                "base": np.bincount(word_docs, single, long),
+                "score": np.bincount(word_docs, of_words, long) + np.bincount(pair_docs, logs, long),
             }
             for name, values in found.items():
                 values = values.astype(float)

@@ -153,6 +153,17 @@ def test_katz_equals_the_definition(spark, docs, odd, which, least, part_tokens)
     assert np.allclose(sums, 1)
 
 
+@pytest.mark.parametrize("which, frequent, part_tokens", [("docs", 300, 5000), ("odd", 5, 50), ("few", 2, 10**6), ("docs", 65_000, 10**6)])
+def test_katz_counts_the_bigrams_of_every_word(spark, docs, odd, which, frequent, part_tokens):
+    few = [row(i, f"a b c a b {'d' * (i % 3)} e x{i % 5} y{i % 4} z{i}") for i in range(30)]
+    given = {"docs": docs, "odd": odd, "few": spark.createDataFrame(few, odd.schema)}[which]
+    expected, sums = plain_katz([(r.doc_id, r.text) for r in given.collect()], 10**9)
+    got = sorted(tuple(r) for r in katz.score(given, part_tokens=part_tokens, frequent=frequent).collect())
+    assert [r[:5] for r in got] == [r[:5] for r in expected]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in expected], rtol=1e-9, atol=1e-9)
+    assert np.allclose(sums, 1)
+
+
 def test_katz_without_training_texts(spark, odd, nothing):
     held = next(i for i in range(100) if fold(i, 7) == 2)
     got = katz.score(spark.createDataFrame([row(held, "a b"), row(held, None)], odd.schema)).collect()
