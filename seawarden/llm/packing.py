@@ -4,7 +4,8 @@ Documents are cut into full windows and one remainder. Best-fit decreasing treat
 it is run once over the *histogram* of lengths, which has at most ``window`` entries whatever the input: a
 segment tree over remaining capacities finds the tightest open windows, and whole runs of equal pieces go into
 whole runs of equal windows. The result is a short list of rules (length, ranks, windows, offset). Every piece
-then finds its window from its rank among the pieces of its length; ranks are counted in parallel.
+then finds its window from its rank among the pieces of its length; ranks are counted in parallel. Pieces keep
+their ids all the way, so a sequence is its pieces' ids at their offsets, and padding after the last.
 
 Defined cases: a null or empty text is the single closing id; repeated rows are packed as often as they occur;
 an empty table gives no rows; other columns are not read.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawarden.llm import texts
-from seawarden.session import shared_folder
+from seawarden.session import shared_folder, ship_package
 
 WINDOW = 4096
 CLOSING_ID = 2
@@ -30,6 +31,8 @@ CLOSING_ID = 2
 REMEMBERED = 150_000
 #: Pieces of one length that one task numbers, about.
 PART_ROWS = 500_000
+#: Ids of pieces of one length in one task, about.
+PART_IDS = 50_000_000
 
 #: Letters and numbers up to U+017F, where lower case and composition need no table; white space among them.
 _LATIN, _DIGITS, _WHITE = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾", " \t-\r\x85\xa0"
@@ -134,27 +137,41 @@ def _tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id long, start long, length long, ids array<int>, doc_tokens long"
+PACKED = (
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+)
+#: Rows of pieces that a Python worker works on at once, about 16 KB each at most.
+ROWS = 1000
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, closing: int = CLOSING_ID) -> DataFrame:
     """Full windows and the remainder of each document, in the order of its ids."""
     end = np.asarray([closing], "<u4").tobytes()
 
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = _tokenizer(tokenizer).ids
-        rows: list[list[int]] = [[], [], [], [], []]
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            ids = encode(text.as_py() or "") + end
-            count = len(ids) // 4
-            for start in range(0, count, window):
-                part = ids[4 * start : 4 * (start + window)]
-                for column, value in zip(rows, (doc_id, start, len(part) // 4, zlib.crc32(part), count), strict=True):
-                    column.append(value)
-        names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-        return texts.table(None, {n: pa.array(c, pa.int64()) for n, c in zip(names, rows, strict=True)})
-
-    return texts.per_batch(texts.ids_and_texts(docs), cut, PIECES)
+    def cut(batches):
+        for batch in batches:
+            encode = _tokenizer(tokenizer).ids
+            for first in range(0, batch.num_rows, ROWS):
+                some = batch.slice(first, ROWS)
+                rows: list[list[int]] = [[], [], [], []]
+                flat = []
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"], strict=True):
+                    ids = encode(text.as_py() or "") + end
+                    flat.append(ids)
+                    count = len(ids) // 4
+                    for start in range(0, count, window):
+                        for column, value in zip(rows, (doc_id, start, min(window, count - start), count), strict=True):
+                            column.append(value)
+                doc_ids, starts, lengths, counts = (pa.array(column, pa.int64()) for column in rows)
+                ends = np.concatenate([[0], np.cumsum(lengths.to_numpy())]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(flat), "<i4")))
+                columns = {"doc_id": doc_ids, "start": starts, "length": lengths, "ids": ids, "doc_tokens": counts}
+                yield texts.table(None, columns)
+        pa.default_memory_pool().release_unused()
+
+    ship_package(docs.sparkSession)
+    return texts.ids_and_texts(docs).mapInArrow(cut, PIECES)
 
 
 class _Capacities:
@@ -226,7 +243,7 @@ def best_fit_rules(histogram: dict[int, int], window: int = WINDOW) -> list[tupl
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, part_rows: int = PART_ROWS) -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
+    """Every piece of every document with its sequence and offset, its ids and their crc32."""
     spark = docs.sparkSession
     stored = shared_folder(spark, "packing")
     pieces(docs, tokenizer, window).write.parquet(stored)
@@ -235,7 +252,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, part_rows: int =
     histogram = {row["length"]: row["count"] for row in cut.groupBy("length").count().collect()}
     rules = best_fit_rules(histogram, window)
     parts = spark.createDataFrame(
-        [(length, -(-count // part_rows)) for length, count in histogram.items()], "h_length long, parts long"
+        [(n, max(-(-count // part_rows), -(-count * n // PART_IDS))) for n, count in histogram.items()],
+        "h_length long, parts long",
     )
     dealt = cut.join(F.broadcast(parts), F.col("length") == F.col("h_length")).select(
         *cut.columns, F.pmod(F.xxhash64("doc_id", "start"), F.col("parts")).alias("part")
@@ -245,7 +263,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, part_rows: int =
         F.count("*").alias("rows")
     )
     before = counts.select("c_length", "c_part", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"))
-    own = Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32")
+    own = Window.partitionBy("length", "part").orderBy("doc_id", "start", F.xxhash64("ids"))
     matched = (F.col("length") == F.col("c_length")) & (F.col("part") == F.col("c_part"))
     ranked = (
         dealt.withColumn("own_rank", F.row_number().over(own) - 1)
@@ -264,9 +282,14 @@ def _apply(ranked: DataFrame, rules: list[tuple]) -> DataFrame:
         length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
         rule = table[np.searchsorted(table[:, 0] * step + table[:, 1], length * step + rank, "right") - 1]
         nth = rank - rule[:, 1]
-        columns = {name: batch[name] for name in batch.schema.names if name != "rank"}
+        flat = batch["ids"].flatten().to_numpy().astype("<i4", copy=False)
+        ends = np.cumsum(length)
+        digests = [zlib.crc32(flat[a:b]) for a, b in zip(ends - length, ends, strict=True)]
+        columns = {"ids_crc32": pa.array(digests, pa.int64())}
+        columns |= {name: batch[name] for name in batch.schema.names if name != "rank"}
         columns["sequence_id"] = pa.array(rule[:, 3] + nth // rule[:, 4])
         columns["offset"] = pa.array(rule[:, 5] + nth % rule[:, 4] * length)
-        return texts.table(None, columns)
+        return texts.table(None, {name: columns[name] for name in names})
 
-    return texts.per_batch(ranked, place, f"{PIECES}, sequence_id long, offset long")
+    names = [part.split()[0] for part in PACKED.split(", ")]
+    return texts.per_batch(ranked, place, PACKED)

@@ -27,7 +27,7 @@ def op1_hamming_topk(spark, folder):
 
 
 def op2_pack_best_fit(spark, folder):
-    return packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
+    return packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json")).drop("ids")
 
 
 def op3_line_frequency(spark, folder):

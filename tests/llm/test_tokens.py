@@ -102,6 +102,16 @@ def test_packing(docs, odd, nothing, texts_of):
     assert packing.pack(nothing, WORDS).count() == 0
 
 
+def test_packed_pieces_hold_the_ids_of_their_texts(odd):
+    whole = Tokenizer.from_file(WORDS)
+    built = defaultdict(list)
+    for r in sorted(packing.pack(odd, WORDS, window=64, part_rows=2).collect(), key=lambda r: (r.doc_id, r.start)):
+        assert len(r.ids) == r.length and r.ids_crc32 == zlib.crc32(np.asarray(r.ids, "<u4").tobytes())
+        built[r.doc_id].append(r.ids)
+    for doc_id, text in {x[0]: x[1] for x in ODD if x[0] != 8}.items():
+        assert sum(built[doc_id], []) == [*whole.encode(text or "", add_special_tokens=False).ids, 2]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_rules_are_best_fit_decreasing(seed):
     pick, window = random.Random(seed), 40
