@@ -102,10 +102,14 @@ def build_rules() -> list[Rule]:
         ],
         "without warrant": [
             ("apache-2.0", "without warranties or conditions of any kind either express or implied see the license"),
+        ],
+        "without any warranty": [
             ("gpl", "without any warranty without even the implied warranty of merchantability or fitness"),
         ],
         "free software": [
             ("gpl", "this (?:program|library) is free software you can redistribute it and or modify it"),
+        ],
+        "unencumbered": [
             ("unlicense", "this is free and unencumbered software released into the public domain"),
         ],
         "public license": [

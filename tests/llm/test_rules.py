@@ -1,5 +1,6 @@
 """Quality rules, licenses and shards against plain versions."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -114,6 +115,51 @@ def test_license_labels(text, labels):
     assert licenses.scanner().scan(text.encode())[5] == labels
 
 
+def sample(parsed, pick):
+    """A text that a parsed pattern matches; choices and repeats are drawn."""
+    out = ""
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            out += chr(value)
+        elif kind == "NOT_LITERAL":
+            out += "q" if value != ord("q") else "x"
+        elif kind == "IN":
+            name, chosen = pick.choice(value)
+            out += chr(chosen if str(name) == "LITERAL" else pick.randint(*chosen))
+        elif kind == "MAX_REPEAT":
+            least, most, inner = value
+            out += "".join(sample(inner, pick) for _ in range(pick.randint(least, min(most, least + 2))))
+        elif kind == "SUBPATTERN":
+            out += sample(value[-1], pick)
+        elif kind == "BRANCH":
+            out += sample(pick.choice(value[1]), pick)
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT"), kind
+    return out
+
+
+def test_matches_contain_the_keyword_of_their_rule():
+    pick = random.Random(11)
+    for rule in licenses.build_rules():
+        parsed = re._parser.parse(rule.pattern.pattern)
+        for _ in range(30):
+            text = f" {sample(parsed, pick)} "
+            assert rule.pattern.search(text), (rule, text)
+            assert rule.keyword in text, (rule, text)
+
+
+@pytest.mark.parametrize(
+    "text, labels, score",
+    [
+        ("This is free and unencumbered software released into the public domain.", "unlicense", 0.95),
+        ("WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS for", "gpl", 0.95),
+    ],
+)
+def test_license_sentences_are_found_on_their_own(text, labels, score):
+    assert licenses.scanner().scan(text.encode())[5:] == (labels, score)
+
+
 def test_contained_detections_are_suppressed_and_rules_are_many():
     found = licenses.scanner().detections(b" gnu general public license version 2 ")
     assert [rule.label for _, _, rule in found] == ["gpl-2.0"] and len(licenses.build_rules()) > 200
