@@ -5,8 +5,8 @@ vectors and softmax are trained together. Unseen spellings share n-grams with se
 its most toxic window, since a few words in a long text suffice. Training looks at windows too: it starts with
 each window under its document's label, then keeps, of a toxic document, only the windows that it finds toxic.
 
-The model is fitted on a bounded sample of labelled documents (``SAMPLE`` of each label, ``SAMPLE_WINDOWS``
-evenly spaced windows of each). Scoring reads every window of every text.
+The model is fitted on a bounded sample of labelled documents (``SAMPLE`` of each label; of a clean one,
+``SAMPLE_WINDOWS`` evenly spaced windows, of a toxic one, all). Scoring reads every window of every text.
 
 Defined cases: a null or empty text scores as a window without n-grams does; only labels 0 and 1 are learnt
 from, and without any of one of them every score is that of the bias; repeated rows score alike; an empty table
@@ -30,7 +30,7 @@ WIDTH = 8
 WINDOW_WORDS = 6
 #: Rounds of training on deciding windows, and the step of the gradient.
 TURNS, RATE = 12, 0.02
-#: Labelled documents of each label, and evenly spaced windows of each, that the model is fitted on at most.
+#: Labelled documents of each label, and evenly spaced windows of each clean one, that the model is fitted on at most.
 SAMPLE, SAMPLE_WINDOWS = 800, 96
 THRESHOLD = 0.7
 
@@ -170,7 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for k in range(len(ids)):
             part = raw[offsets[k] : offsets[k + 1]]
             buckets, begins, _, sizes = windows(part, np.asarray([0, len(part)]))
-            some = np.unique(np.linspace(0, len(begins) - 1, SAMPLE_WINDOWS).astype(int)) if len(begins) else []
+            # what makes a document toxic may be in any window, so only clean documents are thinned
+            most = len(begins) if label[k] == 1 else SAMPLE_WINDOWS
+            some = np.unique(np.linspace(0, len(begins) - 1, most).astype(int)) if len(begins) else []
             lists.append([buckets[begins[w] : begins[w] + sizes[w]].astype(np.int32) for w in some])
         return texts.table(
             None,

@@ -50,6 +50,17 @@ def test_toxicity_finds_unseen_spellings_in_held_out_documents(insults, odd, not
     assert toxicity.score(nothing, model).count() == toxicity.keep_clean(nothing, model).count() == 0
 
 
+def test_training_reads_every_window_of_toxic_documents(spark, odd, monkeypatch):
+    ids = [i for i in range(1, 30) if fold(i, 3) != 1][:4]
+    words = 6 * 2 * toxicity.SAMPLE_WINDOWS
+    docs = spark.createDataFrame([row(i, " ".join(f"w{k}" for k in range(words))) for i in ids], odd.schema)
+    labels = spark.createDataFrame([(i, 0, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda grams, sizes, owner, labels: (owner, labels))
+    owner, toxic = toxicity.fit(docs, labels)
+    expected = [words // 6 if label else toxicity.SAMPLE_WINDOWS for label in toxic]
+    assert sorted(toxic) == [0, 0, 1, 1] and np.bincount(owner).tolist() == expected
+
+
 def test_without_labels_all_scores_are_alike(insults, spark, nothing):
     docs, labels = insults
     broken = spark.createDataFrame([(None, 1, 1), (3, None, None), (4, 7, 7)], labels.schema)
