@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
+from seawarden.llm import bpe, hard_negatives, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def op10_hilbert_shards(spark, folder):
     return sharding.shard(documents(spark, folder))
 
 
+def op13_fagin_negatives(spark, folder):
+    return hard_negatives.mine(hard_negatives.prepare(spark.read.parquet(f"{folder}/embeddings.parquet")))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
         op8_attention_quality,
         op9_katz_backoff,
         op10_hilbert_shards,
+        op13_fagin_negatives,
     )
 }
 
@@ -136,4 +141,24 @@ ORACLE: dict[str, str] = {
                    AND n_words - removed_words >= 0.3 * n_words AS kept
         FROM counted
     """,
+    "op13_fagin_negatives": """
+        WITH whole AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+            FROM whole a JOIN whole r ON a.id % 100 = 0 AND a.id <> r.id
+        ), positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT
+                   AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5
+    """,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,11 +13,6 @@ from pyspark.sql import functions as F
 from seawarden.session import ship_package
 
 U64 = np.uint64
-_rng = np.random.default_rng(20240229)
-#: A random 64-bit value for each byte; a word's hash is their sum, weighted by powers of an odd base.
-_BYTE = _rng.integers(1, 2**64, 256, dtype=U64, endpoint=False)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
 #: Bytes of `[\x20\x09-\x0D]`, which part words.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -25,18 +21,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes that are hashed at once; longer texts are taken whole.
 CHUNK = 1 << 19
-
-_powers = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def _powers_upto(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, U64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=U64)
-    return _powers[0][:n], _powers[1][:n]
+#: Words longer than this are hashed one by one.
+LONG_WORD = 512
+#: Masks of the first 0 to 8 bytes of a little-endian 64-bit integer.
+_FIRST_BYTES = np.asarray([(1 << 8 * k) - 1 for k in range(9)], U64)
+_BY_LENGTH = U64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -93,13 +82,33 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
-        if not len(self.start):
+        """A 64-bit hash of each word: its length and its bytes, eight at a time, each mixed into what came before.
+
+        Words of up to eight bytes that are equally long never share a hash; others do by chance only, whatever
+        the order of their letters.
+        """
+        size = self.end - self.start
+        if not len(size):
             return np.zeros(0, U64)
-        powers, inverse = _powers_upto(len(self.raw))
-        sums = np.zeros(len(self.raw) + 1, U64)
-        np.cumsum(_BYTE[self.raw] * powers, out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * inverse[self.start] + (self.end - self.start).astype(U64))
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eights = np.lib.stride_tricks.as_strided(padded, (len(self.raw) + 1, 8), (1, 1))
+
+        def piece(start: np.ndarray, left: np.ndarray) -> np.ndarray:
+            taken = np.ascontiguousarray(eights[start]).view("<u8")[:, 0]
+            return taken & _FIRST_BYTES[np.minimum(left, 8)]
+
+        out = mix(piece(self.start, size) + size.astype(U64) * _BY_LENGTH)
+        more, at = np.flatnonzero(size > 8), 8
+        while len(more):
+            long = size[more] > LONG_WORD
+            for k in more[long].tolist():
+                digest = hashlib.blake2b(self.raw[self.start[k] : self.end[k]].tobytes(), digest_size=8).digest()
+                out[k] = int.from_bytes(digest, "little")
+            more = more[~long]
+            out[more] = mix(out[more] * U64(3) + piece(self.start[more] + at, size[more] - at))
+            at += 8
+            more = more[size[more] > at]
+        return out
 
     def document(self) -> np.ndarray:
         """The number of each word's document."""
@@ -140,6 +149,12 @@ def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return docs.mapInArrow(run, schema)
 
 
+def stored(frame: DataFrame, path: str) -> DataFrame:
+    """The rows written to a folder and read back, which cuts the lineage."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def free_names(frame: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until no column of the frame has it in any case."""
     taken, out = {column.lower() for column in frame.columns}, []
