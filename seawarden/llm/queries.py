@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, hard_negatives, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
+from seawarden.llm import bpe, divergence, hard_negatives, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def op10_hilbert_shards(spark, folder):
     return sharding.shard(documents(spark, folder))
 
 
+def op12_source_divergence(spark, folder):
+    return divergence.audit(documents(spark, folder))
+
+
 def op13_fagin_negatives(spark, folder):
     return hard_negatives.mine(hard_negatives.prepare(spark.read.parquet(f"{folder}/embeddings.parquet")))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
         op8_attention_quality,
         op9_katz_backoff,
         op10_hilbert_shards,
+        op12_source_divergence,
         op13_fagin_negatives,
     )
 }
@@ -141,6 +146,45 @@ ORACLE: dict[str, str] = {
                    AND n_words - removed_words >= 0.3 * n_words AS kept
         FROM counted
     """,
+    "op12_source_divergence": rf"""
+        WITH words AS (
+            SELECT row_number() OVER () AS nr, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), counts AS (
+            SELECT lang, source, nr, term, count(*) AS n FROM (SELECT lang, source, nr, unnest(w) AS term FROM words)
+            GROUP BY ALL
+        ), kept AS (
+            SELECT lang, term, sum(n) AS n_lang FROM counts GROUP BY lang, term HAVING count(*) >= 30
+        ), held AS (
+            SELECT lang, source, term, sum(n) AS n FROM counts SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), langs AS (
+            SELECT lang, count(*) AS v, sum(n_lang) AS n_all FROM kept GROUP BY lang
+        ), groups AS (
+            SELECT g.*, coalesce(t.n_group, 0) AS n_group FROM (SELECT DISTINCT lang, source FROM words) g
+            LEFT JOIN (SELECT lang, source, sum(n) AS n_group FROM held GROUP BY ALL) t USING (lang, source)
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+                   (1 + 1000000000::HUGEINT * (coalesce(h.n, 0) + 5) // (g.n_group + 5 * l.v))::BIGINT AS p,
+                   (1 + 1000000000::HUGEINT * (k.n_lang + 5) // (l.n_all + 5 * l.v))::BIGINT AS q
+            FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+            LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+                       FROM shares x JOIN shares y USING (lang, term) GROUP BY ALL) s
+              ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        )
+        SELECT lang, source, 'pair' AS part, item, value,
+               row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank
+        FROM pairs
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q,
+               row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term)::INT AS rank
+        FROM shares WHERE n > 0 AND p > q QUALIFY rank <= 50
+    """,
     "op13_fagin_negatives": """
         WITH whole AS (
             SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
