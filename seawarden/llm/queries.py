@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawarden.llm import bpe, divergence, hard_negatives, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
+from seawarden.llm import bpe, divergence, hard_negatives, jaccard_join, katz, licenses, near_dedup, packing, quality_model, quality_rules, sharding, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def op10_hilbert_shards(spark, folder):
     return sharding.shard(documents(spark, folder))
 
 
+def op11_token_combinations(spark, folder):
+    return jaccard_join.groups(documents(spark, folder))
+
+
 def op12_source_divergence(spark, folder):
     return divergence.audit(documents(spark, folder))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op8_attention_quality,
         op9_katz_backoff,
         op10_hilbert_shards,
+        op11_token_combinations,
         op12_source_divergence,
         op13_fagin_negatives,
     )
