@@ -71,3 +71,37 @@ def speed_drop_counts(df: DataFrame, rows: int = 24, **kwargs) -> DataFrame:
             F.expr("max(BaseDateTime) FILTER (WHERE speed_drop) AS last_drop_time"),
         )
     )
+
+
+def slowdown_episodes(
+    df: DataFrame, rows: int = 24, gap_hours: int = 12, bucket_days: int = 7, key: str = "MMSI", time: str = "BaseDateTime"
+) -> DataFrame:
+    """One row per slowdown: speed drops of a vessel, each at most ``gap_hours`` after the one before.
+
+    Drops are joined inside time buckets first, so a vessel with most of the readings is dealt over as many tasks as
+    it has buckets. What then meets in a window per vessel are the pieces: two of one bucket lie further apart than the
+    gap, so time bounds their number, however many readings there are.
+    """
+    drops = speed_drops(df, rows, key=key, time=time).where("speed_drop")
+    limit = f"{gap_hours * 3600} * 1000000L"
+
+    def islands(pieces: DataFrame, start: str, end: str, by: str) -> DataFrame:
+        """``_island``: numbered anew where a piece starts more than the gap after the end of the one before."""
+        over = f"OVER (PARTITION BY {by} ORDER BY {start})"
+        apart = f"coalesce(unix_micros({start}) - unix_micros(lag({end}) {over}) > {limit}, true)"
+        return add(add(pieces, _new=apart), _island=f"count_if(_new) {over}")
+
+    def joined(pieces: DataFrame, by: str, start: str, end: str, size: str, least: str) -> DataFrame:
+        return pieces.groupBy(*by.split(", "), "_island").agg(
+            F.expr(f"min({start}) AS episode_start"),
+            F.expr(f"max({end}) AS episode_end"),
+            F.expr(f"sum({size}) AS readings"),
+            F.expr(f"min({least}) AS min_sog"),
+        )
+
+    bucketed = add(drops, _bucket=f"floor(unix_micros({time}) / {bucket_days * 86_400_000_000.0}D)")
+    local = joined(islands(bucketed, time, time, f"{key}, _bucket"), f"{key}, _bucket", time, time, "1L", "SOG")
+    whole = islands(local.drop("_island"), "episode_start", "episode_end", key)
+    merged = joined(whole, key, "episode_start", "episode_end", "readings", "min_sog")
+    hours = "(unix_micros(episode_end) - unix_micros(episode_start)) / 3600000000D"
+    return add(merged, hours=hours).select(key, "episode_start", "episode_end", "hours", "readings", "min_sog")

@@ -222,7 +222,7 @@ CTES = {
                ELSE props END::JSON AS forecast,
           CASE WHEN event_id % 13 <> 0 THEN (event_id % 50)::DOUBLE / 10 END AS wave
         FROM events""",
-    "trail": """SELECT MMSI, BaseDateTime, SOG < 3 AND coalesce(before > 8, false) AS dropped
+    "trail": """SELECT MMSI, BaseDateTime, SOG, SOG < 3 AND coalesce(before > 8, false) AS dropped
         FROM (SELECT MMSI, BaseDateTime, SOG,
                 sum(SOG::DECIMAL(38, 12)) OVER past::DOUBLE / nullif(count(*) OVER past, 0) AS before
               FROM silver
@@ -299,6 +299,31 @@ FINAL = {
           ON s.LAT BETWEEN p.lat_min AND p.lat_max AND s.LON BETWEEN p.lon_min AND p.lon_max""",
     "speed_drop_events": """SELECT MMSI, count(*) AS record_count, count(*) FILTER (WHERE dropped) AS speed_drop_events,
           max(BaseDateTime) FILTER (WHERE dropped) AS last_drop_time FROM trail GROUP BY MMSI""",
+    "slowdown_episodes": """SELECT MMSI, min(BaseDateTime) AS episode_start, max(BaseDateTime) AS episode_end,
+          date_diff('second', min(BaseDateTime), max(BaseDateTime)) / 3600.0::DOUBLE AS hours, count(*) AS readings,
+          min(SOG) AS min_sog
+        FROM (SELECT *, sum(CASE WHEN earlier >= BaseDateTime - INTERVAL 12 HOUR THEN 0 ELSE 1 END)
+                     OVER (PARTITION BY MMSI ORDER BY BaseDateTime) AS episode
+              FROM (SELECT MMSI, BaseDateTime, SOG, lag(BaseDateTime) OVER (PARTITION BY MMSI ORDER BY BaseDateTime) AS earlier
+                    FROM trail WHERE dropped))
+        GROUP BY MMSI, episode""",
+    "port_by_wide_box": """SELECT MMSI, BaseDateTime, LAT, LON, area AS watch_area
+        FROM (SELECT s.*, p.port_zone || ' ' || r.area AS area,
+                pow(sin(radians(p.center_lat - LAT) / 2), 2) + cos(radians(LAT)) * cos(radians(p.center_lat))
+                  * pow(sin(radians(p.center_lon - LON) / 2), 2) AS h
+              FROM silver s LEFT JOIN (ports p CROSS JOIN (VALUES ('near', 0.1::DOUBLE), ('coast', 3.0::DOUBLE),
+                                                                 ('sea', 70.0::DOUBLE)) r(area, reach))
+                ON LAT BETWEEN p.center_lat - reach / 4 AND p.center_lat + reach / 4
+                   AND (abs(LON - p.center_lon) <= reach OR abs(LON - p.center_lon) >= 360 - reach))
+        QUALIFY row_number() OVER (PARTITION BY MMSI, BaseDateTime ORDER BY round(h, 15) NULLS LAST, area) = 1""",
+    "vessels_near_obstacles": """SELECT MMSI, VesselName, obstacle_name, obstacle_type, severity, radius_km::DOUBLE AS radius_km,
+          round(km, 3) AS distance_km
+        FROM (SELECT v.*, o.*, 2 * 6371 * atan2(sqrt(h), sqrt(1 - h)) AS km
+              FROM (SELECT s.*, p.port_zone,
+                      pow(sin(radians(p.center_lat - latest_lat) / 2), 2) + cos(radians(latest_lat))
+                        * cos(radians(p.center_lat)) * pow(sin(radians(p.center_lon - latest_lon) / 2), 2) AS h
+                    FROM profiles s CROSS JOIN ports p) v JOIN obstacles o ON o.port_zone = v.port_zone)
+        WHERE km <= radius_km""",
     "weather_asof": f"""SELECT MMSI, PortZone, latest_time, obs_time, {', '.join(_W)}, weather_imputed FROM weathered""",
     "weather_by_cell": f"""SELECT MMSI, latest_time, w.obs_time,
           coalesce(w.wind, {_W['wind_speed_kmh']})::DOUBLE AS wind_speed_kmh,

@@ -83,10 +83,44 @@ def port_by_box(spark, folder):
     return boxed.select("MMSI", "BaseDateTime", "LAT", "LON", "PortZone", "box_port")
 
 
+def port_by_wide_box(spark, folder):
+    """Positions in watch areas of very different size around the ports, some of them across the date line."""
+    reach = "inline(array(struct('near' AS area, 0.1D AS reach), struct('coast' AS area, 3D AS reach), struct('sea' AS area, 70D AS reach)))"
+    areas = reference.port_zones(spark).selectExpr("port_zone AS port", "center_lat", "center_lon", reach)
+    areas = areas.selectExpr(
+        "concat(port, ' ', area) AS port_zone",
+        "center_lat",
+        "center_lon",
+        "center_lat - reach / 4 AS lat_min",
+        "center_lat + reach / 4 AS lat_max",
+        "if(center_lon - reach < -180, center_lon - reach + 360, center_lon - reach) AS lon_min",
+        "center_lon + reach AS lon_max",
+    )
+    boxed = proximity.assign_box(_silver(spark, folder), areas, into="watch_area")
+    return boxed.select("MMSI", "BaseDateTime", "LAT", "LON", "watch_area")
+
+
+def vessels_near_obstacles(spark, folder):
+    """Vessels whose latest position lies within an obstacle's radius."""
+    centres = reference.port_zones(spark).select("port_zone", "center_lat", "center_lon")
+    obstacles = reference.maritime_obstacles(spark).join(centres, "port_zone").selectExpr(
+        "obstacle_name", "obstacle_type", "severity", "cast(radius_km AS double) AS radius_km", "center_lat", "center_lon"
+    )
+    vessels = profile.summarise(_silver(spark, folder)).select("MMSI", "VesselName", "latest_lat", "latest_lon")
+    near = proximity.within_radius(vessels, obstacles)
+    return replace(near, {"distance_km": "round(distance_km, 3)"}).select(
+        "MMSI", "VesselName", "obstacle_name", "obstacle_type", "severity", "radius_km", "distance_km"
+    )
+
+
 def speed_drop_events(spark, folder):
     return trailing.speed_drop_counts(_silver(spark, folder))
 
 
+def slowdown_episodes(spark, folder):
+    return trailing.slowdown_episodes(_silver(spark, folder))
+
+
 # --- weather -----------------------------------------------------------------------------------
 
 
@@ -383,7 +417,10 @@ QUERIES: dict[str, Query] = {
         fine_speed_profile,
         port_distance,
         port_by_box,
+        port_by_wide_box,
+        vessels_near_obstacles,
         speed_drop_events,
+        slowdown_episodes,
         weather_asof,
         weather_by_cell,
         weather_json,

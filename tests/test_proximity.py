@@ -7,8 +7,9 @@ from hypothesis import given, settings, strategies as st
 
 from seawarden import fixed_values as fixed
 from seawarden.functions.geo import distance_km
-from seawarden.operators import proximity
+from seawarden.operators import cells, proximity
 from seawarden.sources import reference, schemas
+from tests.conftest import plan_of
 
 COORDINATES = "a double, b double, c double, d double"
 
@@ -114,3 +115,66 @@ def test_dense_boxes_stay_rows(spark):
         if port:
             at, best = centres[port], centres[expected]
             assert km(lat, lon, at.center_lat, at.center_lon) == km(lat, lon, best.center_lat, best.center_lon)
+
+
+def around(lon, low, high):
+    return low <= lon <= high if low <= high else lon >= low or lon <= high
+
+
+@pytest.mark.parametrize("cell", [1.0, 0.25, 40.0])
+def test_boxes_of_any_size_and_across_the_date_line(spark, cell):
+    pick = random.Random(3)
+    boxes = []
+    for i in range(60):
+        lat, lon = pick.uniform(-80, 80), pick.uniform(-180, 180)
+        high, wide = pick.choice([0.01, 0.4, 3, 9]), pick.choice([0.01, 0.7, 5, 60, 150])
+        low, top = lon - wide, lon + wide
+        boxes.append((f"P{i:02d}", lat, lon, max(lat - high, -90.0), min(lat + high, 90.0), low + 360 if low < -180 else low, top - 360 if top > 180 else top, ""))
+    boxes += [("world", 0.0, 0.0, -90.0, 90.0, -180.0, 180.0, ""), ("line", 10.0, 180.0, 5.0, 15.0, 179.0, -179.0, "")]
+    boxes += [("none", 0.0, 0.0, 5.0, 1.0, 0.0, 1.0, ""), ("unknown", None, None, None, None, None, None, "")]
+    at = [(i, pick.uniform(-90, 90), pick.uniform(-180, 180)) for i in range(400)]
+    at += [(1000 + i, b[3], b[5]) for i, b in enumerate(boxes[:60])] + [(2000 + i, b[4], b[6]) for i, b in enumerate(boxes[:60])]
+    at += [(3000, 10.0, 180.0), (3001, 10.0, -180.0), (3002, 10.0, 179.5), (3003, 10.0, -179.5), (3004, None, 1.0)]
+    df = spark.createDataFrame(at, "id long, LAT double, LON double")
+    real = [b for b in boxes if b[1] is not None]
+
+    def best(lat, lon):
+        held = [(haversine(lat, lon, b[1], b[2]), b[0]) for b in real if b[3] <= lat <= b[4] and around(lon, b[5], b[6])]
+        return min(held)[1] if held else None
+
+    got = {r.id: r.box_port for r in proximity.assign_box(df, spark.createDataFrame(boxes, schemas.PORT_ZONES), cell_degrees=cell).collect()}
+    assert got == {i: None if lat is None else best(lat, lon) for i, lat, lon in at}
+    assert got[3002] == got[3003] == "line" and got[3004] is None
+
+
+def test_a_box_is_listed_in_four_cells_at_most(spark):
+    boxes = [(f"B{i}", 0.0, 0.0, -80.0 + i, -80.0 + i + 0.3 * 1.3**i % 90, -170.0, -170.0 + 0.01 * 1.5**i % 340, "") for i in range(25)]
+    listed = cells.cover(spark.createDataFrame(boxes, schemas.PORT_ZONES), 1.0).groupBy("port_zone").count().collect()
+    assert len(listed) == 25 and max(r["count"] for r in listed) <= 4
+
+
+def test_no_boxes(spark):
+    df = spark.createDataFrame([(30.1, -90.1)], "LAT double, LON double")
+    assert proximity.assign_box(df, spark.createDataFrame([], schemas.PORT_ZONES)).first().box_port is None
+
+
+def test_circles_equal_all_pairs(spark):
+    """Circles of any size, at the poles and across the date line."""
+    pick = random.Random(5)
+    circles = [(f"C{i}", pick.uniform(-90, 90), pick.uniform(-180, 180), pick.choice([0.0, 1.0, 30.0, 400.0, 3000.0])) for i in range(80)]
+    circles += [("north", 89.9, 10.0, 500.0), ("south", -90.0, 0.0, 50.0), ("line", 0.0, 179.99, 100.0), ("half", 10.0, 20.0, 11000.0)]
+    circles += [("all", 1.0, 2.0, 30000.0), ("unknown", None, 1.0, 5.0), ("endless", 1.0, 1.0, None)]
+    at = [(i, pick.uniform(-90, 90), pick.uniform(-180, 180)) for i in range(300)] + [(400 + i, c[1], c[2]) for i, c in enumerate(circles[:80])]
+    at += [(900, 0.0, -179.9), (901, 90.0, 0.0), (902, -90.0, 77.0), (903, 89.0, -170.0), (904, None, 0.0)]
+    df = spark.createDataFrame(at, "id long, latest_lat double, latest_lon double")
+    table = spark.createDataFrame(circles, "name string, center_lat double, center_lon double, radius_km double")
+    found = proximity.within_radius(df, table)
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+    got = sorted((r.id, r.name) for r in found.collect())
+    expected = [
+        (i, name)
+        for i, lat, lon in at
+        for name, a, b, radius in circles
+        if lat is not None and a is not None and radius is not None and haversine(lat, lon, a, b) <= radius + 1e-9
+    ]
+    assert got == sorted(expected)

@@ -67,3 +67,31 @@ def test_both_branches_share_the_bucket_shuffle(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("seed, days, gap", [(1, 7, 12), (2, 1, 1), (3, 1, 30), (4, 30, 3)])
+def test_episodes_equal_brute_force(spark, seed, days, gap):
+    """Drops are joined by their gaps alone, wherever the borders of time buckets lie."""
+    data = tracks(seed)
+    mean = brute_force(data, 24)
+    expected, last = [], {}
+    for vessel, time, speed in sorted(data):
+        if speed < 3 and mean[vessel, time] is not None and mean[vessel, time] > 8:
+            if vessel in last and time - last[vessel][2] <= timedelta(hours=gap):
+                episode = last[vessel]
+                episode[2], episode[3], episode[4] = time, episode[3] + 1, min(episode[4], speed)
+            else:
+                last[vessel] = [vessel, time, time, 1, speed]
+                expected.append(last[vessel])
+    df = spark.createDataFrame(data, SCHEMA).repartition(6)
+    got = trailing.slowdown_episodes(df, gap_hours=gap, bucket_days=days).collect()
+    assert sorted((r.MMSI, r.episode_start, r.episode_end, r.readings, r.min_sog) for r in got) == sorted(map(tuple, expected))
+    assert all(r.hours == (r.episode_end - r.episode_start).total_seconds() / 3600 for r in got) and len(got) > 5
+
+
+def test_readings_of_one_vessel_are_dealt_over_its_buckets(spark):
+    """Before the window per vessel, drops have been joined per bucket."""
+    df = spark.createDataFrame(tracks(1), SCHEMA)
+    plan = trailing.slowdown_episodes(df)._jdf.queryExecution().optimizedPlan().toString()
+    outer = plan[: plan.index("_bucket")]
+    assert "Window" in outer and "Aggregate" in outer

@@ -150,3 +150,32 @@ def test_large_sides_join_without_broadcast(spark):
         assert found(spark, vessels, observations) == expected == brute_force(vessels, observations)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("page, node, bucket_hours", [(256, 1024, 24), (4, 3, 1), (1, 2, 1000), (7, 5, 24)])
+def test_dense_feed_in_small_pages(spark, monkeypatch, page, node, bucket_hours):
+    """One observation a second at one place, others far off: equal to brute force, and no long list."""
+    monkeypatch.setattr(weather, "PAGE", page)
+    monkeypatch.setattr(weather, "NODE", node)
+    pick = random.Random(page)
+    observations = [("A", START + timedelta(seconds=n), float(n)) for n in range(3000)]
+    observations += [("B", minute(pick.randrange(10**6)), float(n)) for n in range(40)]
+    observations += [("A", datetime(1970, 1, 2), -1.0), ("A", datetime(9999, 12, 30), -2.0), ("C", START, 5.0)]
+    vessels = [(i, pick.choice("AAABCD"), START + timedelta(milliseconds=pick.randrange(-(10**6), 4 * 10**6))) for i in range(300)]
+    vessels += [(900 + i, "A", datetime(1900 + 40 * i, 1, 1)) for i in range(10)] + [(990, "A", datetime(9999, 12, 31))]
+    assert found(spark, vessels, observations, bucket_hours=bucket_hours) == brute_force(vessels, observations)
+    seen = spark.createDataFrame(observations, OBSERVED).selectExpr("port_zone AS _by", "obs_time AS _at", "struct(obs_time) AS _obs")
+    leaves, nodes, roots = weather.pages(seen, bucket_hours)
+    assert leaves.selectExpr("max(size(_seen))").first()[0] == min(page, 3002)
+    assert nodes.selectExpr("max(size(_pages))").first()[0] == min(node, -(-3002 // page))
+    assert roots.selectExpr("max(size(_nodes))").first()[0] == -(-3002 // (page * node))
+
+
+def test_a_lonely_date_adds_no_rows(spark):
+    """Observations thousands of years apart are as many entries as there are observations."""
+    observations = [("A", datetime(1, 1, 1), 1.0), ("A", datetime(9999, 12, 31), 2.0)]
+    seen = spark.createDataFrame(observations, OBSERVED).selectExpr("port_zone AS _by", "obs_time AS _at", "struct(obs_time) AS _obs")
+    leaves, nodes, roots = weather.pages(seen, 1)
+    assert (leaves.count(), nodes.count(), roots.count()) == (1, 1, 1)
+    plan = plan_of(weather.as_of(spark.createDataFrame([(1, "A", START)], VESSELS), spark.createDataFrame(observations, OBSERVED), by="place", on="seen", values=VALUES))
+    assert "sequence(" not in plan and "Generate" not in plan
