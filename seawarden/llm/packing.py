@@ -4,8 +4,10 @@ Documents are cut into full windows and one remainder. Best-fit decreasing treat
 it is run once over the *histogram* of lengths, which has at most ``window`` entries whatever the input: a
 segment tree over remaining capacities finds the tightest open windows, and whole runs of equal pieces go into
 whole runs of equal windows. The result is a short list of rules (length, ranks, windows, offset). Every piece
-then finds its window from its rank among the pieces of its length; ranks are counted in parallel. Pieces keep
-their ids all the way, so a sequence is its pieces' ids at their offsets, and padding after the last.
+then finds its window from its rank among the pieces of its length: its number in its task, which tasks give while
+they cut, plus the pieces of that length in the tasks before, which is counted from the lengths alone. So ids are
+written once, where they are made, and neither shuffled nor sorted. Pieces keep them, so a sequence is its pieces'
+ids at their offsets, and padding after the last.
 
 Defined cases: a null or empty text is the single closing id; repeated rows are packed as often as they occur;
 an empty table gives no rows; other columns are not read.
@@ -18,7 +20,10 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +34,10 @@ WINDOW = 4096
 CLOSING_ID = 2
 #: Words whose ids a worker remembers, in each of two generations.
 REMEMBERED = 150_000
-#: Pieces of one length that one task numbers, about.
-PART_ROWS = 500_000
-#: Ids of pieces of one length in one task, about.
-PART_IDS = 50_000_000
+#: Longest word that is remembered, in characters.
+LONGEST_REMEMBERED = 64
+#: Documents and bytes of text that are cut at once.
+PART_ROWS, PART_BYTES = 10_000, 8 << 20
 
 #: Letters and numbers up to U+017F, where lower case and composition need no table; white space among them.
 _LATIN, _DIGITS, _WHITE = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾", " \t-\r\x85\xa0"
@@ -137,37 +142,88 @@ def _tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-PIECES = "doc_id long, start long, length long, ids array<int>, doc_tokens long"
-PACKED = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+PIECES = (
+    "doc_id long, start long, length long, ids array<int>, doc_tokens long, ids_crc32 long, task int, nth long"
 )
-#: Rows of pieces that a Python worker works on at once, about 16 KB each at most.
-ROWS = 1000
+PACKED = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, closing: int = CLOSING_ID) -> DataFrame:
-    """Full windows and the remainder of each document, in the order of its ids."""
-    end = np.asarray([closing], "<u4").tobytes()
+def encode(texts_: pa.Array, known: WordTokenizer, closing: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of some texts, each followed by the closing id, and where each text's ids end.
+
+    Every distinct word is looked up once; those that come again are remembered for later texts.
+    """
+    split = pc.ascii_split_whitespace(texts_)
+    words = split.flatten().dictionary_encode()
+    place = words.indices.to_numpy()
+    distinct = words.dictionary.to_pylist()
+    often = np.bincount(place, minlength=len(distinct)) > 1
+    look, work = known.words.__getitem__, known.word
+    found = [
+        look(w) if again and len(w) <= LONGEST_REMEMBERED else work(w)
+        for w, again in zip(distinct, often.tolist(), strict=True)
+    ]
+    found.append(np.asarray([closing], "<u4").tobytes())
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    first = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(found), "<i4")
+    ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+    place = np.insert(place, ends, len(distinct))
+    many = sizes[place]
+    total = np.cumsum(many)
+    ids = flat[np.repeat(first[place] - (total - many), many) + np.arange(total[-1])]
+    return ids, total[ends + np.arange(len(ends))]
+
+
+def _numbers(lengths: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Each piece's number among those of its length, counted on from ``met``, which is brought up to date."""
+    order = np.argsort(lengths, kind="stable")
+    run = lengths[order]
+    opens = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    sizes = np.diff(np.append(opens, len(run)))
+    out = np.empty(len(lengths), np.int64)
+    out[order] = np.arange(len(run)) - np.repeat(opens - met[run[opens]], sizes)
+    met[run[opens]] += sizes
+    return out
+
+
+def pieces(
+    docs: DataFrame, tokenizer: str, window: int = WINDOW, closing: int = CLOSING_ID, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """Full windows and the remainder of each document, in the order of its ids, numbered by task and length."""
 
     def cut(batches):
+        known, task = _tokenizer(tokenizer), TaskContext.get().partitionId()
+        met = np.zeros(window + 1, np.int64)
         for batch in batches:
-            encode = _tokenizer(tokenizer).ids
-            for first in range(0, batch.num_rows, ROWS):
-                some = batch.slice(first, ROWS)
-                rows: list[list[int]] = [[], [], [], []]
-                flat = []
-                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"], strict=True):
-                    ids = encode(text.as_py() or "") + end
-                    flat.append(ids)
-                    count = len(ids) // 4
-                    for start in range(0, count, window):
-                        for column, value in zip(rows, (doc_id, start, min(window, count - start), count), strict=True):
-                            column.append(value)
-                doc_ids, starts, lengths, counts = (pa.array(column, pa.int64()) for column in rows)
-                ends = np.concatenate([[0], np.cumsum(lengths.to_numpy())]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(flat), "<i4")))
-                columns = {"doc_id": doc_ids, "start": starts, "length": lengths, "ids": ids, "doc_tokens": counts}
-                yield texts.table(None, columns)
+            column = batch["text"].fill_null("")
+            for first, last in texts.chunks(texts.string_bytes(column)[1], PART_BYTES):
+                for a in range(first, last, part_rows):
+                    some = slice(a, min(a + part_rows, last))
+                    ids, ends = encode(column[some], known, closing)
+                    counts = np.diff(ends, prepend=0)
+                    many = -(-counts // window)
+                    doc = np.repeat(np.arange(len(counts)), many)
+                    nth = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                    start = nth * window
+                    lengths = np.minimum(window, counts[doc] - start)
+                    stops = np.cumsum(lengths)
+                    raw = memoryview(ids).cast("B")
+                    columns = {
+                        "doc_id": batch["doc_id"][some].take(pa.array(doc)),
+                        "start": pa.array(start),
+                        "length": pa.array(lengths),
+                        "ids": pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(ids)),
+                        "doc_tokens": pa.array(counts[doc]),
+                        "ids_crc32": pa.array(
+                            [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(stops.tolist(), lengths.tolist(), strict=True)],
+                            pa.int64(),
+                        ),
+                        "task": pa.array(np.full(len(doc), task, np.int32)),
+                        "nth": pa.array(_numbers(lengths, met)),
+                    }
+                    yield texts.table(None, columns)
+        _tokenizers.clear()  # workers live on, and share an executor's memory with later stages
         pa.default_memory_pool().release_unused()
 
     ship_package(docs.sparkSession)
@@ -244,52 +300,30 @@ def best_fit_rules(histogram: dict[int, int], window: int = WINDOW) -> list[tupl
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, part_rows: int = PART_ROWS) -> DataFrame:
     """Every piece of every document with its sequence and offset, its ids and their crc32."""
-    spark = docs.sparkSession
-    stored = shared_folder(spark, "packing")
-    pieces(docs, tokenizer, window).write.parquet(stored)
-    cut = spark.read.parquet(stored)
-
-    histogram = {row["length"]: row["count"] for row in cut.groupBy("length").count().collect()}
-    rules = best_fit_rules(histogram, window)
-    parts = spark.createDataFrame(
-        [(n, max(-(-count // part_rows), -(-count * n // PART_IDS))) for n, count in histogram.items()],
-        "h_length long, parts long",
-    )
-    dealt = cut.join(F.broadcast(parts), F.col("length") == F.col("h_length")).select(
-        *cut.columns, F.pmod(F.xxhash64("doc_id", "start"), F.col("parts")).alias("part")
-    )
-    ahead = Window.partitionBy("c_length").orderBy("c_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy(F.col("length").alias("c_length"), F.col("part").alias("c_part")).agg(
-        F.count("*").alias("rows")
+    cut = texts.stored(
+        pieces(docs, tokenizer, window, part_rows=part_rows), shared_folder(docs.sparkSession, "packing")
     )
-    before = counts.select("c_length", "c_part", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"))
-    own = Window.partitionBy("length", "part").orderBy("doc_id", "start", F.xxhash64("ids"))
-    matched = (F.col("length") == F.col("c_length")) & (F.col("part") == F.col("c_part"))
-    ranked = (
-        dealt.withColumn("own_rank", F.row_number().over(own) - 1)
-        .join(before, matched)
-        .select(*cut.columns, (F.col("before") + F.col("own_rank")).alias("rank"))
-    )
-    return _apply(ranked, rules)
-
-
-def _apply(ranked: DataFrame, rules: list[tuple]) -> DataFrame:
-    """Look each piece's rank up in the rules, of which there are a bounded number for a given window."""
+    counts = cut.groupBy("length", "task").agg(F.count("*").alias("rows"))
+    histogram = {row["length"]: row["n"] for row in counts.groupBy("length").agg(F.sum("rows").alias("n")).collect()}
+    ahead = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("length", "task", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"))
+    placed = cut.join(before, ["length", "task"])
+    place = _placing(best_fit_rules(histogram, window))
+    placed = placed.withColumn("place", place("length", F.col("before") + F.col("nth")))
+    placed = placed.withColumns({"sequence_id": F.col("place.sequence_id"), "offset": F.col("place.offset")})
+    return placed.select(*PACKED)
+
+
+def _placing(rules: list[tuple]):
+    """Sequence and offset of a piece by its length and rank, from rules, of which there are few for a given window."""
     table = np.asarray(sorted(rules), np.int64).reshape(-1, 6)
     step = np.int64(1) << np.int64(46)
 
-    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
-        rule = table[np.searchsorted(table[:, 0] * step + table[:, 1], length * step + rank, "right") - 1]
-        nth = rank - rule[:, 1]
-        flat = batch["ids"].flatten().to_numpy().astype("<i4", copy=False)
-        ends = np.cumsum(length)
-        digests = [zlib.crc32(flat[a:b]) for a, b in zip(ends - length, ends, strict=True)]
-        columns = {"ids_crc32": pa.array(digests, pa.int64())}
-        columns |= {name: batch[name] for name in batch.schema.names if name != "rank"}
-        columns["sequence_id"] = pa.array(rule[:, 3] + nth // rule[:, 4])
-        columns["offset"] = pa.array(rule[:, 5] + nth % rule[:, 4] * length)
-        return texts.table(None, {name: columns[name] for name in names})
-
-    names = [part.split()[0] for part in PACKED.split(", ")]
-    return texts.per_batch(ranked, place, PACKED)
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        size, nth = length.to_numpy(), rank.to_numpy()
+        rule = table[np.searchsorted(table[:, 0] * step + table[:, 1], size * step + nth, "right") - 1]
+        nth = nth - rule[:, 1]
+        return pd.DataFrame({"sequence_id": rule[:, 3] + nth // rule[:, 4], "offset": rule[:, 5] + nth % rule[:, 4] * size})
+
+    return place
