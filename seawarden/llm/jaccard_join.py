@@ -46,6 +46,8 @@ VERY = 16
 GROUP_TOKENS, LEVEL = 10, 4
 #: Nodes and bytes of sets in a block, and common tokens counted at once.
 BLOCK_NODES, BLOCK_BYTES, AT_ONCE = 4096, 32 << 20, 4_000_000
+#: Nodes of one signature in a part, about.
+SPLIT_NODES = 1_000_000
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -130,42 +132,46 @@ def count_cells(blocks: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def signatures(tokens: np.ndarray, frequencies: Frequencies) -> np.ndarray:
+def signatures(tokens: np.ndarray, frequencies: Frequencies) -> tuple[np.ndarray, np.ndarray]:
     """Single tokens and token combinations of a set's prefix: two linked sets have one in common.
 
+    With each, the place of its rarest token in the order, which says how many sets can have it.
+
     Of n tokens a linked set lacks at most n - ceil(0.8 n). A prefix that counts one more, where a group of a class
     counts all its tokens but k - 1, therefore holds a token or a combination that the other set's prefix holds too.
     Sets of less than four tokens are linked with equal sets only, which are one node.
     """
     n = len(tokens)
     if n < 4:
-        return np.zeros(0, U64)
+        return np.zeros(0, U64), np.zeros(0, np.uint8)
     needed = n - -(-SIMILARITY * n // 100) + 1
     order, kind = frequencies.of(tokens)
     rare = np.flatnonzero(kind == 1)
     if len(rare) >= needed:
-        return tokens[rare[np.lexsort((tokens[rare], order[rare]))[:needed]]]
+        rare = rare[np.lexsort((tokens[rare], order[rare]))[:needed]]
+        return tokens[rare], order[rare]
     needed -= len(rare)
     others = np.flatnonzero(kind > 1)
     others = others[np.lexsort((tokens[others], order[others], kind[others]))]
-    out = [tokens[rare]]
+    out, places = [tokens[rare]], [order[rare]]
     for level in _levels(n):
         groups = max(1, LEVEL**level // GROUP_TOKENS)
         met: dict[tuple, list] = {}
         counted = 0
-        for token, k in zip(tokens[others].tolist(), kind[others].tolist(), strict=True):
+        for token, k, at in zip(tokens[others].tolist(), kind[others].tolist(), others.tolist(), strict=True):
             group = met.setdefault((k, token % groups), [])
-            group.append(token)
+            group.append(at)
             counted += len(group) >= k
             if counted >= needed:
                 break
         for (k, _), group in met.items():
-            picked = np.asarray(list(combinations(sorted(group), k)), U64).reshape(-1, k)
+            picked = np.asarray(list(combinations(sorted(group), k)), np.int64).reshape(-1, k)
             folded = np.full(len(picked), level * 4 + k, U64)
             for column in picked.T:
-                folded = texts.mix(folded * U64(3) + column)
+                folded = texts.mix(folded * U64(3) + tokens[column])
             out.append(folded)
-    return np.concatenate(out)
+            places.append(order[picked].min(axis=1, initial=255))
+    return np.concatenate(out), np.concatenate(places)
 
 
 def _levels(n: int) -> list[int]:
@@ -181,26 +187,63 @@ def _levels(n: int) -> list[int]:
 
 
 def index(reps: DataFrame, frequencies: Frequencies, size: int) -> DataFrame:
-    """sig, node and typical (greater for sets of more frequent tokens) of every signature of every node."""
-    shared = reps.sparkSession.sparkContext.broadcast(frequencies)
+    """sig, part, typical (greater for sets of more frequent tokens) and node of every signature of every node.
+
+    A signature that very many sets can have is dealt over parts.
+    """
+    shared, split = reps.sparkSession.sparkContext.broadcast(frequencies), SPLIT_NODES
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = shared.value
         nodes = batch["node"].to_numpy()
-        found, typical = [], []
-        for tokens, node in zip(sets(*texts.string_bytes(batch["text"]), size), nodes.tolist(), strict=True):
-            found.append(signatures(tokens, known))
-            mean = known.of(tokens)[0].mean() if len(tokens) else 0.0
-            typical.append((int(mean * 256) << 40) | (node & (1 << 40) - 1))
+        found, places, typical = [], [], []
+        for tokens in sets(*texts.string_bytes(batch["text"]), size):
+            sigs, place = signatures(tokens, known)
+            found.append(sigs)
+            places.append(place)
+            typical.append(int(256 * known.of(tokens)[0].mean()) if len(tokens) else 0)
         many = [len(s) for s in found]
+        node = np.repeat(nodes, many)
+        parts = 1 + (np.exp2(np.concatenate(places) / 8.0) / split).astype(np.int64)
         columns = {
             "sig": pa.array(np.concatenate(found).view(np.int64)),
-            "node": pa.array(np.repeat(nodes, many)),
-            "typical": pa.array(np.repeat(np.asarray(typical, np.int64), many)),
+            "part": pa.array(np.where(parts > 1, 1 + node % parts, 0).astype(np.int32)),
+            "typical": pa.array(np.repeat(np.asarray(typical, np.int32), many)),
+            "node": pa.array(node),
         }
         return texts.table(None, columns)
 
-    return texts.per_batch(reps.select("node", "text"), run, "sig long, node long, typical long")
+    return texts.per_batch(reps.select("node", "text"), run, "sig long, part int, typical int, node long")
+
+
+def hubs(indexed: DataFrame) -> DataFrame:
+    """Distinct (sig, hub, node): the nodes of each signature with its hub, the most typical of them.
+
+    Signatures are dealt by hash and sorted, and pass by in a stream. Each part of a signature has a hub of its own;
+    only such rows name the signature, so that its parts can be brought together.
+    """
+
+    def run(batches):
+        last = (None, None, None)
+        for batch in batches:
+            sig, part, node = (batch[name].to_numpy() for name in ("sig", "part", "node"))
+            new = np.ones(len(sig), bool)
+            new[1:] = (sig[1:] != sig[:-1]) | (part[1:] != part[:-1])
+            hub = node[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
+            if len(sig) and last[:2] == (sig[0], part[0]):
+                hub[: np.argmax(new[1:]) + 1 if new[1:].any() else len(hub)] = last[2]
+            if len(sig):
+                last = (sig[-1], part[-1], hub[-1])
+            listed = (hub != node) | (part > 0)
+            columns = {
+                "sig": pa.array(sig[listed], mask=part[listed] == 0),
+                "hub": pa.array(hub[listed]),
+                "node": pa.array(node[listed]),
+            }
+            yield texts.table(None, columns)
+
+    sorted_rows = indexed.repartition("sig", "part").sortWithinPartitions("sig", "part", F.desc("typical"), "node")
+    return sorted_rows.mapInArrow(run, "sig long, hub long, node long").distinct()
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -282,10 +325,13 @@ def _links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def hub_links(members: DataFrame, whole: DataFrame, work: str) -> DataFrame:
-    """Links (a, b) that connect all linked nodes that share a hub. ``members``: distinct hub, node and n."""
+def hub_links(members: DataFrame, whole: DataFrame, work: str, block_nodes: int | None = None) -> DataFrame:
+    """Links (a, b) that connect all linked nodes that share a hub.
+
+    ``members``: distinct hub, node and n, the hub itself among its nodes; ``whole``: node and its set.
+    """
     size = members.groupBy("hub").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
+    blocks = F.greatest(F.ceil(F.col("nodes") / (block_nodes or BLOCK_NODES)), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
     size = stored(size.select("hub", blocks.alias("blocks")), f"{work}/hubs")
     members = members.join(size, "hub").withColumn("label", F.col("node"))
     first = None
@@ -320,12 +366,11 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     nodes = nodes.agg(F.min("doc_id").alias("doc_id"), F.min_by("content", "doc_id").alias("content"))
     nodes = stored(nodes, f"{work}/nodes")
 
-    indexed = stored(index(_texts_of(docs, nodes), frequencies, size), f"{work}/index")
-    hubs = indexed.groupBy(F.col("sig").alias("h_sig")).agg(
-        F.count("*").alias("held"), F.max_by("node", "typical").alias("hub")
-    )
-    hubs = hubs.where("held > 1").drop("held")
-    met = indexed.join(hubs, F.col("sig") == F.col("h_sig")).where("node <> hub").select("hub", "node").distinct()
+    met = stored(hubs(index(_texts_of(docs, nodes), frequencies, size)), f"{work}/listed")
+    split = met.where("sig IS NOT NULL")
+    top = split.groupBy(F.col("sig").alias("h_sig")).agg(F.max("hub").alias("top"))
+    split = split.join(top, F.col("sig") == F.col("h_sig")).select(F.col("top").alias("hub"), "node")
+    met = met.where("sig IS NULL").select("hub", "node").union(split).where("hub <> node").distinct()
     met = stored(met, f"{work}/met")
     members = met.union(met.select("hub", F.col("hub").alias("node")).distinct())
     members = stored(members.join(nodes.select("node", "n"), "node"), f"{work}/members")

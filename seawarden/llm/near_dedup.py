@@ -4,11 +4,10 @@ A document's set holds the hashes of its word shingles. Two permutations make al
 first scatters shingles over slots, the second orders the slots and is shifted circularly by k places for
 coordinate k, so a coordinate is the least value of one table read at another offset.
 
-Documents with equal sets are one node from then on. Nodes that agree in all rows of a band share a bucket. In
-each bucket every node is compared with the bucket's first node, and the found links joined into components.
-Buckets that still hold several components are then searched within: common shingles of their nodes are counted
-through inverted indexes, and links between components come out. So no link between components is lost, and the
-pairs inside one are never listed. Links are confirmed on full sets of whole texts.
+Documents with equal sets are one node from then on. Nodes that agree in all rows of a band share a bucket, and
+the nodes of a bucket meet at its first node. All nodes that meet at one node are compared on their full sets, in
+blocks of bounded size, once however many buckets brought them there, and links that join components come out. So no
+link between nodes of one bucket is lost, and none is listed that joins nothing.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer
 words than a shingle make one shingle; rows without doc_id are linked with nothing and have no component;
@@ -26,19 +25,15 @@ from pyspark.sql import functions as F
 
 from seawarden.llm import texts
 from seawarden.llm.components import components
-from seawarden.session import shared_folder, ship_package
+from seawarden.llm.jaccard_join import hub_links, sets
+from seawarden.session import shared_folder
 
 SHINGLE_WORDS = 5
-#: Percent of the union that two sets must share.
-SIMILARITY = 80
 #: At the least similarity, a link shares no band with probability (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
 SLOTS = 1 << 21
-#: Five standard deviations of the signature estimate below the least similarity.
-MARGIN = 0.16
-#: Nodes in a block of a large bucket, and shingle occurrences that are counted at once.
-BLOCK = 512
-POSTINGS = 1_000_000
+#: Nodes in a block of a large group.
+BLOCK = 4096
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 U64 = np.uint64
@@ -56,17 +51,6 @@ def signature(shingles: np.ndarray) -> bytes:
     return (texts.mix(least.astype(U64) + U64(1)) & U64(255)).astype(np.uint8).tobytes()
 
 
-def sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
-    """The shingle set of each document: sorted hashes over words with A-Z lower-cased."""
-    out = []
-    for first, last in texts.chunks(offsets):
-        part = texts.LOWER[raw[offsets[first] : offsets[last]]]
-        words = texts.Words(part, offsets[first : last + 1] - offsets[first])
-        hashes = words.hashes()
-        out += [texts.shingles(hashes[a:b], size) for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
-    return out
-
-
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, content (a hash of the text), n_shingles, node (a hash of the set) and signature of each row."""
 
@@ -87,126 +71,6 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return texts.per_batch(rows, run, "doc_id long, content long, n_shingles long, node long, signature binary")
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose signatures agree enough to be linked."""
-    least = SIMILARITY / 100 - MARGIN
-    one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("s_a"), F.col("n").alias("n_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("s_b"), F.col("n").alias("n_b"))
-    sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY
-    joined = pairs.join(one, "a").join(two, "b").where(sized)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s_a = np.frombuffer(b"".join(batch["s_a"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-        s_b = np.frombuffer(b"".join(batch["s_b"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-        near = (s_a == s_b).mean(axis=1) >= least
-        return pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(near))
-
-    return texts.per_batch(joined.select("a", "b", "s_a", "s_b"), run, "a long, b long")
-
-
-def _verified(pairs: DataFrame, contents: DataFrame, size: int) -> DataFrame:
-    """Of pairs (a, b), those whose full sets are similar enough."""
-    one = contents.select(F.col("node").alias("a"), F.col("text").alias("t_a"))
-    two = contents.select(F.col("node").alias("b"), F.col("text").alias("t_b"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "t_a", "t_b")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        linked, known, known_set = [], None, None
-        for b, t_a, t_b in zip(batch["b"].to_pylist(), batch["t_a"], batch["t_b"], strict=True):
-            if b != known:
-                known, known_set = b, _set(t_b, size)
-            common = len(np.intersect1d(own := _set(t_a, size), known_set, assume_unique=True))
-            linked.append(100 * common >= SIMILARITY * (len(own) + len(known_set) - common))
-        return pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return texts.per_batch(joined, run, "a long, b long")
-
-
-def _set(text: pa.Scalar, size: int) -> np.ndarray:
-    raw = np.frombuffer(text.as_py().encode(), np.uint8)
-    return sets(raw, np.asarray([0, len(raw)]), size)[0]
-
-
-def _short_sets(contents: DataFrame, size: int) -> DataFrame:
-    """node and its set as sorted 32-bit hashes, to be compared within buckets before links are confirmed."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = sets(*texts.string_bytes(batch["text"]), size)
-        packed = [np.sort((s >> U64(32)).astype(np.uint32)).tobytes() for s in found]
-        return texts.table(None, {"s_node": batch["node"], "short": pa.array(packed, pa.binary())})
-
-    return texts.per_batch(contents, run, "s_node long, short binary")
-
-
-def _links_within(group: pa.Table) -> pa.Table:
-    """For each outside node of a group, one link to each other component among the group's home nodes.
-
-    Common shingles of all pairs are counted through an inverted index of the home nodes, some outside nodes at a
-    time.
-    """
-    node, label = group["node"].to_numpy(), group["label"].to_numpy()
-    is_home = group["home"].to_numpy(zero_copy_only=False)
-    short = [np.frombuffer(x, np.uint32) for x in group["short"].to_pylist()]
-    sizes = np.asarray([len(s) for s in short])
-    home, away = np.flatnonzero(is_home), np.flatnonzero(~is_home)
-    links: list[tuple[int, int]] = []
-    if len(home) and len(away):
-        owners = np.repeat(np.arange(len(home)), sizes[home])
-        values = np.concatenate([short[h] for h in home])
-        order = np.argsort(values, kind="stable")
-        owners = owners[order]
-        known, first = np.unique(values[order], return_index=True)
-        held = np.diff(np.append(first, len(values)))
-        step = max(1, POSTINGS // max(1, int(sizes[away].max()) * len(home)))
-        for at in range(0, len(away), step):
-            some = away[at : at + step]
-            asked = np.concatenate([short[x] for x in some])
-            place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-            found = known[place] == asked
-            place, who = place[found], np.repeat(np.arange(len(some)), sizes[some])[found]
-            count = held[place]
-            index = np.repeat(first[place] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            pairs = np.repeat(who, count) * len(home) + owners[index]
-            common = np.bincount(pairs, minlength=len(some) * len(home)).reshape(len(some), len(home))
-            union = sizes[some][:, None] + sizes[home][None, :] - common
-            linked = (100 * common >= SIMILARITY * union) & (label[some][:, None] != label[home][None, :])
-            for x, h in zip(*np.nonzero(linked), strict=True):
-                links.append((int(label[home[h]]), int(node[some[x]]), int(node[home[h]])))
-    one = {(x, other): h for other, x, h in reversed(links)}
-    found = sorted({(max(x, h), min(x, h)) for (x, _), h in one.items()})
-    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-
-def _within_buckets(members: DataFrame, labels: DataFrame, contents: DataFrame, size: int) -> DataFrame:
-    """Links between different components that share a bucket, one for each node and component at least.
-
-    Only buckets that hold several components are looked at, each once however many bands agree on its nodes.
-    Nodes outside the component of the bucket's first node meet all its nodes. Large buckets are dealt over blocks
-    of home nodes and blocks of outside nodes, and each pair of blocks is a group.
-    """
-    named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy(F.col("key").alias("m_key")).agg(
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.min_by("label", "node").alias("first_label"),
-        F.count("*").alias("size"),
-        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("print"),
-    )
-    mixed = mixed.where("low < high")
-    once = mixed.groupBy("size", "print", "first_label").agg(F.min("m_key").alias("m_key"))
-    rows = named.join(once, F.col("key") == F.col("m_key")).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    at_home = rows.select("key", "node", "label", F.lit(True).alias("home"), own.alias("block"), F.explode(every).alias("away"))
-    outside = rows.where("label <> first_label").select(
-        "key", "node", "label", F.lit(False).alias("home"), F.explode(every).alias("block"), own.alias("away")
-    )
-    short = _short_sets(contents, size)
-    given = at_home.unionByName(outside).join(short, F.col("node") == F.col("s_node")).drop("s_node")
-    ship_package(members.sparkSession)
-    return given.groupBy("key", "block", "away").applyInArrow(_links_within, "a long, b long").distinct()
-
-
 def _stored(frame: DataFrame, path: str) -> DataFrame:
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
@@ -231,16 +95,10 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     shared = keyed.join(buckets.where("size > 1"), F.col("key") == F.col("b_key")).select("key", "node", "pivot")
     shared = _stored(shared, f"{work}/buckets")
 
-    stars = shared.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = _stored(_likely(stars, nodes), f"{work}/stars")
-    contents = _stored(_contents(docs, shared, nodes), f"{work}/contents")
-    links = _stored(_verified(stars, contents, size), f"{work}/links-0")
-    labels = components(links)
-    between = _within_buckets(shared.select("key", "node"), labels, contents, size)
-    between = _stored(between, f"{work}/between")
-    if not between.isEmpty():
-        more = _stored(_verified(between, contents, size), f"{work}/links-1")
-        labels = components(links.union(more))
+    members = shared.select(F.col("pivot").alias("hub"), "node").distinct().join(nodes.select("node", "n"), "node")
+    members = _stored(members, f"{work}/members")
+    whole = _stored(_whole_sets(_contents(docs, shared, nodes), size), f"{work}/sets")
+    labels = components(hub_links(members, whole, work, BLOCK))
 
     named = labels.join(nodes.select("node", "doc_id"), "node")
     smallest = named.groupBy(F.col("label").alias("s_label")).agg(F.min("doc_id").alias("smallest"))
@@ -262,6 +120,16 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
+def _whole_sets(contents: DataFrame, size: int) -> DataFrame:
+    """node and its set, as sorted 64-bit hashes."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [s.astype("<u8").tobytes() for s in sets(*texts.string_bytes(batch["text"]), size)]
+        return texts.table(None, {"node": batch["node"], "tokens": pa.array(found, pa.binary())})
+
+    return texts.per_batch(contents, run, "node long, tokens binary")
+
+
 def _contents(docs: DataFrame, shared: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and text of the first document of each node that shares a bucket."""
     wanted = shared.select("node").distinct().join(nodes, "node")

@@ -22,8 +22,11 @@ def passages(seed, count):
     return [" ".join([f"own{pick.randrange(10**6)}" for _ in range(pick.choice([0, 3, 8, 14, 40]))] + [shared]) for _ in range(count)]
 
 
-@pytest.mark.parametrize("least, nodes, size_bytes", [(1, 4096, 32 << 20), (2, 7, 32 << 20), (10**6, 4096, 40_000)])
-def test_groups_equal_all_pairs(spark, odd, monkeypatch, least, nodes, size_bytes):
+@pytest.mark.parametrize(
+    "least, nodes, size_bytes, split", [(1, 4096, 32 << 20, 5), (2, 7, 32 << 20, 10**6), (10**6, 4096, 40_000, 10**6)]
+)
+def test_groups_equal_all_pairs(spark, odd, monkeypatch, least, nodes, size_bytes, split):
+    monkeypatch.setattr(jaccard_join, "SPLIT_NODES", split)
     monkeypatch.setattr(jaccard_join, "FREQUENT", least)
     monkeypatch.setattr(jaccard_join, "FREQUENT_MEANS", 0)
     monkeypatch.setattr(jaccard_join, "VERY", 3)
@@ -53,7 +56,7 @@ def test_linked_sets_share_a_signature(seed):
         common = len(np.intersect1d(one, two))
         if jaccard_join._linked(common, len(one), len(two)) and common < max(len(one), len(two)):
             met += 1
-            assert len(np.intersect1d(jaccard_join.signatures(one, known), jaccard_join.signatures(two, known)))
+            assert len(np.intersect1d(jaccard_join.signatures(one, known)[0], jaccard_join.signatures(two, known)[0]))
     assert met > 200
 
 
