@@ -255,6 +255,20 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, (F.col("doc_id") == F.col("w_id")) & (F.col("content") == F.col("w_content"))).select("node", "text")
 
 
+def comparable(members: DataFrame) -> DataFrame:
+    """Of (hub, node, n), without the nodes whose size is too far from that of every other node of the hub.
+
+    Sizes fall into steps of a tenth, and linked sets lie three steps apart at most.
+    """
+    step = F.floor(F.log("n") / float(np.log(1.1))).cast("int")
+    reach = int(np.ceil(np.log(100 / SIMILARITY) / np.log(1.1)))
+    sized = members.withColumn("step", step)
+    held = sized.groupBy("hub", "step").agg(F.count("*").alias("held"))
+    around = F.explode(F.sequence(F.col("step") - reach, F.col("step") + reach)).alias("step")
+    around = held.select("hub", around, "held").groupBy("hub", "step").agg(F.sum("held").alias("held"))
+    return sized.join(around.where("held > 1").drop("held"), ["hub", "step"]).drop("step")
+
+
 def _linked(common: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return 100 * common >= SIMILARITY * (one + two - common)
 
@@ -328,7 +342,7 @@ def _links(table: pa.Table) -> pa.Table:
 def hub_links(members: DataFrame, whole: DataFrame, work: str, block_nodes: int | None = None) -> DataFrame:
     """Links (a, b) that connect all linked nodes that share a hub.
 
-    ``members``: distinct hub, node and n, the hub itself among its nodes; ``whole``: node and its set.
+    ``members``: distinct hub, node and n; ``whole``: node and its set.
     """
     size = members.groupBy("hub").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("nodes") / (block_nodes or BLOCK_NODES)), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
@@ -373,14 +387,16 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     met = met.where("sig IS NULL").select("hub", "node").union(split).where("hub <> node").distinct()
     met = stored(met, f"{work}/met")
     members = met.union(met.select("hub", F.col("hub").alias("node")).distinct())
-    members = stored(members.join(nodes.select("node", "n"), "node"), f"{work}/members")
+    members = stored(comparable(members.join(nodes.select("node", "n"), "node")), f"{work}/members")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [s.astype("<u8").tobytes() for s in sets(*texts.string_bytes(batch["text"]), size)]
         return texts.table(None, {"node": batch["node"], "tokens": pa.array(found, pa.binary())})
 
     wanted = nodes.join(members.select("node").distinct(), "node")
-    whole = texts.per_batch(_texts_of(docs, wanted), run, "node long, tokens binary").dropDuplicates(["node"])
+    whole = texts.per_batch(_texts_of(docs, wanted), run, "node long, tokens binary")
+    if not signed.groupBy("doc_id", "content").count().where("count > 1 AND doc_id IS NOT NULL").isEmpty():
+        whole = whole.dropDuplicates(["node"])  # a row that is repeated stands for its node more than once
     whole = stored(whole, f"{work}/sets")
     labels = components(hub_links(members, whole, work))
 
