@@ -371,7 +371,8 @@ def fit(counts: DataFrame, known: Vocabulary) -> Model:
         pairs, counted = _flat(batch["pairs"], np.int64), _flat(batch["pair_counts"], np.int64)
         context = pairs >> 16
         kept = counted * discounts[np.minimum(counted, GT_MAX + 1)]
-        columns = [np.bincount(context, w, contexts) for w in (counted, kept, unigrams[pairs & 0xFFFF])]
+        # without any pair, bincount gives whole numbers even for weights
+        columns = [np.bincount(context, w, contexts).astype(float) for w in (counted, kept, unigrams[pairs & 0xFFFF])]
         for k in range(batch.num_rows):
             row = batch.slice(k, 1)
             words, word_counts = _rare_words(row)
@@ -472,10 +473,10 @@ def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.
     rare = own == known.rare
     after_rare = (before == known.rare) & (not known.shared)
     single = np.log10((np.append(known.counts, 0) + 1) / known.divisor)
-    base = np.bincount(document[~rare], single[own[~rare]], size)
+    base = np.bincount(document[~rare], single[own[~rare]], size).astype(float)
     hot_counts = _look_up(model.hot_pairs, model.hot_counts, pairs.astype(np.int64))
     hot = hot_counts > 0
-    score = np.bincount(document[hot], model.log_pairs(pairs[hot].astype(np.int64), hot_counts[hot]), size)
+    score = np.bincount(document[hot], model.log_pairs(pairs[hot].astype(np.int64), hot_counts[hot]), size).astype(float)
     # after a rare word the partition of that word adds what the bigram makes of the unigram probability
     here = after_rare & ~rare
     score += np.bincount(document[here], single[own[here]], size)
