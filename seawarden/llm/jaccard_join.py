@@ -10,7 +10,9 @@ So single tokens are indexed where they are rare, and k-token combinations where
 Frequencies come from one table of counts by token hash, added up over all documents. It only orders tokens: any
 order gives the same links. Equal sets are one node. The nodes of an index entry meet at the entry's most typical
 node, its hub; hubs are few, and the sets of all nodes of a hub are compared in full by counting their common
-tokens, in blocks of bounded size. Hubs too large for one block first link their nodes with the hub itself, and are
+tokens, in blocks of bounded size. Before sets are sent, nodes of a block are compared by bitmaps of their tokens, a
+bit or two a token, which bound from above how many tokens two sets share; only nodes that a bitmap lets be linked
+send their sets. Hubs too large for one block first link their nodes with the hub itself, and are
 searched further only if several components are left. Each block returns links that join components, no more.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer words
@@ -20,6 +22,7 @@ are linked with each other; an empty table gives no rows; other columns are not
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -46,6 +49,8 @@ VERY = 16
 GROUP_TOKENS, LEVEL = 10, 4
 #: Nodes and bytes of sets in a block, and common tokens counted at once.
 BLOCK_NODES, BLOCK_BYTES, AT_ONCE = 4096, 32 << 20, 4_000_000
+#: Bits of the smallest and the largest bitmap of a set; between them there are two to four bits a token.
+LEAST_BITS, MOST_BITS = 256, 1 << 20
 #: Nodes of one signature in a part, about.
 SPLIT_NODES = 1_000_000
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
@@ -67,8 +72,18 @@ def _cell(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> U64(64 - CELL_BITS)).astype(np.int64)
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """A set's tokens dealt over bits by hash; the half of it with the high numbers laid over the other is a smaller one."""
+    bits = LEAST_BITS
+    while bits < 2 * len(tokens) and bits < MOST_BITS:
+        bits *= 2
+    flags = np.zeros(bits, bool)
+    flags[(texts.mix(tokens) & U64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags).tobytes()
+
+
 def profile(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, content (a hash of the text), n_shingles and node (a hash of the set) of each row.
+    """doc_id, content (a hash of the text), n_shingles, node (a hash of the set) and bits (its bitmap) of each row.
 
     Each task adds rows of its own at its end: blocks of its counts by token hash. Equal sets of a batch count once.
     """
@@ -86,6 +101,7 @@ def profile(docs: DataFrame, size: int) -> DataFrame:
                 "content": batch["content"],
                 "n_shingles": pa.array([len(s) for s in found], pa.int64()),
                 "node": pa.array(nodes),
+                "bits": pa.array([bitmap(s) for s in found], pa.binary()),
                 "block": pa.nulls(batch.num_rows, pa.int32()),
                 "cells": pa.nulls(batch.num_rows, pa.binary()),
             }
@@ -94,13 +110,14 @@ def profile(docs: DataFrame, size: int) -> DataFrame:
         filled = np.flatnonzero(blocks.any(axis=1))
         packed = [row.astype(np.uint8 if row.max() < 256 else np.uint32).tobytes() for row in blocks[filled]]
         empty = {name: pa.nulls(len(filled), pa.int64()) for name in ("doc_id", "content", "n_shingles", "node")}
+        empty["bits"] = pa.nulls(len(filled), pa.binary())
         more = {"block": pa.array(filled.astype(np.int32)), "cells": pa.array(packed, pa.binary())}
         yield texts.table(None, empty | more)
         pa.default_memory_pool().release_unused()
 
     ship_package(docs.sparkSession)
     rows = texts.ids_and_texts(docs, F.xxhash64("text").alias("content"))
-    return rows.mapInArrow(run, "doc_id long, content long, n_shingles long, node long, block int, cells binary")
+    return rows.mapInArrow(run, "doc_id long, content long, n_shingles long, node long, bits binary, block int, cells binary")
 
 
 class Frequencies:
@@ -289,15 +306,67 @@ def star_links(members: DataFrame, whole: DataFrame) -> DataFrame:
     return texts.per_batch(joined, run, "a long, b long")
 
 
+def _sides(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of the two blocks that a table holds, and whether it is one block with itself."""
+    if block.min() == block.max():
+        return np.arange(len(block)), np.arange(len(block)), True
+    return np.flatnonzero(block == block.min()), np.flatnonzero(block != block.min()), False
+
+
+def _folded(maps: list[np.ndarray], rows: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps of the rows, of this many words or twice as many, as one column of words after the other."""
+    out = np.empty((words, len(rows)), np.uint64)
+    for k, row in enumerate(rows):
+        own = maps[row]
+        out[:, k] = own if len(own) == words else own[:words] | own[words:]
+    return out
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """Rows whose bitmap lets their set be linked with that of a row of the other block and another component.
+
+    Of n tokens whose bitmap has b bits, c of them in another bitmap too, at most n - b + c are in the other set. Sizes
+    of linked sets lie so close that their bitmaps have the same width, or one has twice that of the other.
+    """
+    n, label = table["n"].to_numpy(), table["label"].to_numpy()
+    maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["bits"]]
+    width = np.asarray([len(x) for x in maps])
+    left, right, alone = _sides(table["block"].to_numpy())
+    left, right = left[np.argsort(n[left], kind="stable")], right[np.argsort(n[right], kind="stable")]
+    near = np.zeros(len(n), bool)
+    for words in np.unique(width).tolist():
+        for one, two in [(1, 1), (1, 2)] + ([] if alone else [(2, 1)]):
+            a, b = left[width[left] == one * words], right[width[right] == two * words]
+            if not len(a) or not len(b):
+                continue
+            a_maps, b_maps = _folded(maps, a, words), _folded(maps, b, words)
+            a_lost = n[a] - np.bitwise_count(a_maps).sum(axis=0, dtype=np.int64)
+            b_lost = n[b] - np.bitwise_count(b_maps).sum(axis=0, dtype=np.int64)
+            many = max(1, AT_ONCE // 8 // len(b))
+            for at in range(0, len(a), many):
+                some = slice(at, at + many)
+                sizes = n[a[some]]
+                low = np.searchsorted(n[b], SIMILARITY * sizes[0] // 100, "left")
+                high = np.searchsorted(n[b], 100 * sizes[-1] // SIMILARITY + 1, "right")
+                if low >= high:
+                    continue
+                common = np.zeros((len(sizes), high - low), np.int32)
+                for x, y in zip(a_maps[:, some], b_maps[:, low:high], strict=True):
+                    common += np.bitwise_count(x[:, None] & y[None, :])
+                most = common + np.minimum(a_lost[some][:, None], b_lost[low:high][None, :])
+                met = _linked(most, sizes[:, None], n[b[low:high]][None, :])
+                met &= label[a[some]][:, None] != label[b[low:high]][None, :]
+                near[a[some]] |= met.any(axis=1)
+                near[b[low:high]] |= met.any(axis=0)
+    return table.drop_columns(["n", "bits"]).filter(pa.array(near, pa.bool_()))
+
+
 def _links(table: pa.Table) -> pa.Table:
     """Links that join the components of two blocks of a hub, or of one block with itself."""
     node, label = table["node"].to_numpy(), table["label"].to_numpy()
     tokens = [np.frombuffer(x.as_buffer(), "<u8") for x in table["tokens"]]
     sizes = np.asarray([len(t) for t in tokens])
-    block = table["block"].to_numpy()
-    alone = block.min() == block.max()
-    left = np.arange(len(node)) if alone else np.flatnonzero(block == block.min())
-    right = left if alone else np.flatnonzero(block != block.min())
+    left, right, _ = _sides(table["block"].to_numpy())
     values = np.concatenate([tokens[i] for i in right])
     owner = np.repeat(np.arange(len(right)), sizes[right])
     by_value = np.argsort(values, kind="stable")
@@ -339,18 +408,19 @@ def _links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def hub_links(members: DataFrame, whole: DataFrame, work: str, block_nodes: int | None = None) -> DataFrame:
+def hub_links(members: DataFrame, maps: DataFrame, sets_of: Callable[[DataFrame, str], DataFrame], work: str) -> DataFrame:
     """Links (a, b) that connect all linked nodes that share a hub.
 
-    ``members``: distinct hub, node and n; ``whole``: node and its set.
+    ``members``: distinct hub, node and n; ``maps``: node and its bits; ``sets_of``: stores the nodes' sets under a name.
     """
     size = members.groupBy("hub").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("nodes") / (block_nodes or BLOCK_NODES)), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
+    blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
     size = stored(size.select("hub", blocks.alias("blocks")), f"{work}/hubs")
     members = members.join(size, "hub").withColumn("label", F.col("node"))
     first = None
     large = members.where("blocks > 1")
     if not size.where("blocks > 1").isEmpty():
+        whole = sets_of(large.select("node"), "hub_sets")
         first = stored(star_links(large.select("hub", "node"), whole), f"{work}/stars")
         named = components(first).select(F.col("node").alias("l_node"), F.col("label").alias("l_label"))
         members = members.join(named, F.col("node") == F.col("l_node"), "left")
@@ -359,12 +429,16 @@ def hub_links(members: DataFrame, whole: DataFrame, work: str, block_nodes: int
         members = members.join(mixed.where("low < high").select("hub"), "hub")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = members.select("hub", "node", "label", own.alias("block"), other)
+    dealt = members.select("hub", "node", "n", "label", own.alias("block"), other)
     dealt = dealt.select(
-        "hub", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        "hub", "node", "n", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
     ship_package(members.sparkSession)
-    found = dealt.join(whole, "node").groupBy("hub", "low", "high").applyInArrow(_links, "a long, b long")
+    schema = "node long, hub long, label long, block long, low long, high long"
+    dealt = dealt.join(maps, "node").select("node", "hub", "n", "label", "block", "low", "high", "bits")
+    near = stored(dealt.groupBy("hub", "low", "high").applyInArrow(_near, schema), f"{work}/near")
+    whole = sets_of(near.select("node"), "sets")
+    found = near.join(whole, "node").groupBy("hub", "low", "high").applyInArrow(_links, "a long, b long")
     found = stored(found, f"{work}/links")
     return found if first is None else found.union(first)
 
@@ -374,7 +448,8 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     spark = docs.sparkSession
     work = shared_folder(spark, "jaccard-join")
     profiled = stored(profile(docs, size), f"{work}/profiles")
-    signed = profiled.where("block IS NULL").drop("block", "cells")
+    mapped = profiled.where("block IS NULL").drop("block", "cells")
+    signed = mapped.drop("bits")
     frequencies = Frequencies(count_cells(profiled.where("block IS NOT NULL").select("block", "cells")))
     nodes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("node", F.col("n_shingles").alias("n"))
     nodes = nodes.agg(F.min("doc_id").alias("doc_id"), F.min_by("content", "doc_id").alias("content"))
@@ -389,16 +464,22 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     members = met.union(met.select("hub", F.col("hub").alias("node")).distinct())
     members = stored(comparable(members.join(nodes.select("node", "n"), "node")), f"{work}/members")
 
+    repeated = not signed.groupBy("doc_id", "content").count().where("count > 1 AND doc_id IS NOT NULL").isEmpty()
+
+    def once(found: DataFrame) -> DataFrame:
+        return found.dropDuplicates(["node"]) if repeated else found  # a repeated row stands for its node more than once
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [s.astype("<u8").tobytes() for s in sets(*texts.string_bytes(batch["text"]), size)]
         return texts.table(None, {"node": batch["node"], "tokens": pa.array(found, pa.binary())})
 
-    wanted = nodes.join(members.select("node").distinct(), "node")
-    whole = texts.per_batch(_texts_of(docs, wanted), run, "node long, tokens binary")
-    if not signed.groupBy("doc_id", "content").count().where("count > 1 AND doc_id IS NOT NULL").isEmpty():
-        whole = whole.dropDuplicates(["node"])  # a row that is repeated stands for its node more than once
-    whole = stored(whole, f"{work}/sets")
-    labels = components(hub_links(members, whole, work))
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        rows = _texts_of(docs, nodes.join(wanted.distinct(), "node"))
+        return stored(once(texts.per_batch(rows, run, "node long, tokens binary")), f"{work}/{name}")
+
+    first = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id", "content")
+    maps = mapped.select("doc_id", "content", "bits").join(first, ["doc_id", "content"]).select("node", "bits")
+    labels = components(hub_links(members, once(maps), sets_of, work))
 
     named = labels.join(nodes.select("node", "doc_id"), "node")
     smallest = named.groupBy(F.col("label").alias("s_label")).agg(F.min("doc_id").alias("smallest"))

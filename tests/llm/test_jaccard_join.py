@@ -82,3 +82,30 @@ def test_nothing_unnamed_rows_and_documents(spark, odd, nothing, docs):
     assert {(r.doc_id, r.component_id) for r in jaccard_join.groups(unnamed).collect()} == {(None, None), (1, 1)}
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert found(docs) == expected_groups(rows, 5)
+
+
+def test_bitmaps_never_part_linked_sets(monkeypatch):
+    """Rows that bitmaps leave out are linked with no row of another component, by all pairs; most unlike ones go."""
+    rng = np.random.default_rng(5)
+    tokens = []
+    for n in rng.integers(4, 900, 60):
+        one = rng.integers(0, 2**64, n, dtype=np.uint64)
+        changed = rng.integers(0, 2**64, max(1, n // 12), dtype=np.uint64)
+        tokens += [np.unique(one), np.unique(np.concatenate([one[len(changed) :], changed])), np.unique(one[: n - n // 6])]
+        tokens.append(np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)))
+    label = rng.integers(0, 150, len(tokens))
+    sizes = np.asarray([len(t) for t in tokens])
+    for most, block in ((jaccard_join.MOST_BITS, np.zeros(len(tokens), int)), (512, rng.integers(3, 5, len(tokens)))):
+        monkeypatch.setattr(jaccard_join, "MOST_BITS", most)
+        expected = set()
+        for i in range(len(tokens)):
+            for j in range(i):
+                common = len(np.intersect1d(tokens[i], tokens[j]))
+                apart = block[i] != block[j] or not block.any()
+                if apart and label[i] != label[j] and jaccard_join._linked(common, sizes[i], sizes[j]):
+                    expected |= {i, j}
+        bits = pa.array([jaccard_join.bitmap(t) for t in tokens], pa.binary())
+        columns = {"node": pa.array(range(len(tokens))), "label": pa.array(label), "block": pa.array(block)}
+        got = set(jaccard_join._near(pa.table(columns | {"n": pa.array(sizes), "bits": bits}))["node"].to_pylist())
+        assert expected <= got and len(expected) > 50
+        assert most == 512 or len(got - expected) < 10
