@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -209,6 +210,27 @@ def build_rules() -> list[Rule]:
     return rules
 
 
+class _Furthest:
+    """The furthest end of intervals added so far that start at or before a place: a tree of maxima over the starts."""
+
+    def __init__(self, starts: list[int]):
+        self.rank = {start: k for k, start in enumerate(sorted(set(starts)), 1)}
+        self.most = [0] * (len(self.rank) + 1)
+
+    def add(self, start: int, end: int) -> None:
+        k = self.rank[start]
+        while k < len(self.most):
+            self.most[k] = max(self.most[k], end)
+            k += k & -k
+
+    def up_to(self, start: int) -> int:
+        k, found = self.rank[start], 0
+        while k:
+            found = max(found, self.most[k])
+            k &= k - 1
+        return found
+
+
 class Scanner:
     """All rules, grouped by keyword."""
 
@@ -226,10 +248,11 @@ class Scanner:
         text = plain.decode()
         found = [(m.start(), m.end(), rule) for rule in rules for m in rule.pattern.finditer(text)]
         found.sort(key=lambda x: (x[2].priority, x[0] - x[1], x[0], x[2].label))
-        taken: list[tuple[int, int, Rule]] = []
+        taken, furthest = [], _Furthest([start for start, _, _ in found])
         for start, end, rule in found:
-            if not any(a <= start and end <= b for a, b, _ in taken):
+            if furthest.up_to(start) < end:
                 taken.append((start, end, rule))
+                furthest.add(start, end)
         return sorted(taken, key=lambda x: x[:2])
 
     def scan(self, raw: bytes) -> tuple:
@@ -242,12 +265,12 @@ class Scanner:
             if at >= 0:
                 labels.add(label)
             while at >= 0:
-                places.append(plain.count(b" ", 0, at))
+                places.append(at)
                 at = plain.find(phrase, at + 1)
         taken = self.detections(plain)
         score = max([rule.confidence for _, _, rule in taken] + [0.5] * bool(places), default=0.0)
         own = labels | {rule.label for _, _, rule in taken}
-        first, last = (min(places), max(places)) if places else (None, None)
+        first, last = (plain.count(b" ", 0, at(places)) if places else None for at in (min, max))
         return len(words), len(places), first, last, ",".join(sorted(labels)), ",".join(sorted(own)), score
 
 
@@ -293,9 +316,10 @@ def spans(docs: DataFrame) -> DataFrame:
         for doc_id, a, b in zip(batch["doc_id"].to_pylist(), offsets[:-1], offsets[1:], strict=True):
             plain = b" " + b" ".join(raw[a:b].tobytes().translate(_NORMAL).split()) + b" "
             text = plain.decode()
+            blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32)
             for start, end, rule in own.detections(plain):
-                first = text.count(" ", 0, start - 1)
-                last = first + text.count(" ", start, end)
+                first, *inner = np.searchsorted(blanks, [start - 1, start, end]).tolist()
+                last = first + inner[1] - inner[0]
                 rows.append((doc_id, rule.label, first, last, rule.priority, rule.confidence, text[start:end]))
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.string()]
         names = ["doc_id", "label", "first_word", "last_word", "priority", "confidence", "found"]

@@ -4,7 +4,7 @@ Lines are normalised (A-Z lower-cased, words parted by one blank) and hashed. Fo
 documents that hold a line are counted, where copies of one text count once. Lines above the limit are removed;
 a document that keeps less than a given share of its words is depleted and rejected.
 
-A host has at most (mean lines a document / share limit) lines above the limit, so they fit in one row per host.
+Lines above the limit stay rows, and are joined to the lines of documents by host and line.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null host is a host of its own;
 rows with one doc_id and one text count as one document but each gets its result; an empty table gives no rows;
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seawarden.llm import texts
@@ -24,13 +24,14 @@ from seawarden.session import shared_folder, ship_package
 MIN_WORDS = 50
 #: Percent of words in repeated three-word windows above which a text fails.
 MOST_REPEATED = 50
-#: A line is above the limit if more than this many, and this share, of a host's distinct documents hold it.
-LINE_DOCUMENTS, LINE_SHARE = 20, 0.1
+#: A line is above the limit if more than two distinct documents of a host hold it, and more than the smaller of a
+#: share of them and a fixed count: the share acts in small hosts, the count in large ones.
+LINE_DOCUMENTS, LINE_SHARE, LINE_COUNT = 2, 0.1, 200
 #: A document is depleted if less than this share of its words is left.
 LEFT = 0.3
 
-#: Lines above the limit that are broadcast at most (8 MB); more are joined by host.
-BROADCAST_LINES = 1_000_000
+#: Lines that are broadcast at most (16 MB with their keys); more are joined by a shuffle.
+BROADCAST_LINES = 500_000
 
 NEWLINE = np.zeros(256, dtype=bool)
 NEWLINE[0x0A] = True
@@ -134,37 +135,45 @@ def _host():
     return F.coalesce(F.col("source").cast("string"), F.lit(""))
 
 
-def frequent_lines(profiles: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """One row per host with lines above the limit: f_host and the sorted list of their hashes."""
+def frequent_lines(
+    profiles: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE, count: int = LINE_COUNT
+) -> DataFrame:
+    """f_host and f_line of every line above the limit."""
     each = profiles.select("host", "content", F.explode("lines").alias("line"))
-    counted = each.groupBy("host", "line").agg(F.count_distinct("content").alias("n"))
+    counted = each.groupBy("host", "line").agg(F.count_distinct("content").alias("n")).where(F.col("n") > documents)
     hosts = profiles.groupBy(F.col("host").alias("h_host")).agg(F.count_distinct("content").alias("n_host"))
-    above = counted.where(F.col("n") > documents).join(hosts, F.col("host") == F.col("h_host"))
-    above = above.where(F.col("n") > share * F.col("n_host"))
-    return above.groupBy(F.col("host").alias("f_host")).agg(F.sort_array(F.collect_list("line")).alias("f_lines"))
-
-
-def _stored(frequent: DataFrame, path: str) -> DataFrame:
-    """The table of lines above the limit, stored; broadcast if it holds few, so that texts stay where they are."""
-    frequent.write.parquet(path)
-    stored = frequent.sparkSession.read.parquet(path)
-    held = stored.agg(F.sum(F.size("f_lines"))).first()[0] or 0
-    return F.broadcast(stored) if held <= BROADCAST_LINES else stored
+    above = counted.join(hosts, F.col("host") == F.col("h_host"))
+    above = above.where(F.col("n") > F.least(share * F.col("n_host"), F.lit(float(count))))
+    return above.select(F.col("host").alias("f_host"), F.col("line").alias("f_line"))
+
+
+def _stored(found: DataFrame, path: str, lines: Column) -> DataFrame:
+    """The table, stored; broadcast if it holds few lines, so that what it is joined to stays where it is."""
+    found.write.parquet(path)
+    stored = found.sparkSession.read.parquet(path)
+    return F.broadcast(stored) if (stored.agg(F.sum(lines)).first()[0] or 0) <= BROADCAST_LINES else stored
+
+
+def hits(profiles: DataFrame, folder: str) -> DataFrame:
+    """r_host, r_content, removed_words and removed (line hashes) of each text of a host that holds lines above the limit."""
+    frequent = _stored(frequent_lines(profiles), f"{folder}/frequent", F.lit(1))
+    texts_once = profiles.dropDuplicates(["host", "content"])
+    each = texts_once.select("host", "content", F.explode(F.arrays_zip("lines", "line_words")).alias("one"))
+    each = each.select("host", "content", F.col("one.lines").alias("line"), F.col("one.line_words").alias("n"))
+    met = each.join(frequent, (F.col("host") == F.col("f_host")) & (F.col("line") == F.col("f_line")))
+    found = met.groupBy(F.col("host").alias("r_host"), F.col("content").alias("r_content")).agg(
+        F.sum("n").alias("removed_words"), F.collect_set("line").alias("removed")
+    )
+    return _stored(found, f"{folder}/hits", F.size("removed"))
 
 
-def verdicts(profiles: DataFrame, frequent: DataFrame, left: float = LEFT) -> DataFrame:
+def verdicts(profiles: DataFrame, removed: DataFrame, left: float = LEFT) -> DataFrame:
     """Base verdict, words left and verdict of each profile."""
-    joined = profiles.join(frequent, F.col("host") == F.col("f_host"), "left")
-    pairs = F.arrays_zip("lines", "line_words")
-    hit = F.filter(pairs, lambda p: F.array_contains("f_lines", p["lines"]))
-    removed = F.aggregate(hit, F.lit(0).cast("long"), lambda total, p: total + p["line_words"])
+    same = (F.col("host") == F.col("r_host")) & (F.col("content") == F.col("r_content"))
+    joined = profiles.join(removed, same, "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    judged = joined.withColumns(
-        {
-            "removed_words": F.when(F.col("f_lines").isNull(), F.lit(0).cast("long")).otherwise(removed),
-            "base_failed": failed,
-        }
-    )
+    gone = F.coalesce("removed_words", F.lit(0).cast("long"))
+    judged = joined.withColumns({"removed_words": gone, "base_failed": failed})
     depleted = F.col("n_words") - F.col("removed_words") < left * F.col("n_words")
     return judged.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
@@ -174,7 +183,7 @@ def judge(docs: DataFrame) -> DataFrame:
     stored = shared_folder(docs.sparkSession, "quality-rules")
     profile(docs).write.parquet(f"{stored}/profiles")
     profiles = docs.sparkSession.read.parquet(f"{stored}/profiles")
-    return verdicts(profiles, _stored(frequent_lines(profiles), f"{stored}/frequent")).select(
+    return verdicts(profiles, hits(profiles, stored).drop("removed")).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -190,11 +199,12 @@ def judge(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, left: float = LEFT) -> DataFrame:
     """The kept documents, with all their columns, without the lines above the limit."""
     stored = shared_folder(docs.sparkSession, "quality-rules")
-    profile(docs).select("host", "content", "lines").write.parquet(f"{stored}/profiles")
+    profile(docs).select("host", "content", "lines", "line_words").write.parquet(f"{stored}/profiles")
     profiles = docs.sparkSession.read.parquet(f"{stored}/profiles")
-    frequent = _stored(frequent_lines(profiles), f"{stored}/frequent")
-    host, above = texts.free_names(docs, "f_host", "f_lines")
-    joined = docs.join(frequent.toDF(host, above), _host() == F.col(host), "left")
+    host, content, above = texts.free_names(docs, "r_host", "r_content", "removed")
+    removed = hits(profiles, stored).select("r_host", "r_content", "removed").toDF(host, content, above)
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    joined = docs.join(removed, (_host() == F.col(host)) & (own == F.col(content)), "left")
     names = docs.columns
 
     def run(batches):

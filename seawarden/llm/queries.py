@@ -135,8 +135,8 @@ ORACLE: dict[str, str] = {
             FROM (SELECT doc_id, host, text, unnest(lines) AS line FROM split)
         ), above AS (
             SELECT host, words FROM each GROUP BY host, words
-            HAVING count(DISTINCT text) > 20 AND count(DISTINCT text)
-                > 0.1 * (SELECT count(DISTINCT text) FROM docs d WHERE d.host = each.host)
+            HAVING count(DISTINCT text) > 2 AND count(DISTINCT text)
+                > least(0.1 * (SELECT count(DISTINCT text) FROM docs d WHERE d.host = each.host), 200)
         ), removed AS (
             SELECT doc_id, sum(len(words))::BIGINT AS removed_words FROM each JOIN above USING (host, words) GROUP BY doc_id
         ), counted AS (
