@@ -65,7 +65,7 @@ def op9_katz_backoff(spark, folder):
 
 
 def op10_hilbert_shards(spark, folder):
-    return sharding.shard(documents(spark, folder))
+    return sharding.shard(documents(spark, folder)).drop(*sharding.TEXTS)
 
 
 def op11_token_combinations(spark, folder):

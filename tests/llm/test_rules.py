@@ -10,6 +10,7 @@ from itertools import product
 import pytest
 
 from seawarden.llm import licenses, quality_rules, sharding
+from seawarden.session import shared_folder
 from tests.llm.conftest import ODD, row
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -241,3 +242,35 @@ def test_shards_are_even_and_complete(odd, docs, nothing, part_rows):
         assert max(sizes) - min(sizes) <= 1
         assert sorted(got, key=lambda r: (r.shard, r.slot)) == sorted(got, key=lambda r: (r.curve_place, r.shard, r.slot))
     assert sharding.shard(nothing).count() == 0
+
+
+def test_steps_take_whole_values_and_the_whole_grid(spark):
+    """Long sources that differ at their end only, one of them a third of all rows; against a plain cumulative share."""
+    names = ["https://example.org/" + c for c in "abcdefghijkl"]
+    held = [60, 3, 3, 100, 4, 30, 20, 20, 20, 20, 10, 10]
+    rows = [(name,) for name, n in zip(names, held) for _ in range(n)]
+    found = sharding.text_steps(spark.createDataFrame(rows, "source string").repartition(5), "source", 16, shared_folder(spark, "steps"))
+    expected, before = {}, 0
+    for name, n in zip(names, held):
+        expected[name] = (2 * before + n) * 16 // (2 * sum(held))
+        before += n
+    assert {r.value: r.step for r in found.collect()} == expected and max(expected.values()) == 15
+
+
+def test_written_shards_hold_every_row_in_order_and_are_skipped(spark, docs, odd, tmp_path):
+    for name, given in (("odd", odd), ("docs", docs)):
+        ranges = sharding.write(given, f"{tmp_path}/{name}").collect()
+        columns = [c for c in given.columns if c != "shard"]
+        stored = spark.read.parquet(f"{tmp_path}/{name}/rows")
+        assert Counter(map(repr, stored.select(*columns).collect())) == Counter(map(repr, given.select(*columns).collect()))
+        assert {r.shard: r["rows"] for r in ranges} == Counter(r.shard for r in stored.collect())
+    values = Counter(r.source or "" for r in docs.collect())
+    skipped = []
+    for source in values:
+        found = sharding.read(spark, f"{tmp_path}/docs", "source", source, source).collect()
+        assert len(found) == values[source]
+        skipped.append(sum(not r.least_source <= source <= r.greatest_source for r in ranges))
+    assert sum(skipped) / len(skipped) >= 6
+    assert len(sharding.read(spark, f"{tmp_path}/docs", "size", 100, 900).collect()) == sum(
+        100 <= len((r.text or "").encode()) + 1 <= 900 for r in docs.collect()
+    )
