@@ -99,8 +99,11 @@ def keep_state(
 
     A version is complete once it is written; readers take the newest complete one, whatever the age of the
     stream. The version before it stays, so that a micro-batch which runs again starts from the same state, and
-    older ones are removed.
+    older ones are removed. Before the first micro-batch the state is empty, with its columns.
     """
+    if not _versions(stream.sparkSession, target):
+        nothing = stream.sparkSession.createDataFrame([], stream.schema)
+        merge(nothing, nothing).write.mode("overwrite").parquet(f"{target}/version=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -123,6 +123,17 @@ def test_a_repeated_batch_starts_from_the_same_state(spark, source):
     assert rows(live.stored_state(spark, f"{base}/rows")) == before
 
 
+def test_state_can_be_read_before_the_first_batch(spark, source):
+    folder, arrive, base = source
+    live.latest(cleaned(spark, folder), f"{base}/rows", f"{base}/progress").awaitTermination()
+    empty = live.stored_state(spark, f"{base}/rows")
+    assert empty.count() == 0
+    arrive(report(1, 0, 5.0))
+    live.latest(cleaned(spark, folder), f"{base}/rows", f"{base}/progress").awaitTermination()
+    state = live.stored_state(spark, f"{base}/rows")
+    assert state.count() == 1 and state.dtypes == empty.dtypes
+
+
 def test_a_running_stream_takes_a_trigger(spark, source):
     folder, arrive, base = source
     arrive(report(1, 0, 5.0))

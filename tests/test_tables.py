@@ -2,10 +2,11 @@ from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from seawarden.operators import audit
 from seawarden.plans import pipeline
-from seawarden.session import shared_folder
+from seawarden.session import is_there, shared_folder
 from seawarden.sources import event_feed, files, reference, schemas, tables
 from tests.conftest import rows
 
@@ -204,3 +205,47 @@ def test_expected_counts_of_layers(spark, events, tmp_path):
         expected={"ais_bronze": events.count() + 1},
     )
     assert {r.table_name: r.delta for r in report.collect()}["ais_bronze"] == -1
+
+
+def _failing(spark, message="broken reading"):
+    return spark.range(40).selectExpr("id", f"IF(id = 33, raise_error('{message}'), concat('new', id)) AS name")
+
+
+@pytest.mark.parametrize("partition_by", [(), ("name",)], ids=["plain", "partitioned"])
+def test_a_write_that_fails_leaves_the_old_rows(spark, partition_by):
+    name = f"default.kept_{len(partition_by)}"
+    old = spark.range(5).selectExpr("id", "concat('old', id % 2) AS name")
+    tables.save(old, name, partition_by=partition_by)
+    for _ in range(2):
+        with pytest.raises(Exception, match="broken reading"):
+            tables.save(_failing(spark), name, partition_by=partition_by)
+        assert rows(spark.table(name)) == rows(old)
+        before = {t.name for t in spark.catalog.listTables("default")}
+        assert not [t for t in before if t.startswith("kept_") and "__" in t]
+    new = spark.range(3).selectExpr("id", "concat('new', id % 2) AS name")
+    assert rows(tables.save(new, name, partition_by=partition_by)) == rows(new) == rows(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    assert rows(tables.save(old, name, partition_by=partition_by)) == rows(old)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_table_may_take_another_shape_and_be_filled_from_itself(spark):
+    name = "default.reshaped"
+    tables.save(spark.range(4), name)
+    assert rows(tables.save(spark.table(name).selectExpr("id + 1 AS id"), name)) == [(1,), (2,), (3,), (4,)]
+    assert rows(tables.save(spark.table(name).selectExpr("cast(id AS string) AS id", "id AS n"), name)) == [
+        ("1", 1), ("2", 2), ("3", 3), ("4", 4)
+    ]
+    assert tables.save(spark.range(2), name, fmt="orc").count() == spark.table(name).count() == 2
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {name}")
+    assert not is_there(spark, place)
+
+
+def test_filled_tables_keep_old_rows_when_a_write_fails(spark):
+    schema = StructType([StructField("id", LongType(), True), StructField("name", StringType(), True)])
+    tables.load_rows(spark.range(2).selectExpr("id", "'old' AS name"), "default.filled", schema)
+    with pytest.raises(Exception, match="broken reading"):
+        tables.load_rows(_failing(spark), "default.filled", schema)
+    assert rows(spark.table("default.filled")) == [(0, "old"), (1, "old")]
+    spark.sql("DROP TABLE default.filled")
