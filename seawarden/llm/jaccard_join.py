@@ -124,8 +124,11 @@ class Frequencies:
     """The class of each token hash and its place in the order of tokens, as one byte: 8 steps for each doubling."""
 
     def __init__(self, cells: np.ndarray):
-        self.order = np.minimum(np.rint(8 * np.log2(cells + 1.0)), 255).astype(np.uint8)
-        least = max(FREQUENT, FREQUENT_MEANS * float(cells.mean()))
+        self.order = np.empty(len(cells), np.uint8)
+        for at in range(0, len(cells), 1 << 16):  # in stretches, as it is worked out on the driver
+            some = slice(at, at + (1 << 16))
+            self.order[some] = np.minimum(np.rint(8 * np.log2(cells[some] + 1.0)), 255)
+        least = max(FREQUENT, FREQUENT_MEANS * float(cells.mean(dtype=np.float64)))
         self.bounds = np.rint(8 * np.log2(np.asarray([least, least * VERY]) + 1.0))
 
     def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +137,7 @@ class Frequencies:
 
 
 def count_cells(blocks: DataFrame) -> np.ndarray:
-    """The counts of all tasks added up; as many cells whatever the input."""
+    """The counts of all tasks added up; as many cells whatever the input. Large ones are rounded to 24 bits."""
 
     def add_up(table: pa.Table) -> pa.Table:
         total = np.zeros(1 << BLOCK_BITS, np.int64)
@@ -143,7 +146,7 @@ def count_cells(blocks: DataFrame) -> np.ndarray:
             total += np.frombuffer(data, np.uint8 if data.size == total.size else np.uint32)
         return pa.table({"block": table["block"][:1], "total": pa.array([total.tobytes()], pa.binary())})
 
-    out = np.zeros((1 << CELL_BITS - BLOCK_BITS, 1 << BLOCK_BITS), np.int64)
+    out = np.zeros((1 << CELL_BITS - BLOCK_BITS, 1 << BLOCK_BITS), np.float32)
     for row in blocks.groupBy("block").applyInArrow(add_up, "block int, total binary").toLocalIterator():
         out[row["block"]] = np.frombuffer(row["total"], np.int64)
     return out.ravel()
