@@ -16,7 +16,8 @@ Three passes over the texts, none of which gathers a group in one task or a voca
    are broadcast. Bigrams of two rare words then go on, with their target's count, to the context's partition, which
    has all that follows a rare context and so its total and backoff weight.
 3. Each text's hot bigrams and frequent words are scored where the text is read. The other tokens travel to the
-   partitions that hold their counts, where they become sums per text, which are added up.
+   partitions that hold their counts, where they become sums per text, which are added up. A block of text sends
+   rows only to partitions it has tokens for, so rows and sums never outnumber tokens.
 
 Rare words and their bigrams are known by 64-bit hash, bigrams of frequent words by a pair of numbers.
 
@@ -132,13 +133,13 @@ def _partition(keys: np.ndarray, parts: int) -> np.ndarray:
     return (texts.mix(keys.astype(U64)) % U64(parts)).astype(np.int64)
 
 
-def _split(part: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[tuple]:
-    """For each partition with rows, its number and the columns' rows."""
+def _split(part: np.ndarray, wanted: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """For each wanted partition, its number and the columns' rows."""
     order = np.argsort(part, kind="stable")
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    begins, ends = (np.searchsorted(part[order], wanted, side) for side in ("left", "right"))
     columns = tuple(column[order] for column in columns)
-    for p in range(parts):
-        yield p, *(column[edges[p] : edges[p + 1]] for column in columns)
+    for p, first, last in zip(wanted.tolist(), begins, ends, strict=True):
+        yield p, *(column[first:last] for column in columns)
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -169,6 +170,8 @@ def _batches(docs: DataFrame, function, schema: str) -> DataFrame:
                 number += 1
                 if out.num_rows:
                     yield out
+                del out
+                texts.release()
 
     ship_package(docs.sparkSession)
     return docs.mapInArrow(run, schema)
@@ -206,7 +209,9 @@ def count_table(docs: DataFrame, known: Vocabulary, parts: int) -> DataFrame:
     Bigrams of frequent words (of classes, if rare words share one) are sorted, as are rare words, which are counted
     apart only if they share a class: else they are the targets of their bigrams.
     """
-    kinds = {name: pa.int32() if name.endswith(("_classes", "_counts")) else pa.int64() for names in RARE_PAIRS.values() for name in names}
+    kinds = {"words": pa.int64(), "word_counts": pa.int32(), "pairs": pa.int32(), "pair_counts": pa.int32()}
+    for name in (name for names in RARE_PAIRS.values() for name in names):
+        kinds[name] = pa.int32() if name.endswith(("_classes", "_counts")) else pa.int64()
 
     def run(raw, offsets, ids, held, number):
         hashes, begins = tokens(raw, offsets)
@@ -218,14 +223,9 @@ def count_table(docs: DataFrame, known: Vocabulary, parts: int) -> DataFrame:
         words, word_counts = np.unique(rare, return_counts=True)
         numbered = learnt if known.shared else learnt & ~to_rare & ~from_rare
         pairs, pair_counts = np.unique(all_pairs[numbered], return_counts=True)
-        by_word = list(_split(_partition(words, parts), parts, words.view(np.int64), word_counts))
-        by_pair = list(_split(_partition(pairs, parts), parts, pairs.view(np.int32), pair_counts))
-        columns = {
-            "p": pa.array(range(parts), pa.int64()),
-            "words": _lists([row[1] for row in by_word], pa.int64()),
-            "word_counts": _lists([row[2] for row in by_word], pa.int32()),
-            "pairs": _lists([row[1] for row in by_pair], pa.int32()),
-            "pair_counts": _lists([row[2] for row in by_pair], pa.int32()),
+        dealt = {
+            ("words", "word_counts"): (words, (words.view(np.int64), word_counts)),
+            ("pairs", "pair_counts"): (pairs, (pairs.view(np.int32), pair_counts)),
         }
         context = np.roll(hashes, 1)
         alone = learnt & (not known.shared)
@@ -234,20 +234,25 @@ def count_table(docs: DataFrame, known: Vocabulary, parts: int) -> DataFrame:
             "from_rare": (alone & from_rare & ~to_rare, context, own),
             "both_rare": (alone & from_rare & to_rare, hashes, context.view(np.int64)),
         }
-        for kind, (at, dealt, other) in found.items():
-            dealt, other = dealt[at], other[at]
-            _, first, counts = np.unique(_bigram(dealt, other), return_index=True, return_counts=True)
-            dealt, other = dealt[first], other[first]
-            split = list(_split(_partition(dealt, parts), parts, dealt.view(np.int64), other, counts))
-            for k, name in enumerate(RARE_PAIRS[kind], 1):
+        for kind, (at, by, other) in found.items():
+            by, other = by[at], other[at]
+            _, first, counts = np.unique(_bigram(by, other), return_index=True, return_counts=True)
+            dealt[RARE_PAIRS[kind]] = (by[first], (by[first].view(np.int64), other[first], counts))
+        of_key = {names: _partition(by, parts) for names, (by, _) in dealt.items()}
+        wanted = np.unique(np.concatenate(list(of_key.values())))
+        columns = {"p": pa.array(wanted)}
+        for names, (_, values) in dealt.items():
+            split = list(_split(of_key[names], wanted, *values))
+            for k, name in enumerate(names, 1):
                 columns[name] = _lists([row[k] for row in split], kinds[name])
         return texts.table(None, columns)
 
-    sent = "p long, words array<long>, word_counts array<int>, pairs array<int>, pair_counts array<int>"
+    sent = "p long"
     for name, kind in kinds.items():
         sent += f", {name} array<{'int' if kind == pa.int32() else 'long'}>"
 
     def merge(group: pa.Table) -> pa.Table:
+        texts.release()
         columns = {"p": pa.array([group["p"][0].as_py()], pa.int64())}
         for name, count in (("words", "word_counts"), ("pairs", "pair_counts")):
             keys = _flat(group[name], np.int64)
@@ -288,8 +293,8 @@ def at_contexts(counts: DataFrame, parts: int) -> DataFrame:
             words, word_counts = _rare_words(row)
             target, context, count = (_flat(row[name], np.int64) for name in RARE_PAIRS["both_rare"])
             of_target = _look_up(words, word_counts, target.view(U64))
-            split = _split(_partition(context.view(U64), parts), parts, context, target, count, of_target)
-            rows += [part for part in split if len(part[1])]
+            part = _partition(context.view(U64), parts)
+            rows += _split(part, np.unique(part), context, target, count, of_target)
         columns = {"p": pa.array([row[0] for row in rows], pa.int64())}
         for k, name in enumerate((part.split()[0] for part in MOVED.split(", ")), 1):
             columns[name] = _lists([row[k] for row in rows], pa.int64())
@@ -439,6 +444,7 @@ def score(
         return _sent(shared.value, raw, offsets, ids, held, number, parts)
 
     def add(events: pa.Table, table: pa.Table) -> pa.Table:
+        texts.release()
         return _added(shared.value, events, table)
 
     ship_package(spark)
@@ -451,14 +457,16 @@ def score(
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
-ADDED = (
+LOCAL = (
     "number long, doc_ids array<long>, held_out array<boolean>, n_tokens array<long>, train_tokens long, "
     "n_known array<long>, base array<double>, score array<double>"
 )
 SENT = (
     "p long, words array<long>, word_docs array<short>, before array<int>, next array<int>, next_words array<long>, "
-    f"pairs array<int>, pair_docs array<short>, {ADDED}"
+    f"pairs array<int>, pair_docs array<short>, {LOCAL}"
 )
+#: The sums of a partition are those of the texts at ``places`` only.
+ADDED = f"{LOCAL}, places array<short>"
 
 
 def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.RecordBatch:
@@ -490,20 +498,20 @@ def _sent(model: Model, raw, offsets, ids, held, number: int, parts: int) -> pa.
         places = (document[at] - first).astype(np.int16)
         is_rare, cold = rare[at], cold_pair[at]
         words, cold_pairs = hashes[at][is_rare], pairs[at][cold]
-        own_part, follows = _partition(words, parts), next_class[at][is_rare]
-        of_word = (words.view(np.int64), places[is_rare], before[at][is_rare], follows)
-        by_word = list(_split(own_part, parts, *of_word))
+        follows = next_class[at][is_rare]
         both = follows == known.rare
-        by_next = list(_split(own_part[both], parts, next_word[at][is_rare][both].view(np.int64)))
-        by_pair = list(_split(_partition(cold_pairs, parts), parts, cold_pairs.view(np.int32), places[cold]))
-        mine = number * 64 + len(rows) // max(parts, 1)
-        for p in range(parts):
-            home = p == mine % parts
-            if home or len(by_word[p][1]) or len(by_pair[p][1]):
-                local = (ids[first:last], held[first:last], np.diff(begins[first : last + 1]))
-                counted = (np.bincount(places[~is_rare], minlength=last - first), base[first:last], score[first:last])
-                none = [np.zeros(0)] * 3
-                rows.append((p, mine, *by_word[p][1:], *by_next[p][1:], *by_pair[p][1:], *(local if home else none), *(counted if home else none)))
+        of_word, of_pair = _partition(words, parts), _partition(cold_pairs, parts)
+        mine = number * 64 + first // 32_000
+        home = mine % parts
+        wanted = np.unique(np.concatenate([of_word, of_pair, [home]]))
+        by_word = _split(of_word, wanted, words.view(np.int64), places[is_rare], before[at][is_rare], follows)
+        by_next = _split(of_word[both], wanted, next_word[at][is_rare][both].view(np.int64))
+        by_pair = _split(of_pair, wanted, cold_pairs.view(np.int32), places[cold])
+        local = (ids[first:last], held[first:last], np.diff(begins[first : last + 1]))
+        local += (np.bincount(places[~is_rare], minlength=last - first), base[first:last], score[first:last])
+        none = [np.zeros(0)] * len(local)
+        for word, following, pair in zip(by_word, by_next, by_pair, strict=True):
+            rows.append((word[0], mine, *word[1:], *following[1:], *pair[1:], *(local if word[0] == home else none)))
     kinds = [pa.int64(), pa.int16(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int16(), pa.int64()]
     kinds += [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
     names = ["words", "word_docs", "before", "next", "next_words", "pairs", "pair_docs"]
@@ -570,12 +578,14 @@ def _added(model: Model, events: pa.Table, table: pa.Table) -> pa.Table:
     bigrams = None if known.shared else _RareBigrams(model, table)
     pairs, pair_counts = _flat(table["pairs"], np.int64), _flat(table["pair_counts"], np.int64)
     rare_words, frequent_words = known.rare_words(), np.append(known.words, U64(0))
-    sums: dict[str, list] = {"n_known": [], "base": [], "score": []}
+    sums: dict[str, list] = {"n_known": [], "base": [], "score": [], "places": []}
     for batch in events.to_batches():
         for k in range(batch.num_rows):
             cell = {name: batch[name][k].values.to_numpy(zero_copy_only=False) for name in batch.schema.names if name not in ("p", "number", "train_tokens")}
             word_docs, pair_docs = cell["word_docs"].astype(np.int64), cell["pair_docs"].astype(np.int64)
             long = max(len(cell["doc_ids"]), int(word_docs.max(initial=-1)) + 1, int(pair_docs.max(initial=-1)) + 1)
+            places = np.unique(np.concatenate([word_docs, pair_docs, np.arange(len(cell["doc_ids"]))]))
+            sums["places"].append(places)
             wanted_words = cell["words"].view(U64)
             c = _look_up(words, word_counts, wanted_words)
             single = np.log10((c + 1) / known.divisor)
@@ -597,23 +607,21 @@ def _added(model: Model, events: pa.Table, table: pa.Table) -> pa.Table:
             for name, values in found.items():
                 values = values.astype(float)
                 values[: len(cell[name])] += cell[name]
-                sums[name].append(values)
+                sums[name].append(values[places])
     columns = {name: events[name] for name in ("number", "doc_ids", "held_out", "n_tokens", "train_tokens")}
     columns["n_known"] = _lists(sums["n_known"], pa.int64())
     columns |= {name: _lists(sums[name], pa.float64()) for name in ("base", "score")}
+    columns["places"] = _lists(sums["places"], pa.int16())
     return pa.table(columns)
 
 
 def _summed(group: pa.Table) -> pa.Table:
     """The texts of one number, with the sums of all partitions added up."""
     group = group.combine_chunks()
-    home = int(np.argmax([len(cell) for cell in group["doc_ids"].to_pylist()]))
+    home = int(np.argmax(group["doc_ids"].combine_chunks().value_lengths().to_numpy()))
     ids = group["doc_ids"][home].values
-    total = {name: np.zeros(len(ids)) for name in ("n_known", "base", "score")}
-    for name, values in total.items():
-        for cell in group[name]:
-            own = cell.values.to_numpy(zero_copy_only=False)
-            values[: len(own)] += own
+    places = _flat(group["places"], np.int64)
+    total = {name: np.bincount(places, _flat(group[name], np.float64), len(ids)) for name in ("n_known", "base", "score")}
     return pa.table(
         {
             "doc_id": ids,

@@ -4,12 +4,12 @@ A document is a bag of passages. Each passage is encoded from its byte and word
 (tanh times sigmoid) weighs the passages, and the weighted mean of the encodings gives the score. All weights
 are learnt from labels of whole documents. Scoring reads every passage of every text.
 
-The model is fitted on a bounded sample: ``SAMPLE`` documents of each label, ``SAMPLE_PASSAGES`` evenly spaced
-passages of each.
+The model is fitted on every passage of a bounded sample: ``SAMPLE`` documents of each label, with
+``SAMPLE_BYTES`` of text at most.
 
 Defined cases: a null or empty text is one passage without words; only labels 0 and 1 are learnt from, and
-without any of one of them all scores are alike; repeated rows score alike; an empty table gives no rows; other
-columns are not read.
+without any of one of them all scores are alike; repeated rows score alike; a null doc_id is not held out; an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,11 +19,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seawarden.llm import texts
 
 PASSAGE_WORDS = 48
-SAMPLE, SAMPLE_PASSAGES = 1500, 24
+SAMPLE, SAMPLE_BYTES = 1500, 16 << 20
 HIDDEN, GATE = 16, 8
 STEPS, BATCH, RATE = 600, 128, 0.01
 THRESHOLD = 0.5
@@ -174,14 +175,14 @@ def train(features: np.ndarray, document: np.ndarray, labels: np.ndarray, seed:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on documents of the folds that are not held out; the sample is the first by hash of each label."""
-    rows = texts.labelled(docs, labels, "quality", sample)
+    rows = texts.labelled(docs, labels, "quality", sample, SAMPLE_BYTES)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, offsets = texts.string_bytes(batch["text"])
         lists = []
         for k in range(batch.num_rows):
             features, _ = passages(raw[offsets[k] : offsets[k + 1]], np.asarray([0, offsets[k + 1] - offsets[k]]))
-            lists.append(features[np.unique(np.linspace(0, len(features) - 1, SAMPLE_PASSAGES).astype(int))].ravel())
+            lists.append(features.ravel())
         columns = {"doc_id": batch["doc_id"], "label": batch["label"], "features": pa.array(lists, pa.list_(pa.float64()))}
         return texts.table(None, columns)
 
@@ -206,5 +207,5 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         }
         return texts.table(None, columns)
 
-    rows = texts.ids_and_texts(docs, (texts.remainder(3) == 1).alias("held_out"))
+    rows = texts.ids_and_texts(docs, F.coalesce(texts.remainder(3) == 1, F.lit(False)).alias("held_out"))
     return texts.per_batch(rows, run, "doc_id long, held_out boolean, score double, predicted int")

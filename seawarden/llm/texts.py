@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawarden.session import ship_package
@@ -136,6 +137,14 @@ def table(batch: pa.RecordBatch | None, columns: dict[str, pa.Array]) -> pa.Reco
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def release() -> None:
+    """Give memory that was freed back to the system: Python workers live on and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``function`` to Arrow batches inside the tasks that read ``docs``."""
 
@@ -143,7 +152,7 @@ def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
-        pa.default_memory_pool().release_unused()  # workers live on and share an executor's memory
+        release()
 
     ship_package(docs.sparkSession)
     return docs.mapInArrow(run, schema)
@@ -178,15 +187,22 @@ def remainder(divisor: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
-def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int, most_bytes: int) -> DataFrame:
     """doc_id, text and label (0 or 1) of documents to learn from: of each label, the first ``most`` by hash.
 
-    Rows of the held-out fold are left out. Nulls and other labels are not learnt from.
+    Rows of the held-out fold are left out. Nulls and other labels are not learnt from. Texts are whole and hold
+    ``most_bytes`` of each label at most: those above a sixteenth of that are not chosen, nor those after which the
+    first by hash would hold more.
     """
     known = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(3) != 1))
     known = known.select(F.col("doc_id").cast("long").alias("l_id"), F.col(column).cast("int").alias("label")).distinct()
     order = [F.xxhash64("l_id"), "l_id"]
     chosen = known.where("label = 1").orderBy(*order).limit(most)
     chosen = chosen.unionByName(known.where("label = 0").orderBy(*order).limit(most))
-    rows = ids_and_texts(docs)
-    return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label")
+    rows = ids_and_texts(docs, F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("size"))
+    rows = rows.where(F.col("size") <= most_bytes // 16)
+    rows = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    first = Window.partitionBy("label").orderBy(*order, "text")
+    rows = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most)
+    rows = rows.withColumn("total", F.sum(F.col("size").cast("long")).over(first.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.where(F.col("total") <= most_bytes).select("doc_id", "text", "label")

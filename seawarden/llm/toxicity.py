@@ -5,12 +5,12 @@ vectors and softmax are trained together. Unseen spellings share n-grams with se
 its most toxic window, since a few words in a long text suffice. Training looks at windows too: it starts with
 each window under its document's label, then keeps, of a toxic document, only the windows that it finds toxic.
 
-The model is fitted on a bounded sample of labelled documents (``SAMPLE`` of each label; of a clean one,
-``SAMPLE_WINDOWS`` evenly spaced windows, of a toxic one, all). Scoring reads every window of every text.
+The model is fitted on every window of a bounded sample of labelled documents (``SAMPLE`` of each label, with
+``SAMPLE_BYTES`` of text at most). Scoring reads every window of every text.
 
 Defined cases: a null or empty text scores as a window without n-grams does; only labels 0 and 1 are learnt
-from, and without any of one of them every score is that of the bias; repeated rows score alike; an empty table
-gives no rows; other columns are not read.
+from, and without any of one of them every score is that of the bias; repeated rows score alike; a null doc_id
+is not held out; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seawarden.llm import texts
 from seawarden.session import ship_package
@@ -30,8 +31,8 @@ WIDTH = 8
 WINDOW_WORDS = 6
 #: Rounds of training on deciding windows, and the step of the gradient.
 TURNS, RATE = 12, 0.02
-#: Labelled documents of each label, and evenly spaced windows of each clean one, that the model is fitted on at most.
-SAMPLE, SAMPLE_WINDOWS = 800, 96
+#: Labelled documents of each label that the model is fitted on at most, and bytes of their texts.
+SAMPLE, SAMPLE_BYTES = 800, 8 << 20
 THRESHOLD = 0.7
 
 
@@ -162,7 +163,7 @@ def train(grams: np.ndarray, sizes: np.ndarray, owner: np.ndarray, labels: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on documents of the folds that are not held out; the sample is the first by hash of each label."""
-    rows = texts.labelled(docs, labels, "toxic", sample)
+    rows = texts.labelled(docs, labels, "toxic", sample, SAMPLE_BYTES)
 
     def grams(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, offsets = texts.string_bytes(batch["text"])
@@ -170,10 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for k in range(len(ids)):
             part = raw[offsets[k] : offsets[k + 1]]
             buckets, begins, _, sizes = windows(part, np.asarray([0, len(part)]))
-            # what makes a document toxic may be in any window, so only clean documents are thinned
-            most = len(begins) if label[k] == 1 else SAMPLE_WINDOWS
-            some = np.unique(np.linspace(0, len(begins) - 1, most).astype(int)) if len(begins) else []
-            lists.append([buckets[begins[w] : begins[w] + sizes[w]].astype(np.int32) for w in some])
+            lists.append([buckets[first : first + size].astype(np.int32) for first, size in zip(begins, sizes, strict=True)])
         return texts.table(
             None,
             {
@@ -206,7 +204,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         }
         return texts.table(None, columns)
 
-    rows = texts.ids_and_texts(docs, (texts.remainder(3) == 1).alias("held_out"))
+    rows = texts.ids_and_texts(docs, F.coalesce(texts.remainder(3) == 1, F.lit(False)).alias("held_out"))
     return texts.per_batch(rows, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -218,7 +216,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
             text = batch.column(batch.schema.get_field_index("text"))
             points = model.scores(*texts.string_bytes(text.cast(pa.string())))
             yield batch.filter(pa.array(points < threshold))
-        pa.default_memory_pool().release_unused()
+        texts.release()
 
     ship_package(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

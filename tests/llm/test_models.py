@@ -50,15 +50,106 @@ def test_toxicity_finds_unseen_spellings_in_held_out_documents(insults, odd, not
     assert toxicity.score(nothing, model).count() == toxicity.keep_clean(nothing, model).count() == 0
 
 
-def test_training_reads_every_window_of_toxic_documents(spark, odd, monkeypatch):
+def test_training_reads_every_window_and_passage(spark, odd, monkeypatch):
     ids = [i for i in range(1, 30) if fold(i, 3) != 1][:4]
-    words = 6 * 2 * toxicity.SAMPLE_WINDOWS
-    docs = spark.createDataFrame([row(i, " ".join(f"w{k}" for k in range(words))) for i in ids], odd.schema)
-    labels = spark.createDataFrame([(i, 0, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    text = " ".join(f"w{k}" for k in range(6000))
+    docs = spark.createDataFrame([row(i, text) for i in ids], odd.schema)
+    labels = spark.createDataFrame([(i, k % 2, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
     monkeypatch.setattr(toxicity, "train", lambda grams, sizes, owner, labels: (owner, labels))
     owner, toxic = toxicity.fit(docs, labels)
-    expected = [words // 6 if label else toxicity.SAMPLE_WINDOWS for label in toxic]
-    assert sorted(toxic) == [0, 0, 1, 1] and np.bincount(owner).tolist() == expected
+    assert sorted(toxic) == [0, 0, 1, 1] and np.bincount(owner).tolist() == [1000] * 4
+    monkeypatch.setattr(quality_model, "train", lambda features, document, labels: (document, labels))
+    document, good = quality_model.fit(docs, labels)
+    assert sorted(good) == [0, 0, 1, 1] and np.bincount(document).tolist() == [125] * 4
+
+
+def test_the_sample_is_bounded_by_rows_and_bytes(spark, odd):
+    ids = [i for i in range(1, 200) if fold(i, 3) != 1]
+    docs = spark.createDataFrame([row(i, "x" * (2000 if i == ids[0] else 10)) for i in ids] + [row(ids[1], None)], odd.schema)
+    labels = spark.createDataFrame([(i, 0, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    def chosen(most, most_bytes):
+        return [r.doc_id for r in texts.labelled(docs, labels, "toxic", most, most_bytes).collect()]
+
+    assert sorted(chosen(1000, 1 << 20)) == sorted([*ids, ids[1]])
+    assert sorted(chosen(1000, 20_000)) == sorted([*ids[1:], ids[1]])
+    assert len(chosen(5, 1 << 20)) == 10
+    few = chosen(1000, 200)
+    assert 40 <= len(few) <= 41 and set(few) <= set(ids)
+
+
+def plain_toxicity(model, text):
+    """The most toxic window, from n-grams of single words."""
+    words = [w.encode() for w in WORD.findall((text or "").translate(LOW))]
+    scores = []
+    for at in range(0, len(words), toxicity.WINDOW_WORDS):
+        weights = []
+        for word in words[at : at + toxicity.WINDOW_WORDS]:
+            edged = b" " + word + b" "
+            for size in toxicity.SIZES:
+                for k in range(len(edged) - size + 1):
+                    rolled = edged[k]
+                    for byte in edged[k + 1 : k + size]:
+                        rolled = (rolled * 0x01000193 + byte + 1) % 2**32
+                    mixed = rolled * 0x9E3779B1 % 2**32
+                    mixed ^= mixed >> 15
+                    weights.append(float(model.weights[(mixed * 0x85EBCA77 % 2**32) >> (32 - toxicity.BUCKET_BITS)]))
+        scores.append(sum(weights) / len(weights))
+    return 1 / (1 + math.exp(-(max(scores, default=0.0) + model.bias)))
+
+
+def test_toxicity_equals_a_plain_loop_over_windows(insults, odd):
+    docs, labels = insults
+    model = toxicity.fit(docs, labels)
+    for given in (docs.limit(50), odd.where("doc_id != 7")):
+        text_of = {r.doc_id: r.text for r in given.collect()}
+        for r in toxicity.score(given, model).collect():
+            assert abs(r.score - plain_toxicity(model, text_of[r.doc_id])) < 1e-6
+
+
+def plain_quality(model, text):
+    """The score by the definition: one passage after the other."""
+    raw = (text or "").encode()
+    spans = [m.span() for m in re.finditer(WORD.pattern.encode(), raw)]
+    size = quality_model.PASSAGE_WORDS
+    parts = [spans[k : k + size] for k in range(0, len(spans), size)] or [[]]
+    w, h, e = model.weights, [], []
+    for k, part in enumerate(parts):
+        begin = 0 if k == 0 else part[0][0]
+        end = len(raw) if k == len(parts) - 1 else parts[k + 1][0][0]
+        words = [raw[a:b] for a, b in part]
+        before = [raw[a:b] for a, b in [*(parts[k - 1][-1:] if k else []), *part]]
+        length, some = max(end - begin, 1), max(len(words), 1)
+        f = [sum(byte in kind for byte in raw[begin:end]) / length for kind in quality_model.CLASSES]
+        f += [len(set(words)) / some, sum(a == b for a, b in zip(before, before[1:])) / some]
+        f += [sum(map(len, words)) / some / 10, sum(len(x) == 1 for x in words) / some]
+        f += [math.log1p(len(words)) / math.log1p(size), math.log1p(len(spans)) / 10]
+        encoded = np.tanh((np.asarray(f) - model.mean) / model.spread @ w["encode"] + w["encode_bias"])
+        h.append(encoded)
+        e.append(math.exp(np.tanh(encoded @ w["look"]) / (1 + np.exp(-(encoded @ w["gate"]))) @ w["attend"]))
+    z = sum(a * x for a, x in zip(e, h)) / sum(e)
+    return 1 / (1 + math.exp(-(z @ w["score"] + w["score_bias"])))
+
+
+def test_quality_equals_a_plain_loop_over_passages(docs, labels, odd):
+    model = quality_model.fit(docs, labels)
+    for given in (docs.limit(60), odd.where("doc_id != 7")):
+        text_of = {r.doc_id: r.text for r in given.collect()}
+        for r in quality_model.score(given, model).collect():
+            assert abs(r.score - plain_quality(model, text_of[r.doc_id])) < 1e-6
+
+
+def test_a_document_without_id_is_not_held_out(spark, insults, odd):
+    docs, labels = insults
+    given = spark.createDataFrame([row(None, "a b c")], odd.schema)
+    assert [r.held_out for r in toxicity.score(given, toxicity.fit(docs, labels)).collect()] == [False]
+    assert [r.held_out for r in quality_model.score(given, quality_model.fit(docs, labels)).collect()] == [False]
+
+
+def test_rows_of_counts_follow_the_text_not_the_partitions(docs):
+    rows = texts.ids_and_texts(docs, (texts.remainder(7) == 2).alias("held_out")).coalesce(1)
+    known = katz.vocabulary(katz.word_counts(rows), 300)
+    assert katz.count_table(rows, known, 10).count() == 10
+    assert katz.count_table(rows, known, 10**7).count() <= known.total
 
 
 def test_without_labels_all_scores_are_alike(insults, spark, nothing):
@@ -209,7 +300,7 @@ def test_pipeline_runs_and_queries_are_registered(spark, folder):
     import __spark_entry__ as entry
 
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     packed = corpus_pipeline.run(spark, folder)
     all_docs = spark.read.parquet(f"{folder}/documents.parquet")
     ids = packed.select("doc_id").distinct()
