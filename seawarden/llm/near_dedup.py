@@ -5,9 +5,10 @@ first scatters shingles over slots, the second orders the slots and is shifted c
 coordinate k, so a coordinate is the least value of one table read at another offset.
 
 Documents with equal sets are one node from then on. Nodes that agree in all rows of a band share a bucket, and
-the nodes of a bucket meet at its first node. All nodes that meet at one node are compared on their full sets, in
-blocks of bounded size, once however many buckets brought them there, and links that join components come out. So no
-link between nodes of one bucket is lost, and none is listed that joins nothing.
+the nodes of a bucket meet at its first node. All nodes that meet at one node are compared in blocks of bounded size,
+once however many buckets brought them there: first by bitmaps of their sets, which leave out only what cannot be
+linked, then on full sets, and links that join components come out. So no link between nodes of one bucket is lost,
+and none is listed that joins nothing.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer
 words than a shingle make one shingle; rows without doc_id are linked with nothing and have no component;
@@ -25,15 +26,13 @@ from pyspark.sql import functions as F
 
 from seawarden.llm import texts
 from seawarden.llm.components import components
-from seawarden.llm.jaccard_join import hub_links, sets
+from seawarden.llm.jaccard_join import bitmap, hub_links, sets
 from seawarden.session import shared_folder
 
 SHINGLE_WORDS = 5
 #: At the least similarity, a link shares no band with probability (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
 SLOTS = 1 << 21
-#: Nodes in a block of a large group.
-BLOCK = 4096
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 U64 = np.uint64
@@ -52,7 +51,7 @@ def signature(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, content (a hash of the text), n_shingles, node (a hash of the set) and signature of each row."""
+    """doc_id, content (a hash of the text), n_shingles, node (a hash of the set), signature and bitmap of each row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = sets(*texts.string_bytes(batch["text"]), size)
@@ -64,11 +63,13 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
             "n_shingles": pa.array([len(s) for s in found], pa.int64()),
             "node": pa.array(np.asarray(nodes, U64).view(np.int64)),
             "signature": pa.array([signature(s) if len(s) else None for s in found], pa.binary()),
+            "bits": pa.array([bitmap(s) for s in found], pa.binary()),
         }
         return texts.table(None, columns)
 
     rows = texts.ids_and_texts(docs, F.xxhash64("text").alias("content"))
-    return texts.per_batch(rows, run, "doc_id long, content long, n_shingles long, node long, signature binary")
+    schema = "doc_id long, content long, n_shingles long, node long, signature binary, bits binary"
+    return texts.per_batch(rows, run, schema)
 
 
 def _stored(frame: DataFrame, path: str) -> DataFrame:
@@ -83,9 +84,9 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     signed = _stored(signatures(docs, size), f"{work}/signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = usable.groupBy("node", F.col("n_shingles").alias("n")).agg(
-        F.min(F.struct("doc_id", "content")).alias("first"), F.first("signature").alias("signature")
+        F.min(F.struct("doc_id", "content")).alias("first"), F.first(F.struct("signature", "bits")).alias("of_set")
     )
-    nodes = nodes.select("node", "n", "first.doc_id", "first.content", "signature")
+    nodes = nodes.select("node", "n", "first.doc_id", "first.content", "of_set.signature", "of_set.bits")
     nodes = _stored(nodes, f"{work}/nodes")
 
     bands = nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
@@ -97,8 +98,11 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
     members = shared.select(F.col("pivot").alias("hub"), "node").distinct().join(nodes.select("node", "n"), "node")
     members = _stored(members, f"{work}/members")
-    whole = _stored(_whole_sets(_contents(docs, shared, nodes), size), f"{work}/sets")
-    labels = components(hub_links(members, whole, work, BLOCK))
+
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        return _stored(_whole_sets(_contents(docs, wanted, nodes), size), f"{work}/{name}")
+
+    labels = components(hub_links(members, nodes.select("node", "bits"), sets_of, work))
 
     named = labels.join(nodes.select("node", "doc_id"), "node")
     smallest = named.groupBy(F.col("label").alias("s_label")).agg(F.min("doc_id").alias("smallest"))
@@ -109,7 +113,7 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
         "n_node", "n_n", component.alias("found")
     )
     same = (F.col("node") == F.col("n_node")) & (F.col("n_shingles") == F.col("n_n")) & F.col("doc_id").isNotNull()
-    judged = signed.drop("signature").join(first, same, "left")
+    judged = signed.drop("signature", "bits").join(first, same, "left")
     judged = judged.withColumn("component_id", F.coalesce("found", "doc_id"))
     return judged.select(
         "doc_id",
@@ -130,9 +134,9 @@ def _whole_sets(contents: DataFrame, size: int) -> DataFrame:
     return texts.per_batch(contents, run, "node long, tokens binary")
 
 
-def _contents(docs: DataFrame, shared: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and text of the first document of each node that shares a bucket."""
-    wanted = shared.select("node").distinct().join(nodes, "node")
+def _contents(docs: DataFrame, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of the first document of each wanted node."""
+    wanted = wanted.select("node").distinct().join(nodes, "node")
     wanted = wanted.select("node", F.col("doc_id").alias("w_id"), F.col("content").alias("w_content"))
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -156,6 +160,7 @@ def dedup(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     repeated = some.groupBy("doc_id", "content").count().where("count > 1")
     if repeated.isEmpty():
         return kept
-    once = Window.partitionBy("doc_id", content).orderBy(F.lit(0))
+    ordered = [F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind]  # maps have no order
+    once = Window.partitionBy("doc_id", content).orderBy(*ordered)
     alone = F.col("doc_id").isNull() | (F.row_number().over(once) == 1)
     return kept.withColumn(nth, alone).where(nth).select(*docs.columns)

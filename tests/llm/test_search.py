@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from seawarden.llm import near_dedup, topk
+from seawarden.llm import jaccard_join, near_dedup, topk
 from seawarden.llm.components import components
 from tests.llm.conftest import ODD, row
 
@@ -97,7 +97,7 @@ def family(seed, count, edits, words=120):
 
 @pytest.mark.parametrize("size, block", [(2, 512), (5, 7)])
 def test_groups_equal_all_pairs(spark, odd, monkeypatch, size, block):
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", block)
     made = [text for seed in range(6) for text in family(seed, 40, 9 if size == 2 else 4)]
     order = list(range(1000, 1000 + len(made)))
     random.Random(9).shuffle(order)
