@@ -49,6 +49,8 @@ VERY = 16
 GROUP_TOKENS, LEVEL = 10, 4
 #: Nodes and bytes of sets in a block, and common tokens counted at once.
 BLOCK_NODES, BLOCK_BYTES, AT_ONCE = 4096, 32 << 20, 4_000_000
+#: Nodes of a group after which memory is given back to the system.
+RELEASE_NODES = 256
 #: Bits of the smallest and the largest bitmap of a set; between them there are two to four bits a token.
 LEAST_BITS, MOST_BITS = 256, 1 << 20
 #: Nodes of one signature in a part, about.
@@ -113,7 +115,7 @@ def profile(docs: DataFrame, size: int) -> DataFrame:
         empty["bits"] = pa.nulls(len(filled), pa.binary())
         more = {"block": pa.array(filled.astype(np.int32)), "cells": pa.array(packed, pa.binary())}
         yield texts.table(None, empty | more)
-        pa.default_memory_pool().release_unused()
+        texts.release()
 
     ship_package(docs.sparkSession)
     rows = texts.ids_and_texts(docs, F.xxhash64("text").alias("content"))
@@ -361,6 +363,8 @@ def _near(table: pa.Table) -> pa.Table:
                 met &= label[a[some]][:, None] != label[b[low:high]][None, :]
                 near[a[some]] |= met.any(axis=1)
                 near[b[low:high]] |= met.any(axis=0)
+    if len(n) > RELEASE_NODES:
+        texts.release()
     return table.drop_columns(["n", "bits"]).filter(pa.array(near, pa.bool_()))
 
 
@@ -408,6 +412,8 @@ def _links(table: pa.Table) -> pa.Table:
                 a.append(int(node[some[i]]))
                 b.append(int(node[right[j]]))
         at = stop
+    if len(node) > RELEASE_NODES:
+        texts.release()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 

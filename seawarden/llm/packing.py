@@ -223,8 +223,10 @@ def pieces(
                         "nth": pa.array(_numbers(lengths, met)),
                     }
                     yield texts.table(None, columns)
-        _tokenizers.clear()  # workers live on, and share an executor's memory with later stages
-        pa.default_memory_pool().release_unused()
+        # workers live on, and share an executor's memory with later stages
+        known = batch = column = ids = raw = columns = None
+        _tokenizers.clear()
+        texts.release()
 
     ship_package(docs.sparkSession)
     return texts.ids_and_texts(docs).mapInArrow(cut, PIECES)

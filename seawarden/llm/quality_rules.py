@@ -235,7 +235,7 @@ def clean(docs: DataFrame, left: float = LEFT) -> DataFrame:
                 same = [a if a is None else len(a) for a in out]
                 columns["n_chars"] = pa.array(same, pa.int64()).cast(columns["n_chars"].type)
             yield texts.table(None, columns).filter(pa.array(kept, pa.bool_()))
-        pa.default_memory_pool().release_unused()
+        texts.release()
 
     ship_package(docs.sparkSession)
     rows = joined.select(*names, above)
