@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import os
 import re
+import weakref
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,8 @@ REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 #: Documents and bytes of text that are cut at once.
 PART_ROWS, PART_BYTES = 10_000, 8 << 20
+#: Words whose ids are put in a row at once; longer texts are taken whole.
+WORDS_AT_ONCE = 1 << 18
 
 #: Letters and numbers up to U+017F, where lower case and composition need no table; white space among them.
 _LATIN, _DIGITS, _WHITE = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾", " \t-\r\x85\xa0"
@@ -100,8 +104,9 @@ class WordTokenizer:
         self.whole.no_padding()
         special = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
-        self.pieces = _Memory(self.piece, REMEMBERED // 3)
-        self.words = _Memory(self.word)
+        me = weakref.proxy(self)  # no cycle: a tokenizer that is let go of is freed at once
+        self.pieces = _Memory(lambda piece: me.piece(piece), REMEMBERED // 3)
+        self.words = _Memory(lambda word: me.word(word))
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
@@ -148,13 +153,18 @@ PIECES = (
 PACKED = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
-def encode(texts_: pa.Array, known: WordTokenizer, closing: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of some texts, each followed by the closing id, and where each text's ids end.
+def encode(
+    texts_: pa.Array, known: WordTokenizer, closing: int, at_once: int = WORDS_AT_ONCE
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of the texts, first and last, with their ids, each text's followed by the closing id, and where they end.
 
-    Every distinct word is looked up once; those that come again are remembered for later texts.
+    Every distinct word is looked up once; those that come again are remembered for later texts. A range has about
+    ``at_once`` words, so that only few of the ids are in memory at a time.
     """
     split = pc.ascii_split_whitespace(texts_)
+    borders = split.offsets.to_numpy()
     words = split.flatten().dictionary_encode()
+    split = None
     place = words.indices.to_numpy()
     distinct = words.dictionary.to_pylist()
     often = np.bincount(place, minlength=len(distinct)) > 1
@@ -164,15 +174,22 @@ def encode(texts_: pa.Array, known: WordTokenizer, closing: int) -> tuple[np.nda
         for w, again in zip(distinct, often.tolist(), strict=True)
     ]
     found.append(np.asarray([closing], "<u4").tobytes())
+    last_word = len(distinct)
+    distinct = often = None
     sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    first = np.cumsum(sizes) - sizes
     flat = np.frombuffer(b"".join(found), "<i4")
-    ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
-    place = np.insert(place, ends, len(distinct))
-    many = sizes[place]
-    total = np.cumsum(many)
-    ids = flat[np.repeat(first[place] - (total - many), many) + np.arange(total[-1])]
-    return ids, total[ends + np.arange(len(ends))]
+    found = None
+    opens = np.cumsum(sizes) - sizes
+    borders = borders.astype(np.int64) - borders[0]
+    for first, last in texts.chunks(borders, at_once):
+        ends = borders[first + 1 : last + 1] - borders[first]
+        own = np.insert(place[borders[first] : borders[last]], ends, last_word)
+        many = sizes[own]
+        total = np.cumsum(many)
+        kind = np.int32 if max(total[-1], len(flat)) < 1 << 31 else np.int64
+        at = np.repeat((opens[own] - (total - many)).astype(kind), many)
+        at += np.arange(total[-1], dtype=kind)
+        yield first, last, flat[at], total[ends + np.arange(len(ends))]
 
 
 def _numbers(lengths: np.ndarray, met: np.ndarray) -> np.ndarray:
@@ -199,32 +216,30 @@ def pieces(
             column = batch["text"].fill_null("")
             for first, last in texts.chunks(texts.string_bytes(column)[1], PART_BYTES):
                 for a in range(first, last, part_rows):
-                    some = slice(a, min(a + part_rows, last))
-                    ids, ends = encode(column[some], known, closing)
-                    counts = np.diff(ends, prepend=0)
-                    many = -(-counts // window)
-                    doc = np.repeat(np.arange(len(counts)), many)
-                    nth = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
-                    start = nth * window
-                    lengths = np.minimum(window, counts[doc] - start)
-                    stops = np.cumsum(lengths)
-                    raw = memoryview(ids).cast("B")
-                    columns = {
-                        "doc_id": batch["doc_id"][some].take(pa.array(doc)),
-                        "start": pa.array(start),
-                        "length": pa.array(lengths),
-                        "ids": pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(ids)),
-                        "doc_tokens": pa.array(counts[doc]),
-                        "ids_crc32": pa.array(
-                            [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(stops.tolist(), lengths.tolist(), strict=True)],
-                            pa.int64(),
-                        ),
-                        "task": pa.array(np.full(len(doc), task, np.int32)),
-                        "nth": pa.array(_numbers(lengths, met)),
-                    }
-                    yield texts.table(None, columns)
+                    some = column[a : min(a + part_rows, last)]
+                    for one, two, ids, ends in encode(some, known, closing):
+                        counts = np.diff(ends, prepend=0)
+                        many = -(-counts // window)
+                        doc = np.repeat(np.arange(len(counts)), many)
+                        nth = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                        start = nth * window
+                        lengths = np.minimum(window, counts[doc] - start)
+                        stops = np.cumsum(lengths)
+                        raw = memoryview(ids).cast("B")
+                        sums = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(stops.tolist(), lengths.tolist(), strict=True)]
+                        columns = {
+                            "doc_id": batch["doc_id"][a + one : a + two].take(pa.array(doc)),
+                            "start": pa.array(start),
+                            "length": pa.array(lengths),
+                            "ids": pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(ids)),
+                            "doc_tokens": pa.array(counts[doc]),
+                            "ids_crc32": pa.array(sums, pa.int64()),
+                            "task": pa.array(np.full(len(doc), task, np.int32)),
+                            "nth": pa.array(_numbers(lengths, met)),
+                        }
+                        yield texts.table(None, columns)
         # workers live on, and share an executor's memory with later stages
-        known = batch = column = ids = raw = columns = None
+        known = batch = column = some = ids = raw = columns = None
         _tokenizers.clear()
         texts.release()
 
@@ -302,9 +317,9 @@ def best_fit_rules(histogram: dict[int, int], window: int = WINDOW) -> list[tupl
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, part_rows: int = PART_ROWS) -> DataFrame:
     """Every piece of every document with its sequence and offset, its ids and their crc32."""
-    cut = texts.stored(
-        pieces(docs, tokenizer, window, part_rows=part_rows), shared_folder(docs.sparkSession, "packing")
-    )
+    spark = docs.sparkSession
+    with texts.small_batches(spark, PART_BYTES):
+        cut = texts.stored(pieces(docs, tokenizer, window, part_rows=part_rows), shared_folder(spark, "packing"))
     counts = cut.groupBy("length", "task").agg(F.count("*").alias("rows"))
     histogram = {row["length"]: row["n"] for row in counts.groupBy("length").agg(F.sum("rows").alias("n")).collect()}
     ahead = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

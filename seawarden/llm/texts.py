@@ -5,10 +5,11 @@ from __future__ import annotations
 import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seawarden.session import ship_package
@@ -22,6 +23,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes that are hashed at once; longer texts are taken whole.
 CHUNK = 1 << 19
+#: Bytes of whole texts that a task's Python worker is given at once, and the setting for it.
+BATCH_BYTES, BATCH_LIMIT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Words longer than this are hashed one by one.
 LONG_WORD = 512
 #: Masks of the first 0 to 8 bytes of a little-endian 64-bit integer.
@@ -145,6 +148,19 @@ def release() -> None:
         trim(0)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """What runs meanwhile gets Arrow batches of ``most`` bytes, unless the session itself has a limit."""
+    own = spark.conf.get(BATCH_LIMIT, None)
+    if own is None:
+        spark.conf.set(BATCH_LIMIT, str(most))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(BATCH_LIMIT)
+
+
 def per_batch(docs: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``function`` to Arrow batches inside the tasks that read ``docs``."""
 

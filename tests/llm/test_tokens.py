@@ -1,15 +1,18 @@
 """Packing and byte-pair encoding against the tokenizers library."""
 
+import gc
 import hashlib
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from seawarden.llm import bpe, packing, queries
+from seawarden.llm import bpe, packing, queries, texts
 from tests.llm.conftest import ODD
 
 WORDS, BYTES = queries.tokenizer_path("word_bpe_49k.json"), queries.tokenizer_path("byte_bpe_50k.json")
@@ -130,3 +133,38 @@ def test_rules_are_best_fit_decreasing(seed):
             fill[first + k // each] += length
             assert offset + (k % each + 1) * length <= window
     assert sorted(window - f for f in fill.values()) == sorted(windows)
+
+
+def test_a_tokenizer_is_freed_when_it_is_let_go():
+    """Workers live on, so a tokenizer must not wait for the collector of cycles."""
+    gc.disable()
+    try:
+        known = packing.WordTokenizer(WORDS)
+        assert known.ids("some words, some more")
+        gone = weakref.ref(known)
+        del known
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
+def test_ids_are_put_in_a_row_in_stretches(odd_texts):
+    known, whole = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    given = [*odd_texts[:300], "one two three " * 50]
+    met, got = 0, []
+    for first, last, ids, ends in packing.encode(pa.array(given, pa.string()), known, 2, 40):
+        assert first == met and len(ids) == ends[-1]
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        met = last
+    assert met == len(given)
+    assert got == [[*whole.encode(text, add_special_tokens=False).ids, 2] for text in given]
+
+
+def test_packing_gets_small_batches_and_leaves_the_setting(spark, monkeypatch):
+    seen, real = [], texts.stored
+    monkeypatch.setattr(texts, "stored", lambda frame, path: seen.append(spark.conf.get(texts.BATCH_LIMIT)) or real(frame, path))
+    rows = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    before = spark.conf.get(texts.BATCH_LIMIT)
+    assert packing.pack(rows, WORDS).count() == 2
+    assert [int(x.rstrip("b")) for x in seen] == [packing.PART_BYTES]
+    assert spark.conf.get(texts.BATCH_LIMIT) == before
