@@ -23,6 +23,7 @@ are linked with each other; an empty table gives no rows; other columns are not
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from itertools import combinations
 
 import numpy as np
@@ -318,6 +319,19 @@ def _sides(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
     return np.flatnonzero(block == block.min()), np.flatnonzero(block != block.min()), False
 
 
+def _released(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """Gives memory back after a large group, when what the work on it had made is gone."""
+
+    @wraps(work)
+    def run(table: pa.Table) -> pa.Table:
+        found = work(table)
+        if table.num_rows > RELEASE_NODES:
+            texts.release()
+        return found
+
+    return run
+
+
 def _folded(maps: list[np.ndarray], rows: np.ndarray, words: int) -> np.ndarray:
     """Bitmaps of the rows, of this many words or twice as many, as one column of words after the other."""
     out = np.empty((words, len(rows)), np.uint64)
@@ -327,6 +341,7 @@ def _folded(maps: list[np.ndarray], rows: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+@_released
 def _near(table: pa.Table) -> pa.Table:
     """Rows whose bitmap lets their set be linked with that of a row of the other block and another component.
 
@@ -363,11 +378,10 @@ def _near(table: pa.Table) -> pa.Table:
                 met &= label[a[some]][:, None] != label[b[low:high]][None, :]
                 near[a[some]] |= met.any(axis=1)
                 near[b[low:high]] |= met.any(axis=0)
-    if len(n) > RELEASE_NODES:
-        texts.release()
     return table.drop_columns(["n", "bits"]).filter(pa.array(near, pa.bool_()))
 
 
+@_released
 def _links(table: pa.Table) -> pa.Table:
     """Links that join the components of two blocks of a hub, or of one block with itself."""
     node, label = table["node"].to_numpy(), table["label"].to_numpy()
@@ -412,8 +426,6 @@ def _links(table: pa.Table) -> pa.Table:
                 a.append(int(node[some[i]]))
                 b.append(int(node[right[j]]))
         at = stop
-    if len(node) > RELEASE_NODES:
-        texts.release()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -456,7 +468,8 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
     spark = docs.sparkSession
     work = shared_folder(spark, "jaccard-join")
-    profiled = stored(profile(docs, size), f"{work}/profiles")
+    with texts.small_batches(spark):
+        profiled = stored(profile(docs, size), f"{work}/profiles")
     mapped = profiled.where("block IS NULL").drop("block", "cells")
     signed = mapped.drop("bits")
     frequencies = Frequencies(count_cells(profiled.where("block IS NOT NULL").select("block", "cells")))
@@ -464,7 +477,8 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     nodes = nodes.agg(F.min("doc_id").alias("doc_id"), F.min_by("content", "doc_id").alias("content"))
     nodes = stored(nodes, f"{work}/nodes")
 
-    met = stored(hubs(index(_texts_of(docs, nodes), frequencies, size)), f"{work}/listed")
+    with texts.small_batches(spark):
+        met = stored(hubs(index(_texts_of(docs, nodes), frequencies, size)), f"{work}/listed")
     split = met.where("sig IS NOT NULL")
     top = split.groupBy(F.col("sig").alias("h_sig")).agg(F.max("hub").alias("top"))
     split = split.join(top, F.col("sig") == F.col("h_sig")).select(F.col("top").alias("hub"), "node")
@@ -484,7 +498,8 @@ def groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
     def sets_of(wanted: DataFrame, name: str) -> DataFrame:
         rows = _texts_of(docs, nodes.join(wanted.distinct(), "node"))
-        return stored(once(texts.per_batch(rows, run, "node long, tokens binary")), f"{work}/{name}")
+        with texts.small_batches(spark):
+            return stored(once(texts.per_batch(rows, run, "node long, tokens binary")), f"{work}/{name}")
 
     first = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id", "content")
     maps = mapped.select("doc_id", "content", "bits").join(first, ["doc_id", "content"]).select("node", "bits")

@@ -1,6 +1,7 @@
 """The Jaccard join against all pairs."""
 
 import random
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -109,3 +110,24 @@ def test_bitmaps_never_part_linked_sets(monkeypatch):
         got = set(jaccard_join._near(pa.table(columns | {"n": pa.array(sizes), "bits": bits}))["node"].to_pylist())
         assert expected <= got and len(expected) > 50
         assert most == 512 or len(got - expected) < 10
+
+
+def test_memory_of_a_large_group_is_given_back_once_its_work_is_done(monkeypatch):
+    """While sets of a group are still held, nothing can be given back, and the worker keeps them until it ends."""
+    class Sets(np.ndarray):
+        pass
+
+    made, held, real = [], [], np.frombuffer
+
+    def frombuffer(*given):
+        tokens = real(*given).view(Sets)
+        made.append(weakref.ref(tokens))
+        return tokens
+
+    monkeypatch.setattr(jaccard_join.np, "frombuffer", frombuffer)
+    monkeypatch.setattr(jaccard_join.texts, "release", lambda: held.append(sum(x() is not None for x in made)))
+    count = jaccard_join.RELEASE_NODES + 1
+    tokens = pa.array([np.arange(k, k + 9, dtype="<u8").tobytes() for k in range(0, 20 * count, 20)], pa.binary())
+    numbers, zeros = pa.array(range(count)), pa.array([0] * count)
+    jaccard_join._links(pa.table({"node": numbers, "label": numbers, "block": zeros, "tokens": tokens}))
+    assert held == [0] and len(made) == count
