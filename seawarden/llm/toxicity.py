@@ -163,6 +163,12 @@ def train(grams: np.ndarray, sizes: np.ndarray, owner: np.ndarray, labels: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on documents of the folds that are not held out; the sample is the first by hash of each label."""
+    model = _fitted(docs, labels, sample)
+    texts.release()  # the driver lives on, too
+    return model
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, sample: int) -> Model:
     rows = texts.labelled(docs, labels, "toxic", sample, SAMPLE_BYTES)
 
     def grams(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -2,6 +2,7 @@
 
 import math
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -305,3 +306,16 @@ def test_pipeline_runs_and_queries_are_registered(spark, folder):
     all_docs = spark.read.parquet(f"{folder}/documents.parquet")
     ids = packed.select("doc_id").distinct()
     assert 0 < ids.count() < all_docs.count() and ids.join(all_docs, "doc_id", "left_anti").count() == 0
+
+
+def test_toxicity_gives_the_drivers_memory_back(docs, labels, monkeypatch):
+    made, held, train = [], [], toxicity.train
+
+    def watched(grams, *more):
+        made.append(weakref.ref(grams))
+        return train(grams, *more)
+
+    monkeypatch.setattr(toxicity, "train", watched)
+    monkeypatch.setattr(toxicity.texts, "release", lambda: held.append([x() is not None for x in made]))
+    toxicity.fit(docs, labels, 20)
+    assert held == [[False]]
